@@ -49,8 +49,9 @@ def main():
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="celltally-bench")
     times = {}
     for k in keys:
-        run(spark, k, sf_dir)  # warm-up
+        warm = run(spark, k, sf_dir)  # warm-up
         times[k] = round(min(run(spark, k, sf_dir) for _ in range(repeat)), 3)
+        print(f"{k}: warm-up {warm:.1f}s, timed {times[k]:.1f}s", file=sys.stderr, flush=True)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "total_seconds_headline_queries",

@@ -163,7 +163,9 @@ def fx_r2_bad(spark, sf_dir, sample_mode: str = "one") -> DataFrame:
 def fx_gtf(spark, sf_dir) -> DataFrame:
     """Eight annotation rows per part (one gene, seven exons); a generator,
     not a join, multiplies the rows."""
+    # part is one small file; spread it so the eight-fold rows parse in parallel
     p = table(spark, sf_dir, "part")
+    p = p.repartition(max(1, spark.sparkContext.defaultParallelism), "p_partkey")
     rows = F.array(*[
         F.struct(F.lit(f).alias("feature"), F.lit(o).cast("long").alias("o"), F.lit(w).cast("long").alias("w"))
         for f, o, w in GTF_ROWS

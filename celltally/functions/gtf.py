@@ -12,34 +12,52 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# A piece between semicolons that holds exactly two whitespace-separated
+# tokens: key and value.
+ATTRIBUTE_PIECE = r"(?:^|;)\s*([^;\s]+)\s+([^;\s]+)\s*(?=;|$)"
+MAP_TYPE = "map<string,string>"
+
+
 def parse_attributes(attr) -> Column:
     """GTF attribute text -> map<string,string>.
 
     Pieces are split on ';'; a piece counts only when it holds exactly two
     whitespace-separated tokens (key, value); double quotes are removed from
-    the value; when a key repeats the last piece wins. The result does not
+    the value; when a key repeats the last piece wins. The fold drops an
+    earlier entry before adding a repeated key, so the result does not
     depend on ``spark.sql.mapKeyDedupPolicy``.
     """
-    toks = F.transform(
-        F.split(_c(attr), ";"),
-        lambda p: F.split(F.regexp_replace(p, r"^\s+|\s+$", ""), r"\s+"),
+    a = _c(attr)
+    entries = F.zip_with(
+        F.regexp_extract_all(a, F.lit(ATTRIBUTE_PIECE), 1),
+        F.regexp_extract_all(a, F.lit(ATTRIBUTE_PIECE), 2),
+        lambda k, v: F.struct(k.alias("key"), F.replace(v, F.lit('"'), F.lit("")).alias("value")),
     )
-    pairs = F.transform(
-        F.filter(toks, lambda t: (F.size(t) == 2) & (F.get(t, 0) != "")),
-        lambda t: F.struct(F.get(t, 0).alias("key"), F.replace(F.get(t, 1), F.lit('"'), F.lit("")).alias("value")),
+    return F.aggregate(
+        entries,
+        F.create_map().cast(MAP_TYPE),
+        lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _v: k != e["key"]), F.create_map(e["key"], e["value"])),
     )
-    last = F.filter(
-        pairs,
-        lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda x: x["key"] == e["key"]),
-    )
-    return F.map_from_entries(last)
 
 
 def attribute_value(attrs, key: str) -> Column:
-    """Value of one attribute key, ``-`` when the row lacks it."""
+    """Value of one attribute key from a parsed map, ``-`` when absent."""
     return F.coalesce(F.try_element_at(_c(attrs), F.lit(key)), F.lit(ABSENT))
 
 
+def attribute_from_text(attr, key: str) -> Column:
+    """Value of one attribute key read straight from the attribute text.
+
+    Same rule as :func:`parse_attributes` (two-token pieces only, quotes
+    removed, last piece wins, ``-`` when absent) with one regular expression
+    and no lambda, so it stays in generated code.
+    """
+    pattern = r"(?:^|;)\s*\Q" + key.replace("\\E", "") + r"\E\s+([^;\s]+)\s*(?=;|$)"
+    found = F.regexp_extract_all(_c(attr), F.lit(pattern), 1)
+    last = F.try_element_at(found, F.lit(-1))
+    return F.coalesce(F.replace(last, F.lit('"'), F.lit("")), F.lit(ABSENT))
+
+
 def biotype_camel(s) -> Column:
     """``protein_coding`` -> ``ProteinCoding``: only values holding ``_`` are
     rewritten (each piece capitalised, rest lower case); others stay."""

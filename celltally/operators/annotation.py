@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from celltally.functions.gtf import attribute_value, biotype_camel, clean_name, gene_fullname, parse_attributes
+from celltally.functions.gtf import (
+    attribute_from_text,
+    attribute_value,
+    biotype_camel,
+    clean_name,
+    gene_fullname,
+    parse_attributes,
+)
 from celltally.operators.intervals import merge_intervals
 
 GENE_KEYS = ["gene_id", "gene_name", "gene_biotype"]
@@ -35,9 +42,14 @@ def attribute_keys(gtf: DataFrame) -> DataFrame:
 
 
 def widen(gtf: DataFrame, keys: list[str]) -> DataFrame:
-    """One column per attribute key, ``-`` where a row lacks the key."""
-    df = gtf if "attrs" in gtf.columns else with_attributes(gtf)
-    return df.select("*", *[attribute_value("attrs", k).alias(k) for k in keys])
+    """One column per attribute key, ``-`` where a row lacks the key.
+
+    Reads the keys from a parsed ``attrs`` map when present, else straight
+    from the attribute text (one regular expression per key)."""
+    if "attrs" in gtf.columns:
+        return gtf.select("*", *[attribute_value("attrs", k).alias(k) for k in keys])
+    df = gtf if "line_no" in gtf.columns else gtf.withColumn("line_no", F.monotonically_increasing_id())
+    return df.select("*", *[attribute_from_text("attribute", k).alias(k) for k in keys])
 
 
 def gene_attributes(gtf: DataFrame) -> DataFrame:

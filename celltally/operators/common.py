@@ -10,15 +10,24 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                       materialize: bool = False) -> DataFrame:
     """Mark ``df`` for broadcast only after counting it.
 
     The count is one small job over a reference-sized table (annotation,
-    barcode dictionary, contig list). ``max_rows=None`` or ``0`` disables the
-    broadcast hint and leaves the choice to the planner and AQE.
+    barcode dictionary, contig list). With ``materialize`` the table is first
+    written as a checkpoint to the session's shared checkpoint folder, so the
+    count and the join read it once and a lost executor does not recompute
+    it. ``max_rows=None`` or ``0`` disables the broadcast hint and leaves the
+    choice to the planner and AQE.
     """
     if not max_rows:
         return df
+    if materialize:
+        from celltally.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

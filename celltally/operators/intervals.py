@@ -77,7 +77,7 @@ def overlap_join(
         "gene_fullname",
         (F.col("label") if has_label else F.lit(None).cast("string")).alias("label"),
     ).withColumn("f_bin", F.explode(bins("f_start", "f_end", bin_size)))
-    f = broadcast_if_small(f, broadcast_max_rows)
+    f = broadcast_if_small(f, broadcast_max_rows, materialize=True)
     b = blocks.select("sample", "chrom", "start", "end", "qname", "strand").withColumn(
         "bin", F.explode(bins("start", "end", bin_size))
     )
@@ -142,32 +142,43 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: s
     return islands.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
-def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN) -> DataFrame:
+def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN,
+                      labels: tuple[str, str] = ("intron", "exon")) -> DataFrame:
     """Distinct (sample, label, chrom, start, end) that overlap at least one
-    interval of another label in the same sample and chrom (any strand, any
-    gene, any read).
-
-    The other label's intervals are exploded into every bin they touch and
-    merged into islands inside each (sample, label, chrom, bin), so a bin
-    holds a handful of islands however many reads pile up there. Each probe
-    interval is then tested against the islands of the bins it touches.
+    interval of the other label in the same sample and chrom (any strand,
+    any gene, any read).
+
+    An interval a meets the other label iff the largest end among that
+    label's intervals starting before a.end exceeds a.start. Intervals are
+    cut into every bin they touch (one exchange on (sample, chrom, bin));
+    inside a bin each interval enters a single window twice, as a source
+    ordered by its start and as a probe ordered by its end (probes first on
+    ties, since touching is not overlapping); running maxima of the source
+    ends per label give the verdict. Any overlap has a point in a bin both
+    intervals touch, so the test inside bins is exact. A bin holds only the
+    distinct intervals touching it, however many reads pile up there.
     """
+    first, second = labels
     iv = intervals.select(*INTERVAL_KEYS)
-    binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size)))
-    islands = merge_intervals(binned, ["sample", "label", "chrom", "bin"]).select(
-        F.col("sample").alias("o_sample"), F.col("label").alias("o_label"), F.col("chrom").alias("o_chrom"),
-        F.col("bin").alias("o_bin"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
+    binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size))).repartition("sample", "chrom", "bin")
+    roles = binned.select(
+        *INTERVAL_KEYS, "bin",
+        F.inline(F.array(
+            F.struct(F.col("start").alias("key"), F.lit(1).alias("src")),
+            F.struct(F.col("end").alias("key"), F.lit(0).alias("src")),
+        )),
     )
-    hit = binned.join(
-        islands,
-        (binned["sample"] == islands["o_sample"])
-        & (binned["chrom"] == islands["o_chrom"])
-        & (binned["bin"] == islands["o_bin"])
-        & (binned["label"] != islands["o_label"])
-        & (binned["start"] < islands["o_end"])
-        & (islands["o_start"] < binned["end"]),
-        "left_semi",
+    w = Window.partitionBy("sample", "chrom", "bin").orderBy("key", "src").rowsBetween(Window.unboundedPreceding, 0)
+
+    def source_max(label):
+        return F.max(F.when((F.col("src") == 1) & (F.col("label") == label), F.col("end"))).over(w)
+
+    verdict = roles.select(
+        *INTERVAL_KEYS, "src",
+        F.when(F.col("label") == first, source_max(second))
+        .when(F.col("label") == second, source_max(first)).alias("other_max_end"),
     )
+    hit = verdict.filter((F.col("src") == 0) & (F.col("other_max_end") > F.col("start")))
     return hit.select(*INTERVAL_KEYS).distinct()
 
 

@@ -79,3 +79,13 @@ def write_gene_counts(gene_rows: DataFrame, path: str) -> None:
         .write.mode("overwrite").partitionBy("sample", "label")
         .option("sep", "\t").csv(path)
     )
+
+
+def write_alignments(blocks: DataFrame, path: str) -> None:
+    """Alignment blocks sorted by coordinate: range-partitioned on
+    (sample, chrom, start) and sorted inside each partition."""
+    (
+        blocks.repartitionByRange("sample", "chrom", "start")
+        .sortWithinPartitions("sample", "chrom", "start", "end")
+        .write.mode("overwrite").parquet(path)
+    )
