@@ -22,20 +22,22 @@ MEASURES = {
 MAX_MATRIX_CELLS = 10_000
 
 
-def tag_rows(clean: DataFrame) -> DataFrame:
-    """Cleaned overlap rows -> (sample, label, cell, gene, umi).
+def tag_rows(rows: DataFrame) -> DataFrame:
+    """Overlap rows -> (sample, label, chrom, start, end, cell, gene, umi).
 
     ``gene`` is ``<gene_fullname>__<chrom>``; UMI and cell come from the read
-    name (third field from the end and last field)."""
+    name (third field from the end and last field). Keeping the interval
+    lets the anti-join verdict be applied to these narrow rows."""
     umi, cell = parse_name("qname")
-    return clean.select("sample", "label", cell.alias("cell"), gene_key("gene_fullname", "chrom").alias("gene"),
-                        umi.alias("umi"))
+    return rows.select("sample", "label", "chrom", "start", "end", cell.alias("cell"),
+                       gene_key("gene_fullname", "chrom").alias("gene"), umi.alias("umi"))
 
 
 def molecules(clean: DataFrame) -> DataFrame:
     """One row per (sample, cell, gene, umi) with its intron and exon row
-    counts. UMIs compare exactly (``N`` included)."""
-    t = tag_rows(clean)
+    counts. UMIs compare exactly (``N`` included). Accepts overlap rows or
+    rows already passed through :func:`tag_rows`."""
+    t = clean if "umi" in clean.columns else tag_rows(clean)
     return t.groupBy("sample", "cell", "gene", "umi").agg(
         F.count_if(F.col("label") == "intron").alias("n_intron"),
         F.count_if(F.col("label") == "exon").alias("n_exon"),
@@ -102,9 +104,15 @@ def matrix_cells(counts: DataFrame, measure: str) -> list[str]:
 def pivot_matrix(counts: DataFrame, measure: str, cells: list[str] | None = None) -> DataFrame:
     """Genes x cells matrix of one measure (sample, gene, <cell>...), zero
     where a gene has no count in a cell; cell columns in string order."""
-    rows = matrix_axes_filter(counts, measure)
     if cells is None:
+        # the cell list needs one pass over the counts; checkpoint them in the
+        # shared folder so the pivot does not recompute the whole plan
+        from celltally.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(counts.sparkSession)
+        counts = counts.checkpoint(eager=True)
         cells = matrix_cells(counts, measure)
+    rows = matrix_axes_filter(counts, measure)
     wide = rows.groupBy("sample", "gene").pivot("cell", cells).agg(F.sum(measure))
     zero = 0.0 if measure.startswith("transcripts") else 0
     return wide.na.fill(zero, subset=cells)

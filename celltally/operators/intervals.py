@@ -190,18 +190,24 @@ def clean_overlaps(overlaps: DataFrame, bin_size: int = DEFAULT_BIN, dedup: bool
     row's interval (both tested against the uncleaned other side). Equal
     rows are first reduced to one (``dedup``).
 
-    Returns ``{"overlaps": deduplicated rows, "clean": kept rows}``.
-    Plan: the dedup shuffle is shared by both branches (exchange reuse);
-    the verdict is computed once per distinct interval; the final anti-join
-    is a shuffle join on the interval, where AQE splits hot intervals.
+    Returns ``{"overlaps": deduplicated rows, "blocked": blocked intervals,
+    "clean": kept rows}``. Plan: the dedup shuffle (hashed on all columns,
+    so it spreads evenly) feeds both branches; the verdict is computed once
+    per distinct interval; the final anti-join is a shuffle join on the
+    interval, where AQE splits hot intervals. :func:`drop_blocked` applies
+    the verdict to any narrower projection of the rows.
     """
     rows = overlaps.select(*OVERLAP_COLS)
     if dedup:
         rows = rows.dropDuplicates(OVERLAP_COLS)
     intervals = rows.select(*INTERVAL_KEYS).distinct()
     blocked = blocked_intervals(intervals, bin_size)
-    clean = rows.join(blocked, INTERVAL_KEYS, "left_anti").select(*OVERLAP_COLS)
-    return {"overlaps": rows, "clean": clean}
+    return {"overlaps": rows, "blocked": blocked, "clean": drop_blocked(rows, blocked)}
+
+
+def drop_blocked(rows: DataFrame, blocked: DataFrame) -> DataFrame:
+    """Rows whose (sample, label, chrom, start, end) is not blocked."""
+    return rows.join(blocked, INTERVAL_KEYS, "left_anti").select(*rows.columns)
 
 
 def clean_overlaps_theta(overlaps: DataFrame, dedup: bool = True) -> DataFrame:

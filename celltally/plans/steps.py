@@ -78,8 +78,12 @@ def count(alignments: DataFrame, exons: DataFrame, introns: DataFrame, contigs:
     ov = iv.overlap_join(unique, features, bin_size, broadcast_max_rows)
     res = iv.clean_overlaps(ov, bin_size, dedup)
     clean = res["clean"]
+    # counts need only cell, UMI and gene: parse them before the anti-join so
+    # its shuffle moves narrow rows instead of read names
+    tagged = iv.drop_blocked(cnt.tag_rows(res["overlaps"]), res["blocked"])
     if contigs is not None:
         clean = iv.contig_filter(clean, contigs, broadcast_max_rows)
-    mol = cnt.molecules(clean)
+        tagged = iv.contig_filter(tagged, contigs, broadcast_max_rows)
+    mol = cnt.molecules(tagged)
     counts = cnt.gene_cell_counts(mol, umi_length)
     return Counted(blocks, res["overlaps"], clean, mol, counts)
