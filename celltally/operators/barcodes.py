@@ -96,7 +96,7 @@ def assign_cells(reads: DataFrame, dictionary: DataFrame, how: str = "inner",
     """
     keys = [k for k in _sample_keys(dictionary) if k in reads.columns]
     d = dictionary.filter(F.col("cell") != NO_CELL).select(*keys, F.col("seq").alias("cbc"), "cell")
-    return reads.join(broadcast_if_small(d, broadcast_max_rows), [*keys, "cbc"], how)
+    return reads.join(broadcast_if_small(d, broadcast_max_rows, materialize=True), [*keys, "cbc"], how)
 
 
 def barcoded_records(assigned: DataFrame) -> DataFrame:

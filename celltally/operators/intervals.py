@@ -233,4 +233,4 @@ def contig_filter(rows: DataFrame, contigs: DataFrame,
     has a ``sample`` column)."""
     keys = ["sample", "chrom"] if "sample" in contigs.columns else ["chrom"]
     c = contigs.select(*(k for k in keys if k != "chrom"), F.col("contig").alias("chrom")).distinct()
-    return rows.join(broadcast_if_small(c, broadcast_max_rows), keys, "left_semi")
+    return rows.join(broadcast_if_small(c, broadcast_max_rows, materialize=True), keys, "left_semi")
