@@ -144,9 +144,9 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: s
 
 def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN,
                       labels: tuple[str, str] = ("intron", "exon")) -> DataFrame:
-    """Distinct (sample, label, chrom, start, end) that overlap at least one
-    interval of the other label in the same sample and chrom (any strand,
-    any gene, any read).
+    """(sample, label, chrom, start, end) that overlap at least one interval
+    of the other label in the same sample and chrom (any strand, any gene,
+    any read); an interval may repeat (once per bin it is blocked in).
 
     An interval a meets the other label iff the largest end among that
     label's intervals starting before a.end exceeds a.start. Intervals are
@@ -160,7 +160,9 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN,
     """
     first, second = labels
     iv = intervals.select(*INTERVAL_KEYS)
-    binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size))).repartition("sample", "chrom", "bin")
+    binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size)))
+    # both roles are generated before the window's exchange on
+    # (sample, chrom, bin), so that single exchange serves the window
     roles = binned.select(
         *INTERVAL_KEYS, "bin",
         F.inline(F.array(
@@ -179,7 +181,9 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN,
         .when(F.col("label") == second, source_max(first)).alias("other_max_end"),
     )
     hit = verdict.filter((F.col("src") == 0) & (F.col("other_max_end") > F.col("start")))
-    return hit.select(*INTERVAL_KEYS).distinct()
+    # an interval spanning several bins may appear more than once; the result
+    # only feeds semi/anti joins, where repeats change nothing
+    return hit.select(*INTERVAL_KEYS)
 
 
 def clean_overlaps(overlaps: DataFrame, bin_size: int = DEFAULT_BIN, dedup: bool = True) -> dict[str, DataFrame]:
