@@ -71,7 +71,9 @@ def run(spark: SparkSession, manifest_path: str, gtf_path: str, alignments: Data
 
     res = steps.count(alignments, exons, introns, contigs=contigs, umi_length=p.len_umi)
     sinks.write_overlaps(res.clean, os.path.join(out, "overlaps"))
-    clean = spark.read.parquet(os.path.join(out, "overlaps"))  # lineage cut at a written table
+    # lineage cut at a written table; the schema keeps sample ids strings even
+    # when they look numeric in the partition folders
+    clean = spark.read.schema(res.clean.schema).parquet(os.path.join(out, "overlaps"))
     counts = cnt.gene_cell_counts(cnt.molecules(clean), p.len_umi)
     sinks.write_table(counts, os.path.join(out, "counts"))
     summary = cnt.overlap_summary(clean)
