@@ -15,7 +15,10 @@ from pyspark.sql.window import Window
 from celltally.functions.cigar import alignment_blocks, strand_of
 from celltally.operators.common import DEFAULT_BROADCAST_MAX_ROWS, bins, broadcast_if_small, first_bin
 
-DEFAULT_BIN = 10_000
+DEFAULT_BIN = 10_000  # overlap join: features (introns) can be long
+# anti-join: intervals are clipped read blocks (short), so small bins keep the
+# per-bin window small even at a locus with extreme depth
+ANTI_BIN = 1_000
 UNIQUE_MAPQ = 255  # MAPQ the aligner gives to uniquely mapped reads
 OVERLAP_COLS = ["sample", "label", "chrom", "start", "end", "qname", "strand", "gene_fullname"]
 INTERVAL_KEYS = ["sample", "label", "chrom", "start", "end"]
@@ -142,7 +145,7 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: s
     return islands.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
-def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN,
+def blocked_intervals(intervals: DataFrame, bin_size: int = ANTI_BIN,
                       labels: tuple[str, str] = ("intron", "exon")) -> DataFrame:
     """(sample, label, chrom, start, end) that overlap at least one interval
     of the other label in the same sample and chrom (any strand, any gene,
@@ -186,7 +189,7 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = DEFAULT_BIN,
     return hit.select(*INTERVAL_KEYS)
 
 
-def clean_overlaps(overlaps: DataFrame, bin_size: int = DEFAULT_BIN, dedup: bool = True) -> dict[str, DataFrame]:
+def clean_overlaps(overlaps: DataFrame, bin_size: int = ANTI_BIN, dedup: bool = True) -> dict[str, DataFrame]:
     """Mutual interval anti-join of labelled overlap rows.
 
     An intron row is dropped when its interval meets any exon row's interval

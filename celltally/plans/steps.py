@@ -69,14 +69,15 @@ class Counted:
 
 
 def count(alignments: DataFrame, exons: DataFrame, introns: DataFrame, contigs: DataFrame | None = None,
-          umi_length: int = cnt.DEFAULT_UMI_LENGTH, bin_size: int = iv.DEFAULT_BIN, dedup: bool = True,
+          umi_length: int = cnt.DEFAULT_UMI_LENGTH, bin_size: int = iv.DEFAULT_BIN,
+          anti_bin_size: int = iv.ANTI_BIN, dedup: bool = True,
           broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> Counted:
     """Alignments (sample, rname, pos, mapq, flag, cigar, qname) -> counts."""
     blocks = iv.align_blocks(alignments)
     unique = blocks.filter(F.col("mapq") == iv.UNIQUE_MAPQ)
     features = iv.label_features(exons=exons, introns=introns)
     ov = iv.overlap_join(unique, features, bin_size, broadcast_max_rows)
-    res = iv.clean_overlaps(ov, bin_size, dedup)
+    res = iv.clean_overlaps(ov, anti_bin_size, dedup)
     clean = res["clean"]
     # counts need only cell, UMI and gene: parse them before the anti-join so
     # its shuffle moves narrow rows instead of read names
