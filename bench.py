@@ -46,7 +46,9 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     keys = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="celltally-bench")
+    # local mode: one shuffle partition per core (AQE still coalesces small ones)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8"))
+    spark = local_session(cpus, shuffle_partitions=parts, app="celltally-bench")
     times = {}
     for k in keys:
         warm = run(spark, k, sf_dir)  # warm-up
