@@ -124,6 +124,13 @@ class FastqPairSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Register both sources. This module is pickled by value, so Python
+    workers need no installed copy of the package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastqSource)
     spark.dataSource.register(FastqPairSource)
 
