@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors: Spark hands out a zip of
+    its sources once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    top = os.path.dirname(package)
+    path = os.path.join(tempfile.mkdtemp(prefix="celltally-src-"), "celltally_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

@@ -58,7 +58,79 @@ SELECT conv_id, count(*) AS n_turns,
 FROM told GROUP BY conv_id
 """
 
+OP7_QUALITY_RULES = rf"""
+WITH docs AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+word AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i
+  FROM (SELECT doc_id, {WORDS} AS words FROM docs)),
+three AS (
+  SELECT doc_id, i, word, lead(word, 1) OVER w AS b, lead(word, 2) OVER w AS c FROM word WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, word, b, c) AS n FROM three WHERE c IS NOT NULL) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2)) AS t(j) GROUP BY doc_id),
+line AS (
+  SELECT doc_id, count(*) AS n, count(DISTINCT line) AS k
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, lang, source, CAST(coalesce(w.n, 0) AS BIGINT) AS n_words, CAST(coalesce(w.chars, 0) AS BIGINT) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(line.n, 0) AS n_lines,
+         CAST(coalesce(line.n - line.k, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
+  FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n, sum(length(word)) AS chars FROM word GROUP BY doc_id) w USING (doc_id)
+  LEFT JOIN line USING (doc_id) LEFT JOIN covered USING (doc_id)),
+ratios AS (
+  SELECT *, CASE WHEN n_words > 0 THEN least(1000 * n_symbols // n_words, 5000) ELSE 0 END AS symbols,
+         CASE WHEN n_lines > 0 THEN least(1000 * n_dup_lines // n_lines, 5000) ELSE 0 END AS dup_lines,
+         CASE WHEN n_words > 0 THEN least(1000 * n_repeat_words // n_words, 5000) ELSE 0 END AS repeats,
+         CASE WHEN word_chars > 0 THEN least(1000 * n_upper // word_chars, 5000) ELSE 0 END AS upper_part,
+         CASE WHEN n_words > 0 THEN least(100 * word_chars // n_words, 5000) ELSE 0 END AS word_length FROM counts),
+long AS (
+  SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'upper_part', 'word_length']) AS ratio,
+         unnest([symbols, dup_lines, repeats, upper_part, word_length]) AS v FROM ratios),
+own AS (SELECT lang, source, ratio, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM long GROUP BY ALL),
+tongue AS (SELECT lang, ratio, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM long GROUP BY ALL),
+every AS (SELECT ratio, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM long GROUP BY ALL),
+chosen AS (
+  SELECT own.lang, own.source, own.ratio,
+         CASE WHEN own.n >= 200 THEN own.q1 WHEN tongue.n >= 200 THEN tongue.q1 ELSE every.q1 END AS q1,
+         CASE WHEN own.n >= 200 THEN own.q3 WHEN tongue.n >= 200 THEN tongue.q3 ELSE every.q3 END AS q3
+  FROM own JOIN tongue ON own.lang IS NOT DISTINCT FROM tongue.lang AND own.ratio = tongue.ratio JOIN every ON own.ratio = every.ratio),
+bounds AS (
+  SELECT lang, source, ratio, q1 - greatest(4 * (q3 - q1), least_reach) AS low, q3 + greatest(4 * (q3 - q1), least_reach) AS high
+  FROM chosen JOIN (VALUES ('symbols', 200), ('dup_lines', 300), ('repeats', 200), ('upper_part', 200), ('word_length', 300)) AS t(ratio, least_reach)
+  USING (ratio)),
+verdict AS (
+  SELECT r.doc_id, bool_and(CASE b.ratio WHEN 'symbols' THEN symbols WHEN 'dup_lines' THEN dup_lines WHEN 'repeats' THEN repeats
+                                 WHEN 'upper_part' THEN upper_part ELSE word_length END BETWEEN b.low AND b.high) AS within
+  FROM ratios r JOIN bounds b ON r.lang IS NOT DISTINCT FROM b.lang AND r.source IS NOT DISTINCT FROM b.source GROUP BY r.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND within AS kept
+FROM ratios JOIN verdict USING (doc_id)
+"""
+
+OP9_REPEATS = rf"""
+WITH word AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i
+  FROM (SELECT doc_id, {WORDS} AS words FROM documents)),
+win AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER w AS s, count(*) OVER w AS n
+  FROM word WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least_id FROM win WHERE n = 13) WHERE least_id < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM hit, range(0, 13) AS t(j)),
+kept AS (
+  SELECT word.doc_id, count(*) AS n_words, count(gone.i) AS n_removed,
+         string_agg(word, ' ' ORDER BY word.i) FILTER (gone.i IS NULL) AS kept
+  FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i GROUP BY word.doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
 SQL = {
+    "op9_repeats": OP9_REPEATS,
+    "op7_quality_rules": OP7_QUALITY_RULES,
     "op3_mix": OP3_MIX,
     "op10_chat_format": OP10_CHAT_FORMAT,
 }

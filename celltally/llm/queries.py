@@ -3,9 +3,10 @@ whole table with production parameters."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from celltally.llm import chat, mixing
+from celltally.llm import bpe, chat, mixing, repeats, rules
 from celltally.llm.common import table
 
 
@@ -13,11 +14,33 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def read_file(path: str) -> bytes:
+    """A vocabulary file, read by the driver and broadcast to the tasks."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def op5_bpe_codec(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    ranks = read_file(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(table(spark, sf_dir, "documents"))
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
 QUERIES = {
     "op3_mix": op3_mix,
+    "op5_bpe_codec": op5_bpe_codec,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_repeats": op9_repeats,
     "op10_chat_format": op10_chat_format,
 }
