@@ -58,6 +58,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM told GROUP BY conv_id
 """
 
+OP1_JACCARD = r"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS grams
+  FROM lowered),
+sized AS (SELECT doc_id, len(grams) AS n, grams FROM sets),
+gram AS (SELECT doc_id, n, unnest(grams) AS g FROM sized),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS n1, any_value(b.n) AS n2
+  FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common WHERE 100 * k >= 85 * (n1 + n2 - k)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT both_ways.b, reach.root FROM reach JOIN both_ways ON reach.id = both_ways.a
+          WHERE reach.root < both_ways.b)
+SELECT sized.doc_id, CAST(n AS BIGINT) AS n_shingles, min(root) AS component_id FROM sized JOIN reach ON sized.doc_id = reach.id GROUP BY 1, 2
+"""
+
 OP7_QUALITY_RULES = rf"""
 WITH docs AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 word AS (
@@ -129,6 +149,7 @@ FROM documents LEFT JOIN kept USING (doc_id)
 """
 
 SQL = {
+    "op1_jaccard": OP1_JACCARD,
     "op9_repeats": OP9_REPEATS,
     "op7_quality_rules": OP7_QUALITY_RULES,
     "op3_mix": OP3_MIX,

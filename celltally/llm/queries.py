@@ -6,10 +6,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from celltally.llm import bpe, chat, mixing, repeats, rules
+from celltally.llm import bpe, chat, jaccard, mixing, repeats, rules
 from celltally.llm.common import table
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard": op1_jaccard,
     "op3_mix": op3_mix,
     "op5_bpe_codec": op5_bpe_codec,
     "op7_quality_rules": op7_quality_rules,
