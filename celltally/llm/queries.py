@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from celltally.llm import bpe, chat, jaccard, mixing, repeats, rules
+from celltally.llm import bpe, chat, idfiles, jaccard, mixing, repeats, rules
 from celltally.llm.common import table
 
 
@@ -25,6 +25,10 @@ def read_file(path: str) -> bytes:
         return f.read()
 
 
+def op4_id_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return idfiles.report(table(spark, sf_dir, "documents"), read_file(path or public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     ranks = read_file(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -45,6 +49,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_jaccard": op1_jaccard,
     "op3_mix": op3_mix,
+    "op4_id_files": op4_id_files,
     "op5_bpe_codec": op5_bpe_codec,
     "op7_quality_rules": op7_quality_rules,
     "op9_repeats": op9_repeats,
