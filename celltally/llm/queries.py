@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from celltally.llm import bpe, chat, idfiles, jaccard, mixing, repeats, rules
+from celltally.llm import bpe, chat, idfiles, jaccard, mixing, parsing, pii, repeats, rules
 from celltally.llm.common import table
 
 
@@ -34,10 +34,18 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str, path: str | None = None) ->
     return bpe.report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.compared(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
 
@@ -51,7 +59,9 @@ QUERIES = {
     "op3_mix": op3_mix,
     "op4_id_files": op4_id_files,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_fingerprints": op6_fingerprints,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pii": op8_pii,
     "op9_repeats": op9_repeats,
     "op10_chat_format": op10_chat_format,
 }
