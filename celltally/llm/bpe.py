@@ -24,7 +24,7 @@ from celltally.llm.common import col, fresh, ship
 
 #: Distinct pieces a Python worker remembers between batches.
 MEMORY_PIECES = 1 << 20
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 
 
 def byte_characters() -> list[str]:
@@ -60,6 +60,7 @@ class Codec:
     """A tokenizer with the bytes of its ids and its memory of pieces."""
 
     def __init__(self, tokenizer, table: dict[int, bytes]):
+        """Without a tokenizer, for decoding alone."""
         self.tokenizer = tokenizer
         size = max(table) + 1
         lengths = np.zeros(size, np.int64)
@@ -68,11 +69,23 @@ class Codec:
         self.lengths = lengths
         self.starts = np.cumsum(lengths) - lengths
         self.bytes = np.frombuffer(b"".join(table.get(i, b"") for i in range(size)), np.uint8)
-        self.forget()
+        self.keys, self.at, self.n = np.zeros(0, tk.U), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids, self.used = np.zeros(0, np.int32), np.zeros(0, bool)
 
     def forget(self):
-        self.keys, self.at, self.n = np.zeros(0, tk.U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        """Keeps the pieces that were met again since they were learnt or last kept."""
+        keep = self.used if self.used.sum() < MEMORY_PIECES // 2 else np.zeros(len(self.keys), bool)
+        self.ids = self.ids[tk.gather(self.at[keep].astype(np.int64), self.n[keep])]
+        self.keys, self.n = self.keys[keep], self.n[keep]
+        self.at = (np.cumsum(self.n) - self.n).astype(np.int32)
+        self.used = np.zeros(len(self.keys), bool)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys in the memory, and whether each is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -102,13 +115,14 @@ class Codec:
             at[i], n[i] = done, len(got)
             ids.append(np.asarray(got, np.int32))
             done += len(got)
-        if len(self.keys) + len(keys) > MEMORY_PIECES:
-            self.forget()
         at += len(self.ids)
         self.ids = np.concatenate([self.ids, *ids])
         keys = np.concatenate([self.keys, keys])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.at, self.n = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+        self.used = np.concatenate([self.used, np.zeros(len(at), bool)])[order]
+        self.keys = keys[order]
+        self.at = np.concatenate([self.at, at.astype(np.int32)])[order]
+        self.n = np.concatenate([self.n, n.astype(np.int32)])[order]
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of each text."""
@@ -116,19 +130,17 @@ class Codec:
             return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
         starts, ends, regular = cut(data, offs)
         distinct, example, which = np.unique(tk.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-        known = np.zeros(len(distinct), bool)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
-            known = self.keys[at] == distinct
+        at, known = self.find(distinct)
+        self.used[at[known]] = True
         if not known.all():
             if len(self.keys) + (~known).sum() > MEMORY_PIECES:
                 self.forget()
-                known[:] = False
+                _, known = self.find(distinct)
             new = example[~known]
             self.learn(data, starts[new], ends[new], distinct[~known], regular[new])
-        at = np.searchsorted(self.keys, distinct)
+        at, _ = self.find(distinct)
         n = self.n[at][which]
-        ids = self.ids[tk.gather(self.at[at][which], n)]
+        ids = self.ids[tk.gather(self.at[at].astype(np.int64)[which], n)]
         upto = np.concatenate([[0], np.cumsum(n)])
         offsets = upto[np.searchsorted(starts, offs)]
         if not np.array_equal(self.decode(ids), data):
@@ -199,6 +211,14 @@ def rank_codec(content: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+def rank_table(content: bytes) -> Codec:
+    """The ids of a rank file and their bytes, for decoding."""
+    key = (hash(content), None)
+    if key not in _CODECS:
+        _CODECS[key] = Codec(None, {r: token for token, r in read_ranks(content).items()})
+    return _CODECS[key]
+
+
 def file_codec(content: bytes) -> Codec:
     """The codec of a byte-level tokenizer file; its special strings are ordinary text."""
     key = hash(content)
@@ -254,14 +274,14 @@ def starts_of(codec: Codec, data, offs, ids, at) -> np.ndarray:
     return (point[byte] - np.repeat(base, np.diff(at))).astype("<u4")
 
 
-def decode(encoded: DataFrame, content: bytes, pattern: str, ids: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, content: bytes, ids: str = "ids") -> DataFrame:
     """``encoded`` plus ``decoded``: the bytes that the ids stand for (null ids: none)."""
     ship(encoded.sparkSession)
     name = fresh(encoded, "decoded")
     shared = encoded.sparkSession.sparkContext.broadcast(content)
 
     def run(batches):
-        codec = rank_codec(shared.value, pattern)
+        codec = rank_table(shared.value)
         for batch in batches:
             got = batch.column(ids).cast(pa.large_binary()).fill_null(b"")
             offs = np.frombuffer(got.buffers()[1], np.int64)[got.offset:got.offset + len(got) + 1]
@@ -279,5 +299,5 @@ def decode(encoded: DataFrame, content: bytes, pattern: str, ids: str = "ids") -
 
 def report(docs: DataFrame, content: bytes, pattern: str) -> DataFrame:
     """The digest of the registered query, one row per document."""
-    out = decode(encode(docs.select("doc_id", "text"), content, pattern).drop("text"), content, pattern)
+    out = decode(encode(docs.select("doc_id", "text"), content, pattern).drop("text"), content)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -27,12 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 2000
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors: Spark hands out a zip of
-    its sources once per application."""
+    its sources once per application. Whole texts are long rows, so Arrow
+    batches get ``BATCH_ROWS`` unless the session says otherwise."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # the default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
