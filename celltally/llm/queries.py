@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from celltally.llm import bpe, chat, idfiles, jaccard, mixing, parsing, pii, repeats, rules
+from celltally.llm import bpe, chat, idfiles, jaccard, mixing, parsing, pii, repeats, resample, rules
 from celltally.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_jaccard": op1_jaccard,
+    "op2_quality_resampling": op2_quality_resampling,
     "op3_mix": op3_mix,
     "op4_id_files": op4_id_files,
     "op5_bpe_codec": op5_bpe_codec,
