@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltally.llm import textkit as tk
-from celltally.llm.common import col, fresh, ship
+from celltally.llm.common import fresh, named, ship
 
 #: Distinct pieces a Python worker remembers between batches.
 MEMORY_PIECES = 1 << 20
@@ -244,7 +244,7 @@ def encode(docs: DataFrame, content: bytes, pattern: str, offsets: bool = False)
     """
     ship(docs.sparkSession)
     names = [fresh(docs, n) for n in ("n_tokens", "ids", "starts")]
-    text = fresh(docs, "bpe_text")
+    text = named(docs, "text")
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def run(batches):
@@ -253,15 +253,14 @@ def encode(docs: DataFrame, content: bytes, pattern: str, offsets: bool = False)
             for part in tk.slices(batch, text, SLICE_BYTES):
                 data, offs = tk.text_bytes(part.column(text))
                 ids, at = codec.encode(data, offs)
-                out = [part.column(i) for i, c in enumerate(part.schema.names) if c != text]
-                out += [pa.array(np.diff(at)), tk.binary_rows(ids.astype("<u4"), at)]
+                out = [*part.columns, pa.array(np.diff(at)), tk.binary_rows(ids.astype("<u4"), at)]
                 if offsets:
                     out.append(tk.binary_rows(starts_of(codec, data, offs, ids, at), at))
-                yield pa.RecordBatch.from_arrays(out, names=[c for c in part.schema.names if c != text] + names[:2 + offsets])
+                yield pa.RecordBatch.from_arrays(out, names=[*part.schema.names, *names[:2 + offsets]])
 
     schema = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema]
                        + [f"{names[0]} long", f"{names[1]} binary"] + [f"{names[2]} binary"] * offsets)
-    return docs.withColumn(text, col("text").cast("string")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def starts_of(codec: Codec, data, offs, ids, at) -> np.ndarray:

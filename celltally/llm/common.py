@@ -70,6 +70,11 @@ def small(df: DataFrame, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> Da
     return F.broadcast(df) if df.count() * bytes_per_row <= limit else df
 
 
+def named(df: DataFrame, name: str) -> str:
+    """The column that ``name`` means, as ``df`` spells it."""
+    return next(c for c in df.columns if c.lower() == name.lower())
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name`` with underscores in front until ``df`` has no such column."""
     have = {c.lower() for c in df.columns}

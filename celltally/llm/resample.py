@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltally.llm import textkit as tk
-from celltally.llm.common import col, fresh, land, ship
+from celltally.llm.common import col, fresh, land, named, ship
 
 #: Buckets of byte triples; two more count equal and different neighbour words.
 SLOTS = 1 << 16
@@ -99,7 +99,7 @@ def noise(ids: np.ndarray, seed: int) -> np.ndarray:
 def scored(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> tuple[DataFrame, str, str]:
     """``docs`` with log weight and Gumbel key, and the names of the two columns."""
     ship(docs.sparkSession)
-    weight, key, text, ident = fresh(docs, "log_weight"), fresh(docs, "gumbel_key"), fresh(docs, "score_text"), fresh(docs, "score_id")
+    weight, key, text, ident = fresh(docs, "log_weight"), fresh(docs, "gumbel_key"), named(docs, "text"), named(docs, "doc_id")
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches):
@@ -107,13 +107,11 @@ def scored(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> tuple[DataF
             for part in tk.slices(batch, text):
                 triples, at, pairs, pair_at = grams(*tk.text_bytes(part.column(text)))
                 w = np.round(summed(shared.value[triples], at) + summed(shared.value[pairs], pair_at), 6)
-                ids = part.column(ident).fill_null(0).to_numpy(zero_copy_only=False)
-                own = [(c, part.column(i)) for i, c in enumerate(part.schema.names) if c not in (text, ident)]
-                yield pa.RecordBatch.from_arrays([a for _, a in own] + [pa.array(w), pa.array(w + noise(ids, seed))], names=[c for c, _ in own] + [weight, key])
+                ids = part.column(ident).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(w), pa.array(w + noise(ids, seed))], names=[*part.schema.names, weight, key])
 
     schema = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{weight} double", f"{key} double"])
-    with_text = docs.withColumns({text: col("text").cast("string"), ident: col("doc_id").cast("long")})
-    return with_text.mapInArrow(run, schema), weight, key
+    return docs.mapInArrow(run, schema), weight, key
 
 
 def best_cut(scores: list[tuple[float, int]]) -> float:
