@@ -56,7 +56,10 @@ def parse_name(qname) -> tuple[Column, Column]:
 
 
 def parse_tag_name(h) -> tuple[Column, Column]:
-    """(cell, umi) from a tag-style name ``[@]CBI:<cell>;UMI:<umi>``; the cell
-    is zero-filled to width 3."""
-    m = F.str_to_map(F.regexp_replace(_c(h), "^@", ""), F.lit(";"), F.lit(":"))
-    return pad_cell(F.try_element_at(m, F.lit("CBI"))), F.try_element_at(m, F.lit("UMI"))
+    """(cell, umi) from a tag-style name ``[@]CBI:<cell>;UMI:<umi>``; of a
+    repeated tag the last counts; the cell is zero-filled to width 3."""
+    def last(tag):
+        found = F.regexp_extract_all(F.concat(F.lit(";"), F.regexp_replace(_c(h), "^@", "")), F.lit(f";{tag}:([^;:]*)"), F.lit(1))
+        return F.try_element_at(found, F.lit(-1))
+
+    return pad_cell(last("CBI")), last("UMI")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltally.functions.barcodes import compose_name, split_barcode, strip_prefix
-from celltally.operators.common import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from celltally.operators.common import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 # Fixed substitution alphabets: with a Hamming distance of 0 only an 'N' may
 # replace one base; otherwise any of these five letters may.
@@ -87,16 +87,16 @@ def split_reads(pairs: DataFrame, bc_read: str = "R1", bio_read: str = "R2", len
 
 
 def assign_cells(reads: DataFrame, dictionary: DataFrame, how: str = "inner",
-                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Equi-join of read barcodes (``cbc``) with the dictionary (``seq``).
 
-    The dictionary is broadcast after a row count check; otherwise both
+    The dictionary is broadcast after its size is measured; otherwise both
     sides are shuffled on the barcode (AQE splits a hot barcode). ``how`` =
     ``left`` keeps unmatched reads with a null cell (for statistics).
     """
     keys = [k for k in _sample_keys(dictionary) if k in reads.columns]
     d = dictionary.filter(F.col("cell") != NO_CELL).select(*keys, F.col("seq").alias("cbc"), "cell")
-    return reads.join(broadcast_if_small(d, broadcast_max_rows, materialize=True), [*keys, "cbc"], how)
+    return reads.join(broadcast_if_small(d, broadcast_max_bytes, materialize=True), [*keys, "cbc"], how)
 
 
 def barcoded_records(assigned: DataFrame) -> DataFrame:
@@ -142,7 +142,23 @@ def check_pairs(pairs: DataFrame) -> DataFrame:
     ).filter(F.col("bad_name") | F.col("bad_plus") | F.col("bad_length"))
 
 
+def checked_pairs(pairs: DataFrame) -> DataFrame:
+    """``pairs`` whose scan stops at the first pair that breaks the input rules
+    and names it; the test rides along with whatever reads the pairs."""
+    rules = [
+        (F.col("r1_name") != F.col("r2_name"), "names differ"),
+        (F.substr("r1_plus", F.lit(1), F.lit(1)) != F.substr("r2_plus", F.lit(1), F.lit(1)), "plus lines differ"),
+        ((F.length("r1_qual") != F.length("r1_seq")) | (F.length("r2_qual") != F.length("r2_seq")), "a quality is not as long as its sequence"),
+    ]
+    where = F.concat(F.lit("sample "), F.col("sample"), F.lit(", record "), F.col("rec_no").cast("string"), F.lit(" ("), F.col("r1_name"), F.lit("): "))
+    keep = F.lit(True)
+    for broken, what in rules:
+        keep = F.when(broken, F.raise_error(F.concat(where, F.lit(what))).cast("boolean")).otherwise(keep)
+    return pairs.filter(keep)
+
+
 def require_empty(violations: DataFrame, what: str) -> None:
-    """Raise when a check query returns any row (a one-row probe)."""
-    if not violations.isEmpty():
-        raise ValueError(f"input check failed: {what}")
+    """Raise when a check query returns any row, and name the first."""
+    row = violations.first()
+    if row is not None:
+        raise ValueError(f"input check failed: {what}: {row.asDict()}")

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from celltally.functions.barcodes import parse_name
 from celltally.functions.counting import gene_key, umi_to_transcripts
+from celltally.operators.common import land
 
 DEFAULT_UMI_LENGTH = 6
 MEASURES = {
@@ -18,8 +20,6 @@ MEASURES = {
     "umis": ["umis_unspliced", "umis_spliced", "umis_total"],
     "transcripts": ["transcripts_unspliced", "transcripts_spliced", "transcripts_total"],
 }
-# Largest number of matrix columns (cells) a pivot may produce.
-MAX_MATRIX_CELLS = 10_000
 
 
 def tag_rows(rows: DataFrame) -> DataFrame:
@@ -33,14 +33,31 @@ def tag_rows(rows: DataFrame) -> DataFrame:
                        gene_key("gene_fullname", "chrom").alias("gene"), umi.alias("umi"))
 
 
+def collapsed_rows(overlaps: DataFrame, dedup: bool = True) -> DataFrame:
+    """Overlap rows -> (sample, label, chrom, start, end, cell, gene, umi, n):
+    repeated rows removed, then copies of one molecule on one interval counted.
+
+    One exchange on interval, cell and UMI serves both steps (a hot locus is
+    spread by cell and UMI); read names leave the plan here.
+    """
+    keys = ["sample", "label", "chrom", "start", "end", "cell", "umi"]
+    umi, cell = parse_name("qname")
+    t = overlaps.select(*[c for c in overlaps.columns if c not in ("cell", "umi")], cell.alias("cell"), umi.alias("umi"),
+                        gene_key("gene_fullname", "chrom").alias("gene")).repartition(*keys)
+    if dedup:
+        t = t.dropDuplicates([*keys, "gene", "qname", "strand", "gene_fullname"])
+    return t.groupBy(*keys, "gene").agg(F.count(F.lit(1)).alias("n"))
+
+
 def molecules(clean: DataFrame) -> DataFrame:
     """One row per (sample, cell, gene, umi) with its intron and exon row
-    counts. UMIs compare exactly (``N`` included). Accepts overlap rows or
-    rows already passed through :func:`tag_rows`."""
+    counts. UMIs compare exactly (``N`` included). Accepts overlap rows, rows
+    already passed through :func:`tag_rows`, or :func:`collapsed_rows`."""
     t = clean if "umi" in clean.columns else tag_rows(clean)
+    n = F.col("n") if "n" in t.columns else F.lit(1)
     return t.groupBy("sample", "cell", "gene", "umi").agg(
-        F.count_if(F.col("label") == "intron").alias("n_intron"),
-        F.count_if(F.col("label") == "exon").alias("n_exon"),
+        F.sum(F.when(F.col("label") == "intron", n).otherwise(0)).cast("long").alias("n_intron"),
+        F.sum(F.when(F.col("label") == "exon", n).otherwise(0)).cast("long").alias("n_exon"),
     )
 
 
@@ -76,7 +93,7 @@ def overlap_summary(clean: DataFrame) -> DataFrame:
 
 
 def gene_rowcounts(clean: DataFrame) -> DataFrame:
-    """Rows per (sample, label, gene_fullname), largest first."""
+    """Rows per (sample, label, gene_fullname); the sink sorts them."""
     return (
         clean.groupBy("sample", "label", F.col("gene_fullname").alias("gene"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -94,25 +111,48 @@ def matrix_axes_filter(counts: DataFrame, measure: str) -> DataFrame:
 
 
 def matrix_cells(counts: DataFrame, measure: str) -> list[str]:
-    """Sorted cell ids of a matrix (bounded by the barcode whitelist)."""
-    rows = matrix_axes_filter(counts, measure).select("cell").distinct().limit(MAX_MATRIX_CELLS + 1).collect()
-    if len(rows) > MAX_MATRIX_CELLS:
-        raise ValueError(f"more than {MAX_MATRIX_CELLS} cells: export the long table instead of a matrix")
-    return sorted(r[0] for r in rows)
+    """Sorted cell ids of a matrix (one per barcode of the whitelist)."""
+    return sorted(r[0] for r in matrix_axes_filter(counts, measure).select("cell").distinct().collect())
 
 
 def pivot_matrix(counts: DataFrame, measure: str, cells: list[str] | None = None) -> DataFrame:
     """Genes x cells matrix of one measure (sample, gene, <cell>...), zero
-    where a gene has no count in a cell; cell columns in string order."""
+    where a gene has no count in a cell; cell columns in string order. Any
+    cell id will do. For files, :func:`matrix_lines` has no column per cell."""
     if cells is None:
-        # the cell list needs one pass over the counts; checkpoint them in the
-        # shared folder so the pivot does not recompute the whole plan
-        from celltally.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(counts.sparkSession)
-        counts = counts.checkpoint(eager=True)
+        counts = land(counts, "counts")
         cells = matrix_cells(counts, measure)
     rows = matrix_axes_filter(counts, measure)
+    zero = F.lit(0.0 if measure.startswith("transcripts") else 0)
     wide = rows.groupBy("sample", "gene").pivot("cell", cells).agg(F.sum(measure))
-    zero = 0.0 if measure.startswith("transcripts") else 0
-    return wide.na.fill(zero, subset=cells)
+    quoted = ["`" + c.replace("`", "``") + "`" for c in cells]
+    return wide.select("sample", "gene", *[F.coalesce(F.col(q), zero).alias(c) for q, c in zip(quoted, cells)])
+
+
+def matrix_lines(counts: DataFrame, measures: list[str] | None = None) -> DataFrame:
+    """(sample, measure, gene, line): the text lines of all matrices of all
+    samples in one grouped pass; the header line has a null gene.
+
+    A line holds the gene and, tab-separated, one value per cell of the
+    matrix, in string order of the cells. Entries sit in order of their cell's
+    number, and the zeros between two of them are filled in by repetition, so
+    any number of cells works and the work follows the entries.
+    """
+    names = measures or [m for fam in MEASURES.values() for m in fam]
+    split_reads = ("reads_unspliced", "reads_spliced")
+    entry = F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("string").alias("value"),
+                 ((F.col(m) > 0) if m in split_reads else F.lit(True)).alias("on_axis")) for m in names])
+    cells = counts.select("sample", "cell", "gene", F.inline(entry)).where("on_axis").drop("on_axis")
+    place = F.row_number().over(Window.partitionBy("sample", "measure").orderBy("cell")) - 1
+    axis = cells.select("sample", "measure", "cell").distinct().withColumn("at", place)
+    width = axis.groupBy("sample", "measure").agg(F.count(F.lit(1)).alias("n_cells"))
+    header = axis.groupBy("sample", "measure").agg(F.array_sort(F.collect_list("cell")).alias("c")).select(
+        "sample", "measure", F.lit(None).cast("string").alias("gene"), F.concat_ws("\t", F.lit("gene"), F.array_join("c", "\t")).alias("line"))
+    rows = (cells.join(axis, ["sample", "measure", "cell"]).groupBy("sample", "measure", "gene")
+            .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("e")).join(width, ["sample", "measure"]))
+    zero = F.when(F.col("measure").startswith("transcripts"), F.lit("\t0.0")).otherwise(F.lit("\t0"))
+    before = lambda i: F.when(i > 0, F.col("e")[i - 1]["at"]).otherwise(F.lit(-1))
+    values = F.transform("e", lambda x, i: F.concat(F.repeat(zero, x["at"] - before(i) - 1), F.lit("\t"), x["value"]))
+    tail = F.repeat(zero, F.col("n_cells").cast("int") - 1 - F.element_at("e", -1)["at"])
+    return header.unionByName(rows.select("sample", "measure", "gene", F.concat(F.col("gene"), F.array_join(values, ""), tail).alias("line")))

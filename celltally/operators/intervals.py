@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from celltally.functions.cigar import alignment_blocks, strand_of
-from celltally.operators.common import DEFAULT_BROADCAST_MAX_ROWS, bins, broadcast_if_small, first_bin
+from celltally.operators.common import DEFAULT_BROADCAST_BYTES, bins, broadcast_if_small, first_bin, land
 
-DEFAULT_BIN = 10_000  # overlap join: features (introns) can be long
+# overlap join: bin widths are DEFAULT_BIN * BIN_STEP ** level; a feature lies in
+# the lowest level that is as wide as it is long
+DEFAULT_BIN, BIN_STEP, BIN_LEVELS = 256, 8, 8
 # anti-join: intervals are clipped read blocks (short), so small bins keep the
 # per-bin window small even at a locus with extreme depth
 ANTI_BIN = 1_000
@@ -58,7 +60,7 @@ def overlap_join(
     blocks: DataFrame,
     features: DataFrame,
     bin_size: int = DEFAULT_BIN,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Strand-aware overlap join, each hit clipped to the intersection.
 
@@ -66,12 +68,23 @@ def overlap_join(
     ``features``: chr, start, end, strand, gene_fullname[, label].
     One output row per (block, feature) pair with
     ``block.start < feature.end and feature.start < block.end`` on the same
-    chrom and strand. Both sides are cut into bins; a pair is emitted only in
-    the first bin both touch. The feature side is broadcast when its binned
-    row count is at most ``broadcast_max_rows``; otherwise both sides are
-    shuffled on (chrom, strand, bin).
+    chrom and strand.
+
+    Bins come in levels of growing width. A feature lies in the lowest level
+    that is at least as wide as it is long, so it touches two bins there at
+    most; a block probes the levels that have features. Neither side explodes,
+    whether exons of a hundred bases or introns of a megabase. A pair counts in
+    the first bin both touch. The feature side is broadcast when it has at most
+    ``broadcast_max_bytes``; otherwise both sides are shuffled on
+    (chrom, strand, level, bin).
     """
     has_label = "label" in features.columns
+    widths = [bin_size * BIN_STEP ** i for i in range(BIN_LEVELS)]
+    length = F.col("f_end") - F.col("f_start")
+    level = F.lit(BIN_LEVELS - 1)
+    for i in reversed(range(BIN_LEVELS - 1)):
+        level = F.when(length <= widths[i], F.lit(i)).otherwise(level)
+    width = F.element_at(F.array(*[F.lit(w).cast("long") for w in widths]), F.col("f_level") + 1)
     f = features.select(
         F.col("chr").alias("f_chrom"),
         F.col("start").alias("f_start"),
@@ -79,22 +92,28 @@ def overlap_join(
         F.col("strand").alias("f_strand"),
         "gene_fullname",
         (F.col("label") if has_label else F.lit(None).cast("string")).alias("label"),
-    ).withColumn("f_bin", F.explode(bins("f_start", "f_end", bin_size)))
-    f = broadcast_if_small(f, broadcast_max_rows, materialize=True)
-    b = blocks.select("sample", "chrom", "start", "end", "qname", "strand").withColumn(
-        "bin", F.explode(bins("start", "end", bin_size))
-    )
+    ).withColumn("f_level", level).withColumn("f_width", width)
+    last = F.greatest(F.col("f_end"), F.col("f_start") + 1) - 1
+    f = land(f.withColumn("f_bin", F.explode(F.sequence(
+        F.floor(F.col("f_start") / F.col("f_width")).cast("long"), F.floor(last / F.col("f_width")).cast("long")))), "features")
+    present = sorted(r.f_level for r in f.select("f_level").distinct().collect())  # BIN_LEVELS numbers at most
+    f = broadcast_if_small(f, broadcast_max_bytes)
+    def at(level):
+        return F.transform(bins("start", "end", widths[level]), lambda x: F.struct(F.lit(level).alias("level"), x.alias("bin")))
+
+    probe = [at(i) for i in present]
+    probes = F.flatten(F.array(*probe)) if probe else F.array().cast("array<struct<level: int, bin: bigint>>")
+    b = blocks.select("sample", "chrom", "start", "end", "qname", "strand", F.inline(probes))
     cond = (
         (b["chrom"] == f["f_chrom"])
         & (b["strand"] == f["f_strand"])
+        & (b["level"] == f["f_level"])
         & (b["bin"] == f["f_bin"])
         & (b["start"] < f["f_end"])
         & (f["f_start"] < b["end"])
     )
-    j = b.join(f, cond, "inner").filter(
-        F.col("bin") == F.greatest(first_bin("start", bin_size), first_bin("f_start", bin_size))
-    )
-    return j.select(
+    first = F.floor(F.greatest(F.col("start"), F.col("f_start")) / F.col("f_width")).cast("long")
+    return b.join(f, cond, "inner").filter(F.col("bin") == first).select(
         "sample",
         "label",
         "chrom",
@@ -106,26 +125,6 @@ def overlap_join(
     )
 
 
-def overlap_join_theta(blocks: DataFrame, features: DataFrame) -> DataFrame:
-    """Reference form of :func:`overlap_join` (equi on chrom and strand,
-    overlap as a filter). Quadratic inside a contig: for tests only."""
-    has_label = "label" in features.columns
-    f = features.select(
-        F.col("chr").alias("f_chrom"), F.col("start").alias("f_start"), F.col("end").alias("f_end"),
-        F.col("strand").alias("f_strand"), "gene_fullname",
-        (F.col("label") if has_label else F.lit(None).cast("string")).alias("label"),
-    )
-    j = blocks.join(
-        f,
-        (blocks["chrom"] == f["f_chrom"]) & (blocks["strand"] == f["f_strand"])
-        & (blocks["start"] < f["f_end"]) & (f["f_start"] < blocks["end"]),
-    )
-    return j.select(
-        "sample", "label", "chrom", F.greatest("start", "f_start").alias("start"),
-        F.least("end", "f_end").alias("end"), "qname", "strand", "gene_fullname",
-    )
-
-
 def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: str = "end",
                     merge_touching: bool = True) -> DataFrame:
     """Union of half-open intervals per key: overlapping (and, by default,
@@ -217,27 +216,11 @@ def drop_blocked(rows: DataFrame, blocked: DataFrame) -> DataFrame:
     return rows.join(blocked, INTERVAL_KEYS, "left_anti").select(*rows.columns)
 
 
-def clean_overlaps_theta(overlaps: DataFrame, dedup: bool = True) -> DataFrame:
-    """Reference form of the anti-join (equi on sample and chrom only)."""
-    rows = overlaps.select(*OVERLAP_COLS)
-    if dedup:
-        rows = rows.dropDuplicates(OVERLAP_COLS)
-    other = rows.select(
-        F.col("sample").alias("o_sample"), F.col("label").alias("o_label"), F.col("chrom").alias("o_chrom"),
-        F.col("start").alias("o_start"), F.col("end").alias("o_end"),
-    ).distinct()
-    return rows.join(
-        other,
-        (rows["sample"] == other["o_sample"]) & (rows["chrom"] == other["o_chrom"])
-        & (rows["label"] != other["o_label"]) & (rows["start"] < other["o_end"]) & (other["o_start"] < rows["end"]),
-        "left_anti",
-    )
-
-
 def contig_filter(rows: DataFrame, contigs: DataFrame,
-                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                  column: str = "chrom") -> DataFrame:
     """Keep rows whose chrom is a listed contig (per sample when ``contigs``
     has a ``sample`` column)."""
-    keys = ["sample", "chrom"] if "sample" in contigs.columns else ["chrom"]
-    c = contigs.select(*(k for k in keys if k != "chrom"), F.col("contig").alias("chrom")).distinct()
-    return rows.join(broadcast_if_small(c, broadcast_max_rows, materialize=True), keys, "left_semi")
+    keys = ["sample", column] if "sample" in contigs.columns else [column]
+    c = contigs.select(*(k for k in keys if k != column), F.col("contig").alias(column)).distinct()
+    return rows.join(broadcast_if_small(c, broadcast_max_bytes, materialize=True), keys, "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from celltally.fixtures import N_CELLS
 from celltally.oracle import with_views
 
 LEN_CBC, LEN_UMI = 6, 6
@@ -42,23 +43,15 @@ def _pairs_sql() -> str:
 
 
 def _matrix_sql(measure: str) -> str:
-    """Dense gene x cell grid of the matrix axes, then DuckDB's PIVOT (its
-    columns come from the data)."""
-    tx = measure.startswith("transcripts")
+    """One conditional sum per cell of the fixture, zero where a gene has none."""
     src = "ox_counts"
-    if tx:
-        u = measure.replace("transcripts", "umis")
-        src = f"(SELECT *, {_tx(u)} AS {measure} FROM ox_counts)"
+    if measure.startswith("transcripts"):
+        src = f"(SELECT *, {_tx(measure.replace('transcripts', 'umis'))} AS {measure} FROM ox_counts)"
     where = f"WHERE {measure} > 0" if measure in ("reads_unspliced", "reads_spliced") else ""
-    typ = "DOUBLE" if tx else "BIGINT"
-    zero = "0.0" if tx else "0"
-    body = f"""m AS (SELECT sample, gene, cell, {measure} AS v FROM {src} t {where}),
-g AS (SELECT DISTINCT sample, gene FROM m), c AS (SELECT DISTINCT sample, cell FROM m),
-grid AS (SELECT g.sample, g.gene, c.cell, coalesce(m.v, {zero}) AS v FROM g JOIN c USING (sample)
-  LEFT JOIN m USING (sample, gene, cell))
-PIVOT grid ON cell USING CAST(sum(v) AS {typ}) GROUP BY sample, gene"""
-    sql = with_views("SELECT 1", ["ox_counts"])
-    return sql[: -len("SELECT 1")].rstrip() + ",\n" + body
+    typ, zero = ("DOUBLE", "0.0") if measure.startswith("transcripts") else ("BIGINT", "0")
+    cells = [f"{i + 1:03d}" for i in range(N_CELLS)]
+    cols = ",\n  ".join(f"CAST(coalesce(sum({measure}) FILTER (WHERE cell = '{c}'), {zero}) AS {typ}) AS \"{c}\"" for c in cells)
+    return with_views(f"SELECT sample, gene,\n  {cols}\nFROM {src} t {where} GROUP BY sample, gene", ["ox_counts"])
 
 
 def oracle_sql() -> dict[str, str]:
@@ -166,6 +159,31 @@ FROM {src} i JOIN ox_genes g USING (gene_id) WHERE i.s < i.e GROUP BY g.chr, i.s
 FROM ({read_stats}) s FULL OUTER JOIN ({summary}) o ON s.sample = o.sample""",
         ["fx_r1", "fx_r2", "fx_whitelist", "ox_clean"], mode="two")
 
+    q["sink_features"] = with_views(
+        """SELECT chr, start, "end", strand, gene_fullname,
+  row_number() OVER (PARTITION BY chr ORDER BY start, "end", strand) AS place FROM ox_exons""", ["ox_exons"])
+    q["sink_overlaps"] = with_views(f"SELECT {OVERLAP_COLS} FROM ox_clean", ["ox_clean"], mode="two")
+    q["sink_gene_counts"] = with_views(
+        """SELECT label, sample, gene_fullname AS gene, count(*) AS n,
+  row_number() OVER (PARTITION BY label ORDER BY sample, count(*) DESC, gene_fullname) AS place
+FROM ox_clean GROUP BY label, sample, gene_fullname""", ["ox_clean"], mode="two")
+    q["sink_fastq"] = with_views(
+        f"""SELECT p.sample, p.r2_name || ':' || p.bcseq || ':' || p.umi || ':' || p.cbc || ':' || {_pad('d.cell')} AS name,
+  p.r2_seq AS seq, substr(p.r2_plus, 1, 1) AS plus, p.r2_qual AS qual
+FROM {_pairs_sql()} p JOIN {_dict_sql(0)} d ON d.seq = p.cbc""", ["fx_r1", "fx_r2", "fx_whitelist"], mode="two")
+    q["sink_alignments"] = with_views('SELECT sample, chrom, start, "end", qname, mapq, strand FROM ox_blocks', ["ox_blocks"])
+    q["sink_matrices"] = with_views(
+        """SELECT sample, measure, line, row_number() OVER (PARTITION BY sample, measure ORDER BY gene NULLS FIRST) AS place FROM (
+  SELECT sample, measure, NULL AS gene, 'gene' || chr(9) || string_agg(DISTINCT cell, chr(9) ORDER BY cell) AS line FROM m GROUP BY sample, measure
+  UNION ALL
+  SELECT g.sample, g.measure, g.gene, g.gene || chr(9) || string_agg(CAST(coalesce(m.v, 0) AS VARCHAR), chr(9) ORDER BY c.cell) AS line
+  FROM (SELECT DISTINCT sample, measure, gene FROM m) g JOIN (SELECT DISTINCT sample, measure, cell FROM m) c USING (sample, measure)
+  LEFT JOIN m USING (sample, measure, gene, cell) GROUP BY g.sample, g.measure, g.gene) t""", ["ox_counts"]).replace(
+        "\nSELECT sample, measure, line, row", """,
+m AS (SELECT sample, gene, cell, 'umis_total' AS measure, umis_total AS v FROM ox_counts
+  UNION ALL SELECT sample, gene, cell, 'reads_spliced' AS measure, reads_spliced AS v FROM ox_counts WHERE reads_spliced > 0)
+SELECT sample, measure, line, row""", 1)
+
     for fam in ("reads", "umis", "transcripts"):
         for part in ("unspliced", "spliced", "total"):
             m = f"{fam}_{part}"

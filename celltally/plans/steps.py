@@ -1,4 +1,5 @@
-"""The three steps of a run, each one lazy DataFrame plan over all samples.
+"""The three steps of a run over all samples. Plans are lazy but for lookup
+tables and collapsed overlap rows, which are written once when needed.
 
 * :func:`annotate` - GTF rows -> gene, exon and intron tables.
 * :func:`barcode` - paired reads + whitelist -> barcoded reads + statistics.
@@ -9,6 +10,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from celltally.operators import annotation as ann
 from celltally.operators import barcodes as bc
 from celltally.operators import counts as cnt
 from celltally.operators import intervals as iv
-from celltally.operators.common import DEFAULT_BROADCAST_MAX_ROWS
+from celltally.operators.common import DEFAULT_BROADCAST_BYTES, land
 
 
 @dataclass
@@ -51,40 +53,61 @@ class Barcoded:
 
 
 def barcode(pairs: DataFrame, whitelist: DataFrame, params: BarcodeParams | None = None,
-            broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> Barcoded:
+            broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> Barcoded:
     p = params or BarcodeParams()
     dictionary = bc.barcode_dictionary(whitelist, p.hd)
     reads = bc.split_reads(pairs, p.bc_read, p.bio_read, p.len_cbc, p.len_umi, p.umi_first)
-    assigned = bc.assign_cells(reads, dictionary, how="left", broadcast_max_rows=broadcast_max_rows)
+    assigned = bc.assign_cells(reads, dictionary, how="left", broadcast_max_bytes=broadcast_max_bytes)
     return Barcoded(dictionary, assigned, bc.barcoded_records(assigned), bc.read_stats(assigned))
 
 
-@dataclass
 class Counted:
-    blocks: DataFrame
-    overlaps: DataFrame  # labelled overlap rows, repeats removed
-    clean: DataFrame  # after the mutual anti-join (and contig filter)
-    molecules: DataFrame
-    counts: DataFrame  # one row per (sample, cell, gene), nine measures
+    """Results of the count step, each built when first asked for.
+
+    ``blocks``; ``overlaps`` (labelled overlap rows, repeats removed); ``clean``
+    (after the mutual anti-join); ``molecules``; ``counts`` (one row per
+    (sample, cell, gene), nine measures). ``overlaps`` and ``clean`` keep read
+    names. ``molecules`` and ``counts`` come from rows collapsed per interval
+    and molecule, written once to the shared folder: the alignments are
+    scanned and joined once, and the verdict reads the same table.
+    """
+
+    def __init__(self, blocks: DataFrame, raw: DataFrame, umi_length: int, anti_bin_size: int, dedup: bool):
+        self.blocks = blocks
+        self._raw, self._umi_length, self._bin, self._dedup = raw, umi_length, anti_bin_size, dedup
+
+    @cached_property
+    def overlaps(self) -> DataFrame:
+        return self._raw.dropDuplicates(iv.OVERLAP_COLS) if self._dedup else self._raw
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return iv.clean_overlaps(self._raw, self._bin, self._dedup)["clean"]
+
+    @cached_property
+    def molecules(self) -> DataFrame:
+        rows = land(cnt.collapsed_rows(self._raw, self._dedup), "collapsed")
+        blocked = iv.blocked_intervals(rows.select(*iv.INTERVAL_KEYS).distinct(), self._bin)
+        return cnt.molecules(iv.drop_blocked(rows, blocked))
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return cnt.gene_cell_counts(self.molecules, self._umi_length)
 
 
 def count(alignments: DataFrame, exons: DataFrame, introns: DataFrame, contigs: DataFrame | None = None,
           umi_length: int = cnt.DEFAULT_UMI_LENGTH, bin_size: int = iv.DEFAULT_BIN,
           anti_bin_size: int = iv.ANTI_BIN, dedup: bool = True,
-          broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> Counted:
-    """Alignments (sample, rname, pos, mapq, flag, cigar, qname) -> counts."""
+          broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> Counted:
+    """Alignments (sample, rname, pos, mapq, flag, cigar, qname) -> counts.
+
+    The contig list filters the alignments themselves: overlaps and the
+    anti-join never cross contigs, so nothing off the list is joined at all.
+    """
+    if contigs is not None:
+        alignments = iv.contig_filter(alignments, contigs, broadcast_max_bytes, column="rname")
     blocks = iv.align_blocks(alignments)
     unique = blocks.filter(F.col("mapq") == iv.UNIQUE_MAPQ)
     features = iv.label_features(exons=exons, introns=introns)
-    ov = iv.overlap_join(unique, features, bin_size, broadcast_max_rows)
-    res = iv.clean_overlaps(ov, anti_bin_size, dedup)
-    clean = res["clean"]
-    # counts need only cell, UMI and gene: parse them before the anti-join so
-    # its shuffle moves narrow rows instead of read names
-    tagged = iv.drop_blocked(cnt.tag_rows(res["overlaps"]), res["blocked"])
-    if contigs is not None:
-        clean = iv.contig_filter(clean, contigs, broadcast_max_rows)
-        tagged = iv.contig_filter(tagged, contigs, broadcast_max_rows)
-    mol = cnt.molecules(tagged)
-    counts = cnt.gene_cell_counts(mol, umi_length)
-    return Counted(blocks, res["overlaps"], clean, mol, counts)
+    raw = iv.overlap_join(unique, features, bin_size, broadcast_max_bytes)
+    return Counted(blocks, raw, umi_length, anti_bin_size, dedup)

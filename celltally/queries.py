@@ -11,9 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from celltally import fixtures as fx
-from celltally.functions.barcodes import parse_name, parse_tag_name, split_barcode, strip_prefix
+from celltally.functions.barcodes import parse_name, parse_tag_name, split_barcode
 from celltally.operators import annotation as ann
 from celltally.operators import barcodes as bc
 from celltally.operators import counts as cnt
@@ -26,6 +27,7 @@ from celltally.sources import text as txt
 
 LEN_CBC, LEN_UMI, UMI_FIRST = 6, 6, True  # run defaults of the original tool
 FIXTURE_FASTQ_CHUNK = 20_000
+CELLS = [f"{i + 1:03d}" for i in range(fx.N_CELLS)]  # cell columns of the fixture's matrices
 ROUND = 6  # decimals reported for transcript estimates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,7 +89,7 @@ def fastq_pairs(spark, d):
     for r, df in (("R1", fx.fx_r1(spark, d)), ("R2", fx.fx_r2(spark, d))):
         rec = df.select("rec_no", F.concat(F.lit("@"), "name", F.lit(" 1:N:0:1")).alias("name"), "seq", "plus", "qual")
         sinks.write_fastq_chunks(rec, f"{base}/S1_{r}", FIXTURE_FASTQ_CHUNK)
-    items = fq.chunk_pairs(f"{base}/S1_R1", f"{base}/S1_R2", "S1", FIXTURE_FASTQ_CHUNK)
+    items = fq.chunk_pairs(spark, f"{base}/S1_R1", f"{base}/S1_R2", "S1")
     p = fq.read_fastq_pairs(spark, items)
     return p.select("rec_no", "r1_name", "r1_seq", "r1_plus", "r1_qual", "r2_name", "r2_seq", "r2_plus", "r2_qual")
 
@@ -113,8 +115,8 @@ def check_pairs(spark, d):
 
 @query
 def contig_filter(spark, d):
-    c = counted(spark, d)
-    return iv.contig_filter(c.clean, fx.fx_contigs(spark, d))
+    a = annotation(spark, d)
+    return steps.count(fx.fx_aligned(spark, d), a.exons, a.introns, contigs=fx.fx_contigs(spark, d)).clean
 
 
 # ---------------------------------------------------------------- barcodes
@@ -295,6 +297,66 @@ def qc_summary(spark, d):
     return stats.join(summ, "sample", "full")
 
 
+# ------------------------------------------------------------------- sinks
+# Each writes its files and reads them back; ``place`` is a row's place in them.
+
+def in_file_order(lines: DataFrame, *keys: str) -> DataFrame:
+    """``place`` of each text line (from 1) by file name and position, per key."""
+    at = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    return lines.select("*", F.row_number().over(Window.partitionBy(*keys).orderBy(at)).cast("long").alias("place"))
+
+
+@query
+def sink_features(spark, d):
+    path = scratch_path(spark, "sink-exons")
+    sinks.write_features(annotation(spark, d).exons, path)
+    assert txt.read_features(spark, path).columns == ["chr", "start", "end", "strand", "gene_fullname"]
+    t = in_file_order(spark.read.text(path).withColumn("chr", F.split_part("value", F.lit("\t"), F.lit(1))), "chr")
+    part = lambda i: F.split_part("value", F.lit("\t"), F.lit(i))
+    return t.select("chr", part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), part(4).alias("strand"),
+                    part(5).alias("gene_fullname"), "place")
+
+
+@query
+def sink_overlaps(spark, d):
+    path = scratch_path(spark, "sink-overlaps")
+    sinks.write_overlaps(counted(spark, d, "two").clean, path)
+    return txt.read_overlap_table(spark, path).select("sample", "label", "chrom", "start", "end", "qname", "strand", "gene_fullname")
+
+
+@query
+def sink_gene_counts(spark, d):
+    path = scratch_path(spark, "sink-gene-counts")
+    sinks.write_gene_counts(cnt.gene_rowcounts(counted(spark, d, "two").clean), path)
+    t = in_file_order(spark.read.text(path), "label")
+    part = lambda i: F.split_part("value", F.lit("\t"), F.lit(i))
+    return t.select("label", part(1).alias("sample"), part(2).alias("gene"), part(3).cast("long").alias("n"), "place")
+
+
+@query
+def sink_fastq(spark, d):
+    path = scratch_path(spark, "sink-fastq")
+    sinks.write_fastq(barcoded(spark, d, "two").records, path)
+    files = [f for folder in fq.listed(spark, path) for f in fq.listed(spark, folder) if "/part-" in f]
+    back = fq.read_fastq(spark, files)
+    return back.select(F.regexp_extract("file", "sample=([^/]+)", 1).alias("sample"), "name", "seq", "plus", "qual")
+
+
+@query
+def sink_alignments(spark, d):
+    path = scratch_path(spark, "sink-alignments")
+    sinks.write_alignments(iv.align_blocks(fx.fx_aligned(spark, d)), path)
+    return spark.read.parquet(path).select("sample", "chrom", "start", "end", "qname", "mapq", "strand")
+
+
+@query
+def sink_matrices(spark, d):
+    path = scratch_path(spark, "sink-matrices")
+    sinks.write_matrices(cnt.matrix_lines(counted(spark, d).counts, ["umis_total", "reads_spliced"]), path)
+    t = in_file_order(spark.read.schema("value string, sample string, measure string").text(path), "sample", "measure")
+    return t.select("sample", "measure", F.col("value").alias("line"), "place")
+
+
 # ---------------------------------------------------------------- matrices
 
 def _matrix(measure: str) -> Query:
@@ -302,7 +364,7 @@ def _matrix(measure: str) -> Query:
         counts = counted(spark, d).counts
         if measure.startswith("transcripts"):
             counts = counts.withColumn(measure, F.round(measure, ROUND))
-        return cnt.pivot_matrix(counts, measure)
+        return cnt.pivot_matrix(counts, measure, CELLS)
 
     run.__name__ = f"matrix_{measure}"
     return run

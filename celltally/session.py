@@ -42,18 +42,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True for a single-process master (``local``, ``local[8]``), whose
+    executors share the driver's disk."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster this is the folder the cluster names in
-    ``spark.checkpoint.dir``; it is read, never replaced. Only when it is unset
-    (local tests) a folder under the system temp directory is registered.
+    On a cluster this is the folder named in ``spark.checkpoint.dir``; it is
+    read, never replaced, and its absence is an error, since executors could
+    not see a folder of the driver. Only a local master (tests) falls back to
+    a folder under the system temp directory.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="celltally-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)
@@ -64,7 +74,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/celltally-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/celltally-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch paths were handed out so far (see ``drop_scratch``)."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def file_system(spark: SparkSession, path: str):
+    """The session's file system for ``path`` and the path itself, so any URI
+    that Spark reads can be listed."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables handed out after ``since``."""
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    for path in paths[since:]:
+        fs, jpath = file_system(spark, path)
+        fs.delete(jpath, True)
+    del paths[since:]

@@ -12,17 +12,21 @@ FASTQ_CHUNK = 1_000_000  # records per chunk folder of a written FASTQ set
 
 
 def write_fastq(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Records (name, seq, plus, qual) -> 4-line FASTQ text, gzip members."""
-    records.select(F.concat_ws("\n", "name", "seq", "plus", "qual").alias("value")).write.mode("overwrite").option(
-        "compression", compression
-    ).text(path)
+    """Records (name, seq, plus, qual) -> 4-line FASTQ text, gzip members; with
+    a ``sample`` column one folder ``sample=<id>`` each."""
+    line = F.concat_ws("\n", "name", "seq", "plus", "qual").alias("value")
+    if "sample" in records.columns:
+        out = records.select("sample", line).write.mode("overwrite").partitionBy("sample")
+    else:
+        out = records.select(line).write.mode("overwrite")
+    out.option("compression", compression).text(path)
 
 
 def write_fastq_chunks(records: DataFrame, path: str, chunk_size: int = FASTQ_CHUNK, compression: str = "gzip") -> None:
-    """FASTQ split into ``chunk=<k>`` folders of ``chunk_size`` records by
-    rec_no, one file each in rec_no order, so two such sets pair up by
-    folder (see ``sources.fastq.chunk_pairs``)."""
-    df = records.withColumn("chunk", F.floor(F.col("rec_no") / F.lit(chunk_size)).cast("long"))
+    """FASTQ split into folders of ``chunk_size`` records by rec_no, named
+    ``chunk=<first rec_no>``, one file each in rec_no order, so two such sets
+    pair up by folder (see ``sources.fastq.chunk_pairs``)."""
+    df = records.withColumn("chunk", (F.floor(F.col("rec_no") / F.lit(chunk_size)) * chunk_size).cast("long"))
     (
         df.repartition("chunk")
         .sortWithinPartitions("chunk", "rec_no")
@@ -51,13 +55,26 @@ def write_features(features: DataFrame, path: str) -> None:
 
 
 def write_overlaps(clean: DataFrame, path: str) -> None:
-    """Cleaned overlap rows as Parquet, one folder per sample and label."""
-    clean.write.mode("overwrite").partitionBy("sample", "label").parquet(path)
+    """Cleaned overlap rows as Parquet, one folder per sample and label. Rows
+    are dealt out by range of sample, label and position first, so a task
+    writes a few folders only and files are sorted by position."""
+    (
+        clean.repartitionByRange("sample", "label", "chrom", "start")
+        .sortWithinPartitions("sample", "label", "chrom", "start", "end")
+        .write.mode("overwrite").partitionBy("sample", "label").parquet(path)
+    )
 
 
-def write_matrix(matrix: DataFrame, path: str) -> None:
-    """A pivoted matrix (sample, gene, cells...) as TSV with a header."""
-    write_tsv(matrix, path, header=True, sort_by=["sample", "gene"])
+def write_matrices(lines: DataFrame, path: str) -> None:
+    """Matrix lines (see ``operators.counts.matrix_lines``) -> text folders
+    ``sample=<id>/measure=<name>``, one file each: the header, then the genes in
+    order. A matrix is one task's work; all matrices are written side by side."""
+    (
+        lines.repartition("sample", "measure")
+        .sortWithinPartitions("sample", "measure", F.col("gene").asc_nulls_first())
+        .select("sample", "measure", F.col("line").alias("value"))
+        .write.mode("overwrite").partitionBy("sample", "measure").text(path)
+    )
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -71,14 +88,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.write.mode("overwrite").parquet(path)
 
 
-def write_gene_counts(gene_rows: DataFrame, path: str) -> None:
-    """Per-gene row counts by label, largest first; no file for a label
-    without rows (the writer emits nothing for an empty input)."""
-    (
-        gene_rows.orderBy(F.desc("n"), "gene")
-        .write.mode("overwrite").partitionBy("sample", "label")
-        .option("sep", "\t").csv(path)
-    )
+def write_gene_counts(gene_rows: DataFrame, path: str, labels: tuple[str, ...] = ("intron", "exon")) -> None:
+    """Per-gene row counts -> ``label=<label>`` folders of TSV (sample, gene, n),
+    sorted over all files of a folder by sample, then largest first. One write
+    per label: a partitioned write would sort again by its folders only."""
+    for label in labels:
+        (
+            gene_rows.where(F.col("label") == label).select("sample", "gene", "n")
+            .orderBy("sample", F.desc("n"), "gene")
+            .write.mode("overwrite").option("sep", "\t").csv(f"{path.rstrip('/')}/label={label}")
+        )
 
 
 def write_alignments(blocks: DataFrame, path: str) -> None:

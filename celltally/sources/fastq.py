@@ -3,8 +3,8 @@
 gzip does not split, so a file is read by one task. Paired files are read
 *together* in that task and zipped record by record, which makes the
 positional pairing free of any shuffle. A run normally has many file pairs
-(lanes, chunks), giving one partition each. Files must be reachable by the
-executors under the given path (a shared mount).
+(lanes, chunks), giving one partition each. Folders are listed through the
+session's file system; executors open a file by its URI or path.
 
 Each line is cut to its first whitespace-separated token; the plus line
 keeps only its first character.
@@ -12,15 +12,16 @@ keeps only its first character.
 
 from __future__ import annotations
 
-import glob
 import gzip
+import io
 import json
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from celltally.session import file_system
+
 BATCH = 65536
 SINGLE_SCHEMA = "sample string, file string, rec_no long, name string, seq string, plus string, qual string"
 PAIR_SCHEMA = (
@@ -30,7 +31,15 @@ PAIR_SCHEMA = (
 
 
 def _open(path: str):
-    return gzip.open(path, "rt") if path.endswith(".gz") else open(path)
+    """Text lines of a file given as path or URI."""
+    from pyarrow import fs
+
+    if "://" not in path and not re.match("[a-z]+:/", path):
+        source, name = fs.LocalFileSystem(), path
+    else:
+        source, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    raw = source.open_input_stream(name, compression=None)
+    return io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw)
 
 
 def _token(line: str) -> str:
@@ -38,9 +47,20 @@ def _token(line: str) -> str:
     return parts[0] if parts else ""
 
 
+def _record(handle):
+    """Name, sequence, first character of the plus line and quality of the next record; None at the end."""
+    lines = [handle.readline() for _ in range(4)]
+    if not lines[3]:
+        return None
+    name, seq, plus, qual = (_token(x) for x in lines)
+    return name, seq, plus[:1], qual
+
+
 class _Part(InputPartition):
-    def __init__(self, sample: str, chunk: str, files: list[str], base: int):
+    def __init__(self, sample: str, chunk: str, files: list[str], base: int, last: bool, tail: bool):
         super().__init__(None)
+        self.last = last
+        self.tail = tail
         self.sample = sample
         self.chunk = chunk
         self.files = files
@@ -53,7 +73,8 @@ class _FastqReader(DataSourceReader):
         self.items = json.loads(options["items"])
 
     def partitions(self):
-        return [_Part(it["sample"], it.get("chunk", ""), it["files"], int(it.get("base", 0))) for it in self.items]
+        return [_Part(it["sample"], it.get("chunk", ""), it["files"], int(it.get("base", 0)), it.get("last", True), it.get("tail", False))
+                for it in self.items]
 
     def read(self, partition: _Part):
         import pyarrow as pa
@@ -64,30 +85,37 @@ class _FastqReader(DataSourceReader):
             names += [f"r1_{f}" for f in fields] + [f"r2_{f}" for f in fields]
         else:
             names += fields
+        schema = pa.schema([(n, pa.int64() if n == "rec_no" else pa.string()) for n in names])
         handles = [_open(p) for p in partition.files]
         try:
             cols = {n: [] for n in names}
             rec = partition.base
             tag = partition.chunk if self.paired else partition.files[0]
-            lines = zip(*handles)  # stops at the shorter file, like zip()
             while True:
-                block = [next(lines, None) for _ in range(4)]
-                if block[3] is None:
+                # one record of each file: four lines, or None at its end
+                records = [_record(h) for h in handles]
+                if all(r is None for r in records):
                     break
+                if any(r is None for r in records):
+                    if not partition.last:
+                        raise ValueError(f"sample {partition.sample}: {partition.files} differ in length before the last chunk")
+                    if not partition.tail:
+                        break
                 cols["sample"].append(partition.sample)
                 cols[names[1]].append(tag)
                 cols["rec_no"].append(rec)
                 for k, prefix in enumerate(["r1_", "r2_"] if self.paired else [""]):
-                    cols[f"{prefix}name"].append(_token(block[0][k]))
-                    cols[f"{prefix}seq"].append(_token(block[1][k]))
-                    cols[f"{prefix}plus"].append(_token(block[2][k])[:1])
-                    cols[f"{prefix}qual"].append(_token(block[3][k]))
+                    name, seq, plus, qual = records[k] or (None, None, None, None)
+                    cols[f"{prefix}name"].append(name)
+                    cols[f"{prefix}seq"].append(seq)
+                    cols[f"{prefix}plus"].append(plus)
+                    cols[f"{prefix}qual"].append(qual)
                 rec += 1
                 if len(cols["rec_no"]) >= BATCH:
-                    yield pa.RecordBatch.from_pydict(cols)
+                    yield pa.RecordBatch.from_pydict(cols, schema=schema)
                     cols = {n: [] for n in names}
             if cols["rec_no"]:
-                yield pa.RecordBatch.from_pydict(cols)
+                yield pa.RecordBatch.from_pydict(cols, schema=schema)
         finally:
             for h in handles:
                 h.close()
@@ -143,45 +171,68 @@ def read_fastq(spark: SparkSession, paths: list[str], sample: str = "") -> DataF
     return spark.read.format("celltally_fastq").option("items", json.dumps(items)).load()
 
 
-def read_fastq_pairs(spark: SparkSession, pairs: list[dict]) -> DataFrame:
-    """Paired files -> one row per record pair.
+def read_fastq_pairs(spark: SparkSession, pairs: list[dict], tail: bool = False) -> DataFrame:
+    """Paired files -> one row per record pair, up to the shorter file's end.
 
-    ``pairs``: dicts with sample, r1, r2 and optional chunk and base (the
-    rec_no of the chunk's first record)."""
+    ``pairs``: dicts with sample, r1, r2 and optional chunk, base (the rec_no
+    of the chunk's first record) and last (false: both files must end
+    together). With ``tail`` the longer file's other records follow, the
+    columns of the missing side being null."""
     register(spark)
     items = [
-        {"sample": p["sample"], "chunk": str(p.get("chunk", "")), "files": [p["r1"], p["r2"]], "base": int(p.get("base", 0))}
+        {"sample": p["sample"], "chunk": str(p.get("chunk", "")), "files": [p["r1"], p["r2"]], "base": int(p.get("base", 0)),
+         "last": bool(p.get("last", True)), "tail": tail}
         for p in pairs
     ]
     return spark.read.format("celltally_fastq_pairs").option("items", json.dumps(items)).load()
 
 
-def sample_pairs(raw_fq_dir: str, sample: str) -> list[dict]:
-    """File pairs of a sample in a directory: ``<sample>_R1.fq.gz`` with
-    ``<sample>_R2.fq.gz``; also chunked layouts
-    ``<sample>_R1/chunk=<k>/*.gz`` (as written by :func:`write_fastq_chunks`)."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = file_system(spark, path)
+    return fs.exists(jpath)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, as URIs; nothing if there is no such folder."""
+    fs, jpath = file_system(spark, path)
+    return sorted(str(f.getPath().toString()) for f in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def sample_pairs(spark: SparkSession, raw_fq_dir: str, sample: str) -> list[dict]:
+    """File pairs of a sample in a directory (path or URI):
+    ``<sample>_R1.fq.gz`` with ``<sample>_R2.fq.gz``, or the chunked layout
+    ``<sample>_R1/chunk=<first rec_no>/*.gz`` of ``write_fastq_chunks``."""
     d = raw_fq_dir.rstrip("/")
     plain = (f"{d}/{sample}_R1.fq.gz", f"{d}/{sample}_R2.fq.gz")
-    if os.path.exists(plain[0]) and os.path.exists(plain[1]):
+    there = [_exists(spark, p) for p in plain]
+    if all(there):
         return [{"sample": sample, "chunk": "", "r1": plain[0], "r2": plain[1], "base": 0}]
-    return chunk_pairs(f"{d}/{sample}_R1", f"{d}/{sample}_R2", sample)
+    if any(there):
+        raise FileNotFoundError(f"sample {sample}: {plain[there.index(False)]} is missing")
+    pairs = chunk_pairs(spark, f"{d}/{sample}_R1", f"{d}/{sample}_R2", sample)
+    if not pairs:
+        raise FileNotFoundError(f"sample {sample}: no FASTQ files in {d}")
+    return pairs
 
 
-def chunk_pairs(r1_dir: str, r2_dir: str, sample: str, chunk_size: int | None = None) -> list[dict]:
-    """Match ``chunk=<k>`` sub-folders of two read folders (one file each)."""
+def chunk_pairs(spark: SparkSession, r1_dir: str, r2_dir: str, sample: str) -> list[dict]:
+    """Match the ``chunk=<first rec_no>`` folders of two read folders (one file
+    each). One side may end earlier; a chunk missing before that is an error."""
     def chunks(d):
         out = {}
-        for sub in glob.glob(f"{d.rstrip('/')}/chunk=*"):
+        for sub in listed(spark, d):
             m = re.search(r"chunk=(\d+)$", sub)
-            files = sorted(f for f in glob.glob(f"{sub}/part-*") if not f.endswith(".crc"))
-            if m and files:
+            files = [f for f in listed(spark, sub) if re.search(r"/part-[^/]*$", f)] if m else []
+            if files:
                 if len(files) != 1:
                     raise ValueError(f"expected one file in {sub}, found {len(files)}")
                 out[int(m.group(1))] = files[0]
         return out
 
     a, b = chunks(r1_dir), chunks(r2_dir)
-    return [
-        {"sample": sample, "chunk": str(k), "r1": a[k], "r2": b[k], "base": k * chunk_size if chunk_size else 0}
-        for k in sorted(set(a) & set(b))
-    ]
+    n = min(len(a), len(b))
+    if sorted(a)[:n] != sorted(b)[:n]:
+        gone = sorted(set(sorted(a)[:n]) ^ set(sorted(b)[:n]))[0]
+        raise FileNotFoundError(f"sample {sample}: chunk {gone} is missing in {r1_dir if gone not in a else r2_dir}")
+    keys = sorted(a)[:n]
+    return [{"sample": sample, "chunk": str(k), "r1": a[k], "r2": b[k], "base": k, "last": k == keys[-1]} for k in keys]

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from celltally.session import file_system
+
 MANIFEST_COLUMNS = ("sample", "raw_fq_dir", "cbc_file")
 GTF_COLUMNS = ["seqname", "source", "feature", "start", "end", "score", "strand", "frame", "attribute"]
 FEATURE_SCHEMA = "chr string, start long, end long, strand string, gene_fullname string"
@@ -14,13 +16,14 @@ OVERLAP_SCHEMA = "chrom string, start long, end long, qname string, strand strin
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest CSV with a header. Fails when sample, raw_fq_dir or
-    cbc_file is missing; other columns and any column order are accepted."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    missing = sorted(set(MANIFEST_COLUMNS) - set(df.columns))
-    if missing:
-        raise ValueError(f"Missing CSV columns: {', '.join(missing)}")
-    return df.select(*MANIFEST_COLUMNS)
+    """Manifest CSV with a header row: one line per sample. The three columns
+    may stand in any order among others; without one of them the manifest is
+    refused."""
+    table = spark.read.csv(path, header=True)
+    absent = [c for c in MANIFEST_COLUMNS if c not in table.columns]
+    if absent:
+        raise ValueError(f"manifest {path} lacks {' and '.join(absent)}; it has {table.columns}")
+    return table.select(*MANIFEST_COLUMNS)
 
 
 def read_whitelist(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
@@ -29,6 +32,20 @@ def read_whitelist(spark: SparkSession, path: str, sample: str | None = None) ->
     return df.select(F.lit(sample).alias("sample"), "cbc", "cell") if sample is not None else df
 
 
+def read_whitelists(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Several whitelist files in one scan -> (cbc_file, cbc, cell), cbc_file
+    being the path as given."""
+    uris = []
+    for p in paths:
+        fs, jpath = file_system(spark, p)
+        uris.append((fs.makeQualified(jpath).toUri().toString(), p))
+    rows = spark.read.schema("cbc string, cell string").option("sep", "\t").csv(list(paths))
+    given = spark.createDataFrame(uris, "uri string, cbc_file string")
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    rows = rows.select(plain(F.col("_metadata.file_path")).alias("uri"), "cbc", "cell")
+    return rows.join(F.broadcast(given.withColumn("uri", plain(F.col("uri")))), "uri").select("cbc_file", "cbc", "cell")
+
+
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     """GTF text: everything from a ``#`` to the end of a line is a comment,
     lines left blank are skipped, nine tab-separated columns.
@@ -75,6 +92,13 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEATURE_SCHEMA).option("sep", "\t").csv(path)
 
 
+def read_overlap_table(spark: SparkSession, path: str) -> DataFrame:
+    """Cleaned overlap rows as :func:`celltally.sinks.files.write_overlaps`
+    writes them (Parquet by sample and label, ids kept as strings)."""
+    schema = "chrom string, start long, end long, qname string, strand string, gene_fullname string, sample string, label string"
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_overlaps(spark: SparkSession, intron_path: str, exon_path: str, sample: str | None = None) -> DataFrame:
     """Cleaned overlap files (6-column TSV) united with a ``label``."""
     def one(path, label):

@@ -1,6 +1,7 @@
 """Properties on the fixture tables (sf0.001)."""
 
 import pytest
+import theta
 from pyspark.sql import functions as F
 
 from celltally import fixtures as fx
@@ -24,20 +25,20 @@ def inputs(spark, sf_small):
 
 def test_binned_join_equals_theta(inputs):
     blocks, feats = inputs
-    theta = as_set(iv.overlap_join_theta(blocks, feats))
-    assert theta
+    want = as_set(theta.overlap_join(blocks, feats))
+    assert want
     for b in (37, 300, 10_000):
-        assert as_set(iv.overlap_join(blocks, feats, b)) == theta
+        assert as_set(iv.overlap_join(blocks, feats, b)) == want
     # the shuffle form (no broadcast) gives the same rows
-    assert as_set(iv.overlap_join(blocks, feats, 300, broadcast_max_rows=None)) == theta
+    assert as_set(iv.overlap_join(blocks, feats, 300, broadcast_max_bytes=None)) == want
 
 
 def test_binned_anti_join_equals_theta(inputs):
     blocks, feats = inputs
     ov = iv.overlap_join(blocks, feats, 300)
-    theta = as_set(iv.clean_overlaps_theta(ov))
+    want = as_set(theta.clean_overlaps(ov))
     for b in (50, 300, 10_000):
-        assert as_set(iv.clean_overlaps(ov, b)["clean"]) == theta
+        assert as_set(iv.clean_overlaps(ov, b)["clean"]) == want
 
 
 def test_count_identities(spark, sf_small):
@@ -79,9 +80,9 @@ def test_hot_interval_and_hot_molecule(spark):
     rows += [("S", "c", 260, 280, f"t{i}:x:GGGG{i % 7:02d}:x:001", 255, "+") for i in range(200)]  # intron only
     blocks = spark.createDataFrame(rows, "sample string, chrom string, start long, end long, qname string, mapq int, strand string")
     ov = iv.overlap_join(blocks, feats, 64)
-    assert as_set(ov) == as_set(iv.overlap_join_theta(blocks, feats))
+    assert as_set(ov) == as_set(theta.overlap_join(blocks, feats))
     clean = iv.clean_overlaps(ov, 16)["clean"]
-    assert as_set(clean) == as_set(iv.clean_overlaps_theta(ov))
+    assert as_set(clean) == as_set(theta.clean_overlaps(ov))
     got = {(r.cell, r.umis_spliced, r.umis_unspliced, r.reads_spliced, r.reads_unspliced)
            for r in cnt.gene_cell_counts(cnt.molecules(clean)).collect()}
     # s-reads: their exon part [150,200) meets the intron part [201,250)? no

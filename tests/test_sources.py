@@ -44,8 +44,8 @@ def test_fastq_pairs_zip_and_tokens(spark, tmp):
     r2 = "".join(f"@r{i} 2:N\nGGGG\n+\nJJJJ\n" for i in range(3))  # shorter: zip stops
     p1 = write(os.path.join(tmp, "S_R1.fq.gz"), r1, gz=True)
     p2 = write(os.path.join(tmp, "S_R2.fq.gz"), r2, gz=True)
-    assert fq.sample_pairs(tmp, "S")[0]["r1"] == p1
-    df = fq.read_fastq_pairs(spark, fq.sample_pairs(tmp, "S"))
+    assert fq.sample_pairs(spark, tmp, "S")[0]["r1"] == p1
+    df = fq.read_fastq_pairs(spark, fq.sample_pairs(spark, tmp, "S"))
     got = sorted(tuple(r) for r in df.select("rec_no", "r1_name", "r1_plus", "r2_name", "r2_seq").collect())
     assert got == [(i, f"@r{i}", "+", f"@r{i}", "GGGG") for i in range(3)]
     single = fq.read_fastq(spark, [p1], sample="S")
@@ -57,7 +57,7 @@ def test_fastq_chunk_round_trip(spark, tmp):
                                  "rec_no long, name string, seq string, plus string, qual string")
     for r in ("R1", "R2"):
         sinks.write_fastq_chunks(recs, os.path.join(tmp, f"S_{r}"), chunk_size=10)
-    items = fq.chunk_pairs(os.path.join(tmp, "S_R1"), os.path.join(tmp, "S_R2"), "S", 10)
+    items = fq.chunk_pairs(spark, os.path.join(tmp, "S_R1"), os.path.join(tmp, "S_R2"), "S")
     assert len(items) == 3
     df = fq.read_fastq_pairs(spark, items)
     got = sorted((r.rec_no, r.r1_name, r.r2_name) for r in df.collect())
@@ -92,4 +92,26 @@ def test_feature_and_matrix_sinks(spark, tmp):
     out = os.path.join(tmp, "ex")
     sinks.write_features(f, out)
     back = txt.read_features(spark, out)
-    assert sorted(tuple(r) for r in back.collect()) == [("c", 1, 3, "+", "g1"), ("c", 5, 9, "+", "g2")]
+    assert [tuple(r) for r in back.collect()] == [("c", 1, 3, "+", "g1"), ("c", 5, 9, "+", "g2")]
+
+
+def test_tag_name_repeated(spark):
+    from celltally.functions.barcodes import parse_tag_name
+
+    cell, umi = parse_tag_name("h")
+    df = spark.createDataFrame([("@CBI:1;UMI:AC;CBI:22",), ("UMI:G",), ("CBI:1234;UMI:T",)], "h string")
+    got = [tuple(r) for r in df.select(cell.alias("c"), umi.alias("u")).collect()]
+    assert got == [("022", "AC"), (None, "G"), ("1234", "T")]
+
+
+def test_overlap_table_round_trip(spark, tmp):
+    rows = [("007", "exon", "c", 5, 9, "n:x:AC:x:001", "+", "g"), ("007", "intron", "c", 1, 2, "m:x:AC:x:001", "-", "h")]
+    schema = "sample string, label string, chrom string, start long, end long, qname string, strand string, gene_fullname string"
+    df = spark.createDataFrame(rows, schema)
+    sinks.write_overlaps(df, os.path.join(tmp, "ov"))
+    assert sorted(tuple(r) for r in txt.read_overlap_table(spark, os.path.join(tmp, "ov")).select(*df.columns).collect()) == rows
+    for label in ("exon", "intron"):
+        part = df.where(f"label = '{label}'").select("chrom", "start", "end", "qname", "strand", "gene_fullname")
+        part.write.option("sep", "\t").csv(os.path.join(tmp, label))
+    back = txt.read_overlaps(spark, os.path.join(tmp, "intron"), os.path.join(tmp, "exon"), "007")
+    assert sorted(tuple(r) for r in back.select(*df.columns).collect()) == rows
