@@ -4,7 +4,9 @@ Base spans are e-mail addresses, IP numbers, card numbers and phone numbers
 found by pattern. Beyond them, words that stand next to such entities can
 reveal them: over the corpus, a term is a disclosing one if the probability of
 an entity given the term is high, it raises the entity's probability by many
-bits, and enough different contexts say so (copies of a text are one context).
+bits, and enough different contexts say so. Copies of a text are one context,
+and variants of a text hardly count as more: what counts is the effective
+number of surroundings, the inverse of the chance that two contexts share theirs.
 Disclosing terms become spans wherever they occur. Sanitised texts have every
 span replaced by its kind.
 
@@ -123,7 +125,8 @@ def spelled(spans: Column) -> Column:
 
 
 def contexts(found: DataFrame) -> DataFrame:
-    """(entity, term, context) from rows with ``text`` and ``base``: the terms near each entity."""
+    """(entity, term, context, around) from rows with ``text`` and ``base``: the
+    terms near each entity; ``around`` is the first and last word of the context."""
     one = found.where(F.size("base") > 0).select("text", F.explode("base").alias("s"))
     raw = F.lower(F.substring("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")))
     entity = F.concat(F.col("s.kind"), F.lit(":"), F.when(F.col("s.kind").isin("card", "phone"), _digits(raw)).otherwise(raw))
@@ -133,12 +136,18 @@ def contexts(found: DataFrame) -> DataFrame:
     right = F.regexp_replace(F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT_CHARS)), r"[^\x20\x09-\x0D]*$", "")
     near = F.lower(F.concat_ws(" ", left, right))
     terms = F.array_distinct(F.regexp_extract_all(near, F.lit(WORD), F.lit(0)))
-    return one.select(entity.alias("entity"), F.md5(near).alias("context"), F.explode(terms).alias("term"))
+    around = F.concat_ws(" ", F.regexp_extract(left, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]*)", 1), F.regexp_extract(right, r"([^\x20\x09-\x0D]*)[\x20\x09-\x0D]*$", 1))
+    return one.select(entity.alias("entity"), F.md5(near).alias("context"), F.lower(around).alias("around"), F.explode(terms).alias("term"))
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """(term, entity, n): entity-term pairs with enough different contexts."""
-    return (contexts(found).distinct().groupBy("term", "entity").agg(F.count("*").alias("n")).where(F.col("n") >= CONTEXTS))
+    """(term, entity, n, n_near): pairs with enough different contexts in which
+    the entity has its share of all contexts (``n_near``) of the term. Common
+    words stand by many entities and go here, before any text is searched."""
+    pairs = contexts(found).distinct().groupBy("term", "entity", "around").agg(F.count("*").alias("n"))
+    pairs = pairs.groupBy("term", "entity").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    near = pairs.groupBy("term").agg(F.sum("n").alias("n_near"))
+    return pairs.where(F.col("n") * F.col("n") >= CONTEXTS * F.col("squares")).drop("squares").join(near, "term").where(F.col("n") >= POSTERIOR * F.col("n_near"))
 
 
 def words_in(texts: DataFrame) -> DataFrame:
@@ -171,9 +180,10 @@ def located(docs: DataFrame) -> DataFrame:
     n_docs = slim.agg(F.count_distinct("md5")).first()[0]
     per_term = hits.select("term", "md5").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
     per_entity = contexts(found.select("text", "base")).select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    bits = F.log2(F.least(F.col("n") / F.col("n_term"), F.lit(1.0)) / (F.col("n_entity") / F.lit(float(n_docs))))
+    seen = F.greatest("n_term", "n_near")  # of a term: texts that hold it, contexts that do
+    bits = F.log2(F.col("n") / seen / (F.col("n_entity") / F.lit(float(n_docs))))
     terms = land(pairs.join(per_term, "term").join(per_entity, "entity")
-                 .where((F.col("n") >= POSTERIOR * F.col("n_term")) & (bits >= BITS)).select("term").distinct(), "pii-terms")
+                 .where((F.col("n") >= POSTERIOR * seen) & (bits >= BITS)).select("term").distinct(), "pii-terms")
     own = land(hits.join(small(terms, 16), "term").groupBy("md5").agg(F.collect_set("term").alias("terms")), "pii-terms")
     pattern = F.concat(F.lit(r"(?i)(?<![\p{L}'-])(?:"), F.concat_ws("|", F.col("terms")), F.lit(r")(?![\p{L}'-])"))
     found = found.withColumn("md5", F.md5("text")).join(own, "md5", "left")
