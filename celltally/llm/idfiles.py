@@ -30,8 +30,7 @@ FILE = "slab int, block int, before long, n_ids long, docs binary, lengths binar
 def encoded_slab(table: pa.Table, content: bytes, end_id: int) -> pa.Table:
     codec = file_codec(content)
     n_symbols = max(len(codec.lengths), end_id + 1)
-    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    docs = table.column("doc_id").combine_chunks().fill_null(NO_ID).to_numpy().astype("<i8")
+    table, docs = slabs.ordered(table)
     parts, lengths = [], []
     for part in tk.slices(table, limit=SLICE_BYTES):
         ids, at = codec.encode(*tk.text_bytes(part.column("text")))
@@ -43,7 +42,7 @@ def encoded_slab(table: pa.Table, content: bytes, end_id: int) -> pa.Table:
     while first < len(docs):
         last = max(first + 1, int(np.searchsorted(upto, upto[first] + idcoder.BLOCK_IDS, "right")) - 1)
         a, b = upto[first], upto[last]
-        rows.append((len(rows), int(a), int(b - a), docs[first:last].tobytes(), lengths[first:last].astype("<u4").tobytes(),
+        rows.append((len(rows), int(a), int(b - a), docs[first:last].astype("<i8").tobytes(), lengths[first:last].astype("<u4").tobytes(),
                      idcoder.encode_block(ids[a:b], n_symbols)))
         first = last
     block, before, n_ids, doc, length, payload = zip(*rows, strict=True)

@@ -59,8 +59,8 @@ def _luhn(digits: Column) -> Column:
 
 def _valid(kind: str, m: Column) -> Column:
     if kind == "ip":
-        part = lambda p: F.regexp_replace(p, "^0+", "")
-        small = lambda p: (F.length(p) <= 3) & (F.coalesce(p.cast("int"), F.lit(0)) <= 255)
+        part = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
+        small = lambda p: F.when(F.length(p) <= 3, p.cast("int") <= 255).otherwise(False)
         return F.forall(F.transform(F.split(m, r"\."), part), small)
     if kind == "card":
         return _let(_digits(m), lambda d: F.when(F.length(d).between(16, 19), _luhn(d)).otherwise(False))

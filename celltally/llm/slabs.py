@@ -48,6 +48,13 @@ def deal(docs: DataFrame, slab_bytes: int = SLAB_BYTES) -> tuple[DataFrame, int]
     return base.withColumn("slab", slab_of("doc_id")), n
 
 
+def ordered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """A slab's rows by doc_id, then text, nulls first; and the ids, a null
+    being the smallest number."""
+    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
+    return table, table.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()
+
+
 def narrow(h: np.ndarray, n_shards: int) -> np.ndarray:
     """Shard and 32 bits of a hash in one number, ordered by shard.
 
