@@ -27,7 +27,13 @@ GTF_ROWS = [
     ("exon", 620, 1),
     ("exon", 650, 0),
     ("exon", 700, 180),
+    ("gene", 5, 990),
 ]
+# Parts with awkward genes: no intron (only the first two exons, which overlap),
+# no gene_name, a second gene row of another biotype later in the file.
+NO_INTRON, NO_NAME, TWO_GENE_ROWS = 11, 13, 17
+# Alignments of every so many orders come twice; the last cell has exon reads only.
+REPEAT_ORDERS, EXON_ONLY_CELL = 97, 47
 CIGARS = ["50M", "25M200N25M", "10S30M", "20M5D20M2I8M"]  # by l_linenumber % 4
 ABSENT_CONTIG = "chr5"
 # Largest number of orderkey blocks used to number lineitem rows.
@@ -163,8 +169,8 @@ def fx_r2_bad(spark, sf_dir, sample_mode: str = "one") -> DataFrame:
 
 
 def fx_gtf(spark, sf_dir) -> DataFrame:
-    """Eight annotation rows per part (one gene, seven exons); a generator,
-    not a join, multiplies the rows."""
+    """Up to nine annotation rows per part (a gene or two, seven exons); a
+    generator, not a join, multiplies the rows."""
     # part is one small file; spread it so the eight-fold rows parse in parallel
     p = table(spark, sf_dir, "part")
     p = p.repartition(max(1, spark.sparkContext.defaultParallelism), "p_partkey")
@@ -174,18 +180,21 @@ def fx_gtf(spark, sf_dir) -> DataFrame:
     ])
     base = F.lit(1000) * F.floor(F.col("p_partkey") / 10).cast("long") + 1 + (F.col("p_size") % 3) * 20
     biotype = (
-        F.when(F.col("p_size") % 5 == 0, "lncRNA")
+        F.when((F.col("feature") == "gene") & (F.col("o") == 5), "second")
+        .when(F.col("p_size") % 5 == 0, "lncRNA")
         .when(F.col("p_size") % 5 == 1, "IG_C_gene")
         .otherwise("protein_coding")
     )
     attribute = F.concat(
         F.lit('gene_id "G'), F.col("p_partkey").cast("string"),
-        F.lit('"; gene_name "'), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")),
+        F.when(F.col("p_partkey") % NO_NAME == 0, "").otherwise(F.concat(F.lit('"; gene_name "'), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))),
         F.lit('"; gene_biotype "'), biotype,
         F.lit('"; note "two words"; tag "basic"; tag "CCDS";'),
     )
     return (
         p.select("*", F.inline(rows))
+        .filter((F.col("p_partkey") % NO_INTRON != 0) | (F.col("feature") == "gene") | (F.col("o") <= 60))
+        .filter((F.col("p_partkey") % TWO_GENE_ROWS == 0) | (F.col("feature") != "gene") | (F.col("o") == 0))
         .select(
             F.concat(F.lit("chr"), (F.col("p_partkey") % 5 + 1).cast("string")).alias("seqname"),
             F.lit("fx").alias("source"),
@@ -221,13 +230,17 @@ def fx_aligned(spark, sf_dir, sample_mode: str = "one") -> DataFrame:
     ln = F.col("l_linenumber") % 4
     cigar = F.when(ln == 0, CIGARS[0]).when(ln == 1, CIGARS[1]).when(ln == 2, CIGARS[2]).otherwise(CIGARS[3])
     cell = F.lpad((F.col("l_suppkey") % N_CELLS + 1).cast("string"), 3, "0")
+    offset = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 1000
+    unmapped = (F.col("l_suppkey") % N_CELLS == EXON_ONLY_CELL) & ((offset >= 60) | (ln != 0))
+    r = r.withColumn("copy", F.explode(F.when(F.col("l_orderkey") % REPEAT_ORDERS == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     return r.select(
         "sample",
         F.concat(F.lit("chr"), (F.col("l_partkey") % 5 + 1).cast("string")).alias("rname"),
         (F.lit(1000) * F.floor(F.col("l_partkey") / 10).cast("long") + 1
          + (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 1000).cast("long").alias("pos"),
         F.when(F.col("l_quantity") > 5, F.lit(255)).otherwise(F.lit(3)).cast("int").alias("mapq"),
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 2 == 0, F.lit(0)).otherwise(F.lit(16)).cast("int").alias("flag"),
+        F.when(unmapped, F.lit(4)).when((F.col("l_orderkey") + F.col("l_linenumber")) % 2 == 0, F.lit(0))
+        .otherwise(F.lit(16)).cast("int").alias("flag"),
         cigar.alias("cigar"),
         F.concat_ws(":", "name", F.concat(umi, cbc), umi, cbc, cell).alias("qname"),
     )

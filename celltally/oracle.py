@@ -51,33 +51,36 @@ def _views(mode: str) -> dict[str, tuple[list[str], str]]:
   1000*CAST(floor(p_partkey/10) AS bigint) + 1 + (p_size % 3)*20 + o AS start_,
   1000*CAST(floor(p_partkey/10) AS bigint) + 1 + (p_size % 3)*20 + o + w AS end_,
   CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand,
-  'gene_id "G' || p_partkey || '"; gene_name "' || replace(p_name,' ','-') || '"; gene_biotype "' ||
-  CASE p_size % 5 WHEN 0 THEN 'lncRNA' WHEN 1 THEN 'IG_C_gene' ELSE 'protein_coding' END || '"; note "two words"; tag "basic"; tag "CCDS";' AS attribute
-FROM part, (VALUES {_gtf_values()}) v(feature,o,w)""")
+  'gene_id "G' || p_partkey || CASE WHEN p_partkey % {fx.NO_NAME} = 0 THEN '' ELSE '"; gene_name "' || replace(p_name,' ','-') END || '"; gene_biotype "' ||
+  CASE WHEN feature = 'gene' AND o = 5 THEN 'second' WHEN p_size % 5 = 0 THEN 'lncRNA' WHEN p_size % 5 = 1 THEN 'IG_C_gene' ELSE 'protein_coding' END || '"; note "two words"; tag "basic"; tag "CCDS";' AS attribute
+FROM part, (VALUES {_gtf_values()}) v(feature,o,w)
+WHERE (feature = 'exon' AND (o <= 60 OR p_partkey % {fx.NO_INTRON} <> 0)) OR (feature = 'gene' AND (o = 0 OR p_partkey % {fx.TWO_GENE_ROWS} = 0))""")
     v["fx_gtf_text"] = (["fx_gtf"], """SELECT CASE WHEN feature = 'gene' AND start_ % 3000 = 1 THEN '#' ELSE '' END || seqname || chr(9) || source || chr(9) || feature || chr(9) || start_ || chr(9) || end_ || chr(9) || '.' || chr(9) || strand || chr(9) || '.' || chr(9) || attribute ||
   CASE WHEN start_ % 2 = 1 THEN ' # note' ELSE '' END AS value FROM fx_gtf""")
     cig = "CASE l_linenumber % 4 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(fx.CIGARS)) + " END"
     v["fx_aligned"] = (["fx_rawid"], f"""SELECT sample, 'chr' || (l_partkey % 5 + 1) AS rname,
   1000*CAST(floor(l_partkey/10) AS bigint) + 1 + (l_orderkey*37+l_linenumber*101) % 1000 AS pos,
   CAST(CASE WHEN l_quantity > 5 THEN 255 ELSE 3 END AS INTEGER) AS mapq,
-  CAST(CASE WHEN (l_orderkey+l_linenumber) % 2 = 0 THEN 0 ELSE 16 END AS INTEGER) AS flag,
+  CAST(CASE WHEN l_suppkey % {fx.N_CELLS} = {fx.EXON_ONLY_CELL} AND ((l_orderkey*37+l_linenumber*101) % 1000 >= 60 OR l_linenumber % 4 <> 0) THEN 4
+    WHEN (l_orderkey+l_linenumber) % 2 = 0 THEN 0 ELSE 16 END AS INTEGER) AS flag,
   {cig} AS cigar,
   name || ':' || umi || cbc || ':' || umi || ':' || cbc || ':' || lpad(CAST(l_suppkey % {fx.N_CELLS} + 1 AS VARCHAR),3,'0') AS qname
-FROM (SELECT *, {dig('cbc_code')} AS cbc, {dig('umi_code')} AS umi FROM fx_rawid) t""")
+FROM (SELECT *, {dig('cbc_code')} AS cbc, {dig('umi_code')} AS umi FROM fx_rawid) t, (VALUES (1), (2)) c(copy)
+WHERE copy = 1 OR l_orderkey % {fx.REPEAT_ORDERS} = 0""")
     v["fx_contigs"] = (["fx_aligned"], f"SELECT DISTINCT rname AS contig FROM fx_aligned WHERE rname <> '{fx.ABSENT_CONTIG}'")
     v["fx_tag_names"] = ([], f"SELECT CASE WHEN s_suppkey % 2 = 0 THEN '@' ELSE '' END || 'CBI:' || (s_suppkey % 1500) || ';UMI:' || {dig('s_suppkey*29')} AS h FROM supplier")
 
     # ---- annotation, plain SQL: attributes by pattern, exons as position sets
     v["ox_attr"] = (["fx_gtf"], """SELECT seqname, feature, start_, end_, strand,
   regexp_extract(attribute, 'gene_id "([^"]*)"', 1) AS gene_id,
-  replace(regexp_extract(attribute, 'gene_name "([^"]*)"', 1), '-', '.') AS gene_name,
+  coalesce(nullif(replace(regexp_extract(attribute, 'gene_name "([^"]*)"', 1), '-', '.'), ''), '.') AS gene_name,
   regexp_extract(attribute, 'gene_biotype "([^"]*)"', 1) AS biotype_raw,
   regexp_extract_all(attribute, 'tag "([^"]*)"', 1)[-1] AS tag
 FROM fx_gtf""")
     v["ox_named"] = (["ox_attr"], """SELECT *, gene_id || '_' || gene_name || '_' || gene_biotype AS gene_fullname FROM (
   SELECT *, CASE WHEN contains(biotype_raw, '_') THEN array_to_string(list_transform(string_split(biotype_raw, '_'), lambda p: upper(p[1:1]) || lower(p[2:])), '')
     ELSE biotype_raw END AS gene_biotype FROM ox_attr) t""")
-    v["ox_genes"] = (["ox_named"], "SELECT gene_id, seqname AS chr, strand, gene_fullname FROM ox_named WHERE feature = 'gene'")
+    v["ox_genes"] = (["ox_named"], "SELECT gene_id, seqname AS chr, strand, gene_fullname FROM ox_named WHERE feature = 'gene' AND end_ - start_ = 880")  # the first row of the id
     v["ox_exon_pos"] = (["ox_named"], "SELECT DISTINCT gene_id, unnest(range(start_, end_)) AS p FROM ox_named WHERE feature = 'exon'")
     v["ox_islands"] = (["ox_exon_pos"], """SELECT gene_id, min(p) AS s, max(p) + 1 AS e FROM (
   SELECT gene_id, p, p - row_number() OVER (PARTITION BY gene_id ORDER BY p) AS grp FROM ox_exon_pos) t GROUP BY gene_id, grp""")

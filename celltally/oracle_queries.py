@@ -106,7 +106,7 @@ FROM {_pairs_sql()} p LEFT JOIN {_dict_sql(0)} d ON d.seq = p.cbc GROUP BY p.sam
 
     q["gtf_attributes"] = with_views(
         """SELECT seqname, feature, start_ AS start, end_ AS "end", strand, regexp_extract(attribute, 'gene_id "([^"]*)"', 1) AS gene_id,
-  regexp_extract(attribute, 'gene_name "([^"]*)"', 1) AS gene_name,
+  coalesce(nullif(regexp_extract(attribute, 'gene_name "([^"]*)"', 1), ''), '-') AS gene_name,
   regexp_extract(attribute, 'gene_biotype "([^"]*)"', 1) AS gene_biotype,
   regexp_extract_all(attribute, 'tag "([^"]*)"', 1)[-1] AS tag FROM fx_gtf""", ["fx_gtf"])
     q["gtf_keys"] = with_views(
@@ -181,7 +181,8 @@ FROM {_pairs_sql()} p JOIN {_dict_sql(0)} d ON d.seq = p.cbc""", ["fx_r1", "fx_r
   LEFT JOIN m USING (sample, measure, gene, cell) GROUP BY g.sample, g.measure, g.gene) t""", ["ox_counts"]).replace(
         "\nSELECT sample, measure, line, row", """,
 m AS (SELECT sample, gene, cell, 'umis_total' AS measure, umis_total AS v FROM ox_counts
-  UNION ALL SELECT sample, gene, cell, 'reads_spliced' AS measure, reads_spliced AS v FROM ox_counts WHERE reads_spliced > 0)
+  UNION ALL SELECT sample, gene, cell, 'reads_spliced' AS measure, reads_spliced AS v FROM ox_counts WHERE reads_spliced > 0
+  UNION ALL SELECT sample, gene, cell, 'reads_unspliced' AS measure, reads_unspliced AS v FROM ox_counts WHERE reads_unspliced > 0)
 SELECT sample, measure, line, row""", 1)
 
     for fam in ("reads", "umis", "transcripts"):

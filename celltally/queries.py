@@ -352,7 +352,7 @@ def sink_alignments(spark, d):
 @query
 def sink_matrices(spark, d):
     path = scratch_path(spark, "sink-matrices")
-    sinks.write_matrices(cnt.matrix_lines(counted(spark, d).counts, ["umis_total", "reads_spliced"]), path)
+    sinks.write_matrices(cnt.matrix_lines(counted(spark, d).counts, ["umis_total", "reads_spliced", "reads_unspliced"]), path)
     t = in_file_order(spark.read.schema("value string, sample string, measure string").text(path), "sample", "measure")
     return t.select("sample", "measure", F.col("value").alias("line"), "place")
 
