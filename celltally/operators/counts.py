@@ -43,7 +43,10 @@ def collapsed_rows(overlaps: DataFrame, dedup: bool = True) -> DataFrame:
     keys = ["sample", "label", "chrom", "start", "end", "cell", "umi"]
     umi, cell = parse_name("qname")
     t = overlaps.select(*[c for c in overlaps.columns if c not in ("cell", "umi")], cell.alias("cell"), umi.alias("umi"),
-                        gene_key("gene_fullname", "chrom").alias("gene")).repartition(*keys)
+                        gene_key("gene_fullname", "chrom").alias("gene"))
+    # without sample and label: a literal among the keys would cost the two
+    # aggregates their use of this exchange
+    t = t.repartition("chrom", "start", "end", "cell", "umi")
     if dedup:
         t = t.dropDuplicates([*keys, "gene", "qname", "strand", "gene_fullname"])
     return t.groupBy(*keys, "gene").agg(F.count(F.lit(1)).alias("n"))
