@@ -23,7 +23,7 @@ from celltally.llm import textkit as tk
 from celltally.llm.common import fresh, named, ship
 
 #: Distinct pieces a Python worker remembers between batches.
-MEMORY_PIECES = 1 << 20
+MEMORY_PIECES = 3 << 18
 SLICE_BYTES = 2 << 20
 
 

@@ -22,7 +22,7 @@ from celltally.llm import textkit as tk
 from celltally.llm.common import col, ship
 
 #: Text per slab. Larger slabs make fewer, longer arrays; a task holds one slab.
-SLAB_BYTES = 8 << 20
+SLAB_BYTES = 6 << 20
 
 
 def deal(docs: DataFrame, slab_bytes: int = SLAB_BYTES) -> tuple[DataFrame, int]:

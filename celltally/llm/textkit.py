@@ -6,6 +6,7 @@ to ``SLICE_BYTES`` together, or one longer text. Nothing here touches Spark.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts worked on at a time, in bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 U = np.uint64
 #: Odd multipliers of the mixing steps.
@@ -41,6 +42,16 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data, offs - offs[0]
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Python workers are reused, and
+    what one operator leaves would count against the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(table: pa.RecordBatch | pa.Table, text: str = "text", limit: int = SLICE_BYTES) -> Iterator:
     """Consecutive row slices whose texts hold at most ``limit`` bytes, or one row."""
     _, offs = text_bytes(table.column(text))
@@ -49,6 +60,7 @@ def slices(table: pa.RecordBatch | pa.Table, text: str = "text", limit: int = SL
         end = max(row + 1, int(np.searchsorted(offs, offs[row] + limit, "right")) - 1)
         yield table.slice(row, end - row)
         row = end
+    release()
 
 
 def spans(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
