@@ -4,9 +4,9 @@ Base spans are e-mail addresses, IP numbers, card numbers and phone numbers
 found by pattern. Beyond them, words that stand next to such entities can
 reveal them: over the corpus, a term is a disclosing one if the probability of
 an entity given the term is high, it raises the entity's probability by many
-bits, and enough different contexts say so. Copies of a text are one context,
-and variants of a text hardly count as more: what counts is the effective
-number of surroundings, the inverse of the chance that two contexts share theirs.
+bits, and enough different texts say so. Equal texts count once; variants of a
+text are told by the whole texts and are no evidence of their own, however
+alike or unlike the places around the entity are.
 Disclosing terms become spans wherever they occur. Sanitised texts have every
 span replaced by its kind.
 
@@ -32,8 +32,10 @@ TERM = "term"
 #: Terms are looked for in so many code points on either side of an entity.
 CONTEXT_CHARS = 48
 WORD = r"\p{L}[\p{L}'-]{2,}"
-#: A disclosing term: P(entity | term), bits it adds, and different contexts behind it, at least.
+#: A disclosing term: P(entity | term), bits it adds, and different texts behind it, at least.
 POSTERIOR, BITS, CONTEXTS = 0.5, 6.0, 3
+#: Texts are variants of one if half of their word pairs agree, as far as so many of the least hashes tell.
+SKETCH = 32
 TERMS_BROADCAST_BYTES = 8 << 20
 _BLOCK = 256
 
@@ -124,30 +126,62 @@ def spelled(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """(entity, term, context, around) from rows with ``text`` and ``base``: the
-    terms near each entity; ``around`` is the first and last word of the context."""
-    one = found.where(F.size("base") > 0).select("text", F.explode("base").alias("s"))
+def entities(found: DataFrame) -> DataFrame:
+    """(md5, text, s, entity): one row per base span of the rows with ``text`` and ``base``."""
+    one = found.where(F.size("base") > 0).select(F.md5("text").alias("md5"), "text", F.explode("base").alias("s"))
     raw = F.lower(F.substring("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")))
     entity = F.concat(F.col("s.kind"), F.lit(":"), F.when(F.col("s.kind").isin("card", "phone"), _digits(raw)).otherwise(raw))
+    return one.select("md5", "text", "s", entity.alias("entity"))
+
+
+def contexts(found: DataFrame) -> DataFrame:
+    """(entity, term, md5): the terms near each entity of each distinct text."""
     begin = F.greatest(F.col("s.start") - CONTEXT_CHARS, F.lit(0))
     left = F.substring("text", begin + 1, F.col("s.start") - begin)
     left = F.when(begin > 0, F.regexp_replace(left, r"^[^\x20\x09-\x0D]*+", "")).otherwise(left)
     right = F.regexp_replace(F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT_CHARS)), r"[^\x20\x09-\x0D]*$", "")
     near = F.lower(F.concat_ws(" ", left, right))
     terms = F.array_distinct(F.regexp_extract_all(near, F.lit(WORD), F.lit(0)))
-    around = F.concat_ws(" ", F.regexp_extract(left, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]*)", 1), F.regexp_extract(right, r"([^\x20\x09-\x0D]*)[\x20\x09-\x0D]*$", 1))
-    return one.select(entity.alias("entity"), F.md5(near).alias("context"), F.lower(around).alias("around"), F.explode(terms).alias("term"))
+    return entities(found).select("entity", "md5", F.explode(terms).alias("term")).distinct()
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """(term, entity, n, n_near): pairs with enough different contexts in which
-    the entity has its share of all contexts (``n_near``) of the term. Common
+    """(term, entity, n): pairs that stand together in enough texts (``n``), and
+    in their share of the texts where the term stands by any entity. These are
+    no more than all texts that hold the term, so the cut loses nothing. Common
     words stand by many entities and go here, before any text is searched."""
-    pairs = contexts(found).distinct().groupBy("term", "entity", "around").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("term", "entity").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-    near = pairs.groupBy("term").agg(F.sum("n").alias("n_near"))
-    return pairs.where(F.col("n") * F.col("n") >= CONTEXTS * F.col("squares")).drop("squares").join(near, "term").where(F.col("n") >= POSTERIOR * F.col("n_near"))
+    near = contexts(found)
+    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("n")).where(F.col("n") >= CONTEXTS)
+    texts = near.select("term", "md5").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    return pairs.join(texts, "term").where(F.col("n") >= POSTERIOR * F.col("n_near")).drop("n_near")
+
+
+def sketch(text: Column) -> Column:
+    """The least ``SKETCH`` hashes of the text's pairs of neighbouring words."""
+    words = F.split(F.lower(text), r"[\x20\x09-\x0D]+", -1)
+    return _let(words, lambda ws: F.slice(F.array_sort(F.array_distinct(
+        F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1))))), 1, SKETCH))
+
+
+def alike(a: Column, b: Column) -> Column:
+    """Half or more of the least hashes of both sketches are in each of them."""
+    least = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    return _let(least, lambda xs: 2 * F.size(F.array_intersect(F.array_intersect(xs, a), b)) >= F.size(xs))
+
+
+def evidenced(pairs: DataFrame, found: DataFrame, small) -> DataFrame:
+    """The (term, entity) of ``pairs`` that stand together in ``CONTEXTS`` texts
+    of which none is a variant of another. One text of each pair is taken at a
+    time and its variants leave; pairs that still have texts at the end stay."""
+    held = land(contexts(found).join(small(pairs, 64), ["term", "entity"]), "pii-evidence")
+    texts = found.select("text", F.md5("text").alias("md5")).join(held.select("md5").distinct(), "md5", "left_semi")
+    texts = texts.select("md5", sketch(F.col("text")).alias("sketch")).dropDuplicates(["md5"])
+    rest = land(held.join(texts, "md5").select("term", "entity", "md5", "sketch"), "pii-evidence")
+    for _ in range(CONTEXTS - 1):
+        one = rest.groupBy("term", "entity").agg(F.min(F.struct("md5", "sketch")).alias("one"))
+        one = land(one.select("term", "entity", F.col("one.sketch").alias("one")), "pii-evidence")
+        rest = rest.join(small(one, 64 + 8 * SKETCH), ["term", "entity"]).where(~alike(F.col("sketch"), F.col("one"))).drop("one")
+    return rest.select("term", "entity").distinct()
 
 
 def words_in(texts: DataFrame) -> DataFrame:
@@ -160,8 +194,7 @@ def located(docs: DataFrame) -> DataFrame:
     """``row`` (the input row as a struct), ``doc_id``, ``text`` (never null),
     ``base`` and ``spans`` (base and disclosing terms), one row per input row.
 
-    Counts of terms cover all documents; equal texts count once, and so do
-    equal contexts. Texts without an entity or term have empty spans; repeated
+    Counts of terms and entities are of distinct texts. Texts without an entity or term have empty spans; repeated
     rows are treated alike; clashing names in ``docs`` do no harm.
     """
     found = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col("doc_id").alias("doc_id"),
@@ -179,11 +212,12 @@ def located(docs: DataFrame) -> DataFrame:
     hits = land(words_in(slim).join(small(pairs.select("term").distinct(), 16), "term"), "pii-hits")
     n_docs = slim.agg(F.count_distinct("md5")).first()[0]
     per_term = hits.select("term", "md5").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    per_entity = contexts(found.select("text", "base")).select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    seen = F.greatest("n_term", "n_near")  # of a term: texts that hold it, contexts that do
-    bits = F.log2(F.col("n") / seen / (F.col("n_entity") / F.lit(float(n_docs))))
-    terms = land(pairs.join(per_term, "term").join(per_entity, "entity")
-                 .where((F.col("n") >= POSTERIOR * seen) & (bits >= BITS)).select("term").distinct(), "pii-terms")
+    per_entity = entities(found.select("text", "base")).select("entity", "md5").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    posterior = F.col("n") / F.col("n_term")
+    bits = F.log2(posterior / (F.col("n_entity") / F.lit(float(n_docs))))
+    told = land(pairs.join(per_term, "term").join(per_entity, "entity")
+                .where((posterior >= POSTERIOR) & (bits >= BITS)).select("term", "entity"), "pii-pairs")
+    terms = land(evidenced(told, found.select("text", "base"), small).select("term").distinct(), "pii-terms")
     own = land(hits.join(small(terms, 16), "term").groupBy("md5").agg(F.collect_set("term").alias("terms")), "pii-terms")
     pattern = F.concat(F.lit(r"(?i)(?<![\p{L}'-])(?:"), F.concat_ws("|", F.col("terms")), F.lit(r")(?![\p{L}'-])"))
     found = found.withColumn("md5", F.md5("text")).join(own, "md5", "left")

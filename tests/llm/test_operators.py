@@ -340,6 +340,32 @@ def test_terms_that_disclose(spark, docs):
     assert out[20] == "mail [EMAIL] or [IP], card [CARD], [PHONE]; 300.1.1.1" and out[5] is None
 
 
+def prose(seed):
+    rnd = random.Random(seed)
+    vocab = ["".join(rnd.choices("bcdfglmnprst", k=2)) + rnd.choice("aeiou") + "".join(rnd.choices("bcdfg", k=3)) for _ in range(3000)]
+    return rnd, lambda n: " ".join(rnd.choices(vocab, k=n))
+
+
+def sanitised(spark, texts):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r.text for r in pii.sanitise(d).collect()}
+
+
+def test_terms_by_several_entities_and_in_a_shared_line(spark):
+    _, text = prose(2)
+    data = [text(60) for _ in range(400)]
+    for i in (5, 50, 105):  # three identifiers of one person within reach of the name
+        data[i] = f"{text(30)} Quellmann jq@ex.org +49 30 1234567 +49 30 7654321 {text(30)}"
+    line = ("our friendly reception desk is staffed daily please ask there for Zwinglibert under zw@mail.example.com "
+            "between nine and seventeen hours except on holidays and sundays")
+    for i in (7, 70, 170, 270):  # the same line, over 48 code points on each side, in texts that differ
+        data[i] = f"{text(40)} {line} {text(40)}"
+    data[200] = "I met Quellmann, yes."
+    clean = sanitised(spark, data)
+    assert all("Quellmann" not in clean[i] for i in (5, 50, 105, 200)) and clean[200] == "I met [TERM], yes."
+    assert all("Zwinglibert" not in clean[i] for i in (7, 70, 170, 270))
+
+
 # ------------------------------------------------------------------ repeats
 
 def brute_repeats(data, width):
