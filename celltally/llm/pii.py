@@ -126,6 +126,12 @@ def spelled(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def folded(text: Column) -> Column:
+    """The text in lower case, code point by code point: the dotted capital I,
+    the only one whose lower case is longer, becomes a plain i."""
+    return F.lower(F.translate(text, "\u0130", "I"))
+
+
 def entities(found: DataFrame) -> DataFrame:
     """(md5, text, s, entity): one row per base span of the rows with ``text`` and ``base``."""
     one = found.where(F.size("base") > 0).select(F.md5("text").alias("md5"), "text", F.explode("base").alias("s"))
@@ -140,7 +146,7 @@ def contexts(found: DataFrame) -> DataFrame:
     left = F.substring("text", begin + 1, F.col("s.start") - begin)
     left = F.when(begin > 0, F.regexp_replace(left, r"^[^\x20\x09-\x0D]*+", "")).otherwise(left)
     right = F.regexp_replace(F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT_CHARS)), r"[^\x20\x09-\x0D]*$", "")
-    near = F.lower(F.concat_ws(" ", left, right))
+    near = folded(F.concat_ws(" ", left, right))
     terms = F.array_distinct(F.regexp_extract_all(near, F.lit(WORD), F.lit(0)))
     return entities(found).select("entity", "md5", F.explode(terms).alias("term")).distinct()
 
@@ -158,7 +164,7 @@ def candidates(found: DataFrame) -> DataFrame:
 
 def sketch(text: Column) -> Column:
     """The least ``SKETCH`` hashes of the text's pairs of neighbouring words."""
-    words = F.split(F.lower(text), r"[\x20\x09-\x0D]+", -1)
+    words = F.split(folded(text), r"[\x20\x09-\x0D]+", -1)
     return _let(words, lambda ws: F.slice(F.array_sort(F.array_distinct(
         F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1))))), 1, SKETCH))
 
@@ -186,7 +192,7 @@ def evidenced(pairs: DataFrame, found: DataFrame, small) -> DataFrame:
 
 def words_in(texts: DataFrame) -> DataFrame:
     """(doc_id, term): the distinct words of each text."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    words = F.array_distinct(F.regexp_extract_all(folded(F.col("text")), F.lit(WORD), F.lit(0)))
     return texts.select("doc_id", "md5", F.explode(words).alias("term"))
 
 
@@ -219,9 +225,9 @@ def located(docs: DataFrame) -> DataFrame:
                 .where((posterior >= POSTERIOR) & (bits >= BITS)).select("term", "entity"), "pii-pairs")
     terms = land(evidenced(told, found.select("text", "base"), small).select("term").distinct(), "pii-terms")
     own = land(hits.join(small(terms, 16), "term").groupBy("md5").agg(F.collect_set("term").alias("terms")), "pii-terms")
-    pattern = F.concat(F.lit(r"(?i)(?<![\p{L}'-])(?:"), F.concat_ws("|", F.col("terms")), F.lit(r")(?![\p{L}'-])"))
+    pattern = F.concat(F.lit(r"(?<![\p{L}'-])(?:"), F.concat_ws("|", F.col("terms")), F.lit(r")(?![\p{L}'-])"))
     found = found.withColumn("md5", F.md5("text")).join(own, "md5", "left")
-    extra = F.when(F.col("terms").isNotNull(), spans_of(F.col("text"), TERM, pattern)).otherwise(F.array().cast(SPANS))
+    extra = F.when(F.col("terms").isNotNull(), spans_of(folded(F.col("text")), TERM, pattern)).otherwise(F.array().cast(SPANS))
     free = F.filter(extra, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return found.select("row", "doc_id", "text", "base", F.concat("base", free).alias("spans"))
 

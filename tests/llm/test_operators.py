@@ -366,6 +366,19 @@ def test_terms_by_several_entities_and_in_a_shared_line(spark):
     assert all("Zwinglibert" not in clean[i] for i in (7, 70, 170, 270))
 
 
+def test_capital_letters_of_terms(spark):
+    _, text = prose(3)
+    data = [text(60) for _ in range(400)]
+    names = ["Иванов", "ÉMILE", "Özgür", "İstanbullu", "ΟΔΥΣΣΕΥΣ"]
+    for k, name in enumerate(names):
+        for i in (5 + k, 50 + k, 105 + k):
+            data[i] = f"{text(30)} {name} p{k}@mail.example.com {text(30)}"
+    data[200] = "😀 " + " and ".join(names) + " met"
+    clean = sanitised(spark, data)
+    assert clean[200] == "😀 [TERM] and [TERM] and [TERM] and [TERM] and [TERM] met"
+    assert all("[TERM] [EMAIL]" in clean[i + k] for k in range(5) for i in (5, 50, 105))
+
+
 # ------------------------------------------------------------------ repeats
 
 def brute_repeats(data, width):
