@@ -3,8 +3,8 @@ r"""PII: information-theoretic sanitisation. Built-in functions only.
 Base spans are e-mail addresses, IP numbers, card numbers and phone numbers
 found by pattern. Beyond them, words that stand next to such entities can
 reveal them: over the corpus, a term is a disclosing one if the probability of
-an entity given the term is high, it raises the entity's probability by many
-bits, and enough different texts say so. Equal texts count once; variants of a
+an entity given the term is high, it gives away most of the entity's own
+information, and enough different texts say so. Equal texts count once; variants of a
 text are told by the whole texts and are no evidence of their own, however
 alike or unlike the places around the entity are.
 Disclosing terms become spans wherever they occur. Sanitised texts have every
@@ -32,8 +32,9 @@ TERM = "term"
 #: Terms are looked for in so many code points on either side of an entity.
 CONTEXT_CHARS = 48
 WORD = r"\p{L}[\p{L}'-]{2,}"
-#: A disclosing term: P(entity | term), bits it adds, and different texts behind it, at least.
-POSTERIOR, BITS, CONTEXTS = 0.5, 6.0, 3
+#: A disclosing term: P(entity | term), share of the entity's information (minus log2 of
+#: P(entity)) that it gives away, and different texts behind it, at least.
+POSTERIOR, SHARE, CONTEXTS = 0.5, 0.8, 3
 #: Texts are variants of one if half of their word pairs agree, as far as so many of the least hashes tell.
 SKETCH = 32
 TERMS_BROADCAST_BYTES = 8 << 20
@@ -200,7 +201,9 @@ def located(docs: DataFrame) -> DataFrame:
     """``row`` (the input row as a struct), ``doc_id``, ``text`` (never null),
     ``base`` and ``spans`` (base and disclosing terms), one row per input row.
 
-    Counts of terms and entities are of distinct texts. Texts without an entity or term have empty spans; repeated
+    Counts of terms and entities are of distinct texts. The rule is the same for
+    rare and hot entities and for tables of any size; an entity in every text
+    carries no information, so nothing discloses it. Texts without an entity or term have empty spans; repeated
     rows are treated alike; clashing names in ``docs`` do no harm.
     """
     found = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col("doc_id").alias("doc_id"),
@@ -220,9 +223,10 @@ def located(docs: DataFrame) -> DataFrame:
     per_term = hits.select("term", "md5").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
     per_entity = entities(found.select("text", "base")).select("entity", "md5").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     posterior = F.col("n") / F.col("n_term")
-    bits = F.log2(posterior / (F.col("n_entity") / F.lit(float(n_docs))))
+    own_bits = F.log2(F.lit(float(n_docs)) / F.col("n_entity"))
+    discloses = (own_bits > 0) & (posterior >= POSTERIOR) & (own_bits + F.log2(posterior) >= SHARE * own_bits)
     told = land(pairs.join(per_term, "term").join(per_entity, "entity")
-                .where((posterior >= POSTERIOR) & (bits >= BITS)).select("term", "entity"), "pii-pairs")
+                .where(discloses).select("term", "entity"), "pii-pairs")
     terms = land(evidenced(told, found.select("text", "base"), small).select("term").distinct(), "pii-terms")
     own = land(hits.join(small(terms, 16), "term").groupBy("md5").agg(F.collect_set("term").alias("terms")), "pii-terms")
     pattern = F.concat(F.lit(r"(?<![\p{L}'-])(?:"), F.concat_ws("|", F.col("terms")), F.lit(r")(?![\p{L}'-])"))

@@ -379,6 +379,40 @@ def test_capital_letters_of_terms(spark):
     assert all("[TERM] [EMAIL]" in clean[i + k] for k in range(5) for i in (5, 50, 105))
 
 
+@pytest.mark.parametrize("n, every", [(30, 6), (400, 3)])
+def test_small_tables_and_hot_entities_have_terms(spark, n, every):
+    rnd, text = prose(4)
+    data = [text(60) for _ in range(n)]
+    hot = range(0, n, every)
+    for i in hot:  # a hot entity: a name always by it, another word as often elsewhere
+        data[i] = f"{text(30)} Quellmann commonword desk@mail.example.com {text(30)}"
+    for i in range(1, n, every):
+        data[i] = f"{text(30)} commonword {text(30)}"
+    variant = f"{text(40)} Oddword ask@x.org {text(40)}"
+    odd = [i for i in range(n) if i % every == 2]
+    for i in odd:  # variants of one text are no evidence
+        w = variant.split()
+        w[rnd.randrange(38)] = "changed"
+        data[i] = " ".join(w)
+    clean = sanitised(spark, data)
+    assert all("[TERM] commonword [EMAIL]" in clean[i] for i in hot)
+    assert all("Oddword [EMAIL]" in clean[i] for i in odd)
+
+
+def test_variants_hide_no_evidence(spark):
+    rnd, text = prose(6)
+    data = [text(60) for _ in range(400)]
+    variant = f"{text(40)} Oddword ask@x.org {text(40)}"
+    for i in range(300, 340):
+        w = variant.split()
+        w[rnd.randrange(38)] = "changed"
+        data[i] = " ".join(w)
+    for i in (9, 90):
+        data[i] = f"{text(30)} Oddword ask@x.org {text(30)}"
+    clean = sanitised(spark, data)
+    assert all("[TERM] [EMAIL]" in clean[i] for i in (9, 90, *range(300, 340)))
+
+
 # ------------------------------------------------------------------ repeats
 
 def brute_repeats(data, width):
