@@ -6,7 +6,8 @@ applied match by match. Texts are cut where every match must end, each distinct
 piece is encoded once per batch (and remembered by the Python worker), and ids
 are gathered back. Decoding maps ids to their bytes, so characters split
 between tokens come back whole. Every batch is decoded and compared with its
-texts; if a piece was mistaken for another, the batch is encoded plainly.
+texts; if a piece was mistaken for another, the batch is encoded plainly. So
+are texts that contain an added token of a tokenizer file.
 """
 
 from __future__ import annotations
@@ -59,9 +60,9 @@ def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
 class Codec:
     """A tokenizer with the bytes of its ids and its memory of pieces."""
 
-    def __init__(self, tokenizer, table: dict[int, bytes]):
-        """Without a tokenizer, for decoding alone."""
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, table: dict[int, bytes], added: tuple[bytes, ...] = ()):
+        """Without a tokenizer, for decoding alone. ``added``: the contents of its added tokens."""
+        self.tokenizer, self.added = tokenizer, added
         size = max(table) + 1
         lengths = np.zeros(size, np.int64)
         for i, b in table.items():
@@ -96,6 +97,8 @@ class Codec:
     def learn(self, data, starts, ends, keys, regular):
         """Encodes pieces and remembers them. Regular pieces go in lines of many
         pieces: a line break between two of them is always a token by itself."""
+        if any(b"\n" in c for c in self.added):  # lines could make one
+            regular = np.zeros(len(keys), bool)
         some = np.flatnonzero(regular)
         ids, at, n = [], np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         done = 0
@@ -124,8 +127,37 @@ class Codec:
         self.at = np.concatenate([self.at, at.astype(np.int32)])[order]
         self.n = np.concatenate([self.n, n.astype(np.int32)])[order]
 
+    def with_added(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Which texts contain an added token's content."""
+        raw, out = data.tobytes(), np.zeros(len(offs) - 1, bool)
+        for content in self.added:
+            at = raw.find(content, offs[0])
+            while at >= 0:
+                doc = np.searchsorted(offs, at, "right") - 1
+                inside = at + len(content) <= offs[doc + 1]
+                out[doc] |= inside
+                at = raw.find(content, offs[doc + 1] if inside else at + 1)
+        return out
+
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of each text."""
+        odd = self.with_added(data, offs)
+        if not odd.any():
+            return self.encode_pieces(data, offs)
+        size = np.diff(offs)
+        upto = np.concatenate([[0], np.cumsum(size[~odd])])
+        rest, at = self.encode_pieces(data[tk.gather(offs[:-1][~odd], size[~odd])], upto)
+        each = self.plain([data[offs[i]:offs[i + 1]].tobytes().decode() for i in np.flatnonzero(odd)])
+        n = np.zeros(len(size), np.int64)
+        n[~odd], n[odd] = np.diff(at), [len(x) for x in each]
+        offsets = np.concatenate([[0], np.cumsum(n)])
+        ids = np.zeros(offsets[-1], np.int32)
+        ids[tk.gather(offsets[:-1][~odd], n[~odd])] = rest
+        ids[tk.gather(offsets[:-1][odd], n[odd])] = np.concatenate([np.asarray(x, np.int32) for x in each])
+        return ids, offsets
+
+    def encode_pieces(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
         starts, ends, regular = cut(data, offs)
@@ -220,17 +252,17 @@ def rank_table(content: bytes) -> Codec:
 
 
 def file_codec(content: bytes) -> Codec:
-    """The codec of a byte-level tokenizer file; its special strings are ordinary text."""
+    """The codec of a byte-level tokenizer file; its added tokens are told as the library tells them."""
     key = hash(content)
     if key not in _CODECS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_str(content.decode())
-        t.encode_special_tokens = True
         back = {c: b for b, c in enumerate(byte_characters())}
-        _CODECS[key] = Codec(t, {i: bytes(back[c] for c in token) for token, i in t.get_vocab(with_added_tokens=False).items()
-                                 if all(c in back for c in token)})
+        added = {i: a.content.encode() for i, a in t.get_added_tokens_decoder().items()}
+        table = {i: bytes(back[c] for c in token) for token, i in t.get_vocab(with_added_tokens=False).items() if all(c in back for c in token)}
+        _CODECS[key] = Codec(t, table | added, tuple(c for c in added.values() if c))
     return _CODECS[key]
 
 

@@ -222,6 +222,23 @@ def test_id_files(spark, docs, tmp_path):
         assert sorted(map(tuple, got), key=lambda r: r[1]) == want
 
 
+def test_id_files_with_added_tokens(spark, tmp_path):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    content = open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()
+    t = Tokenizer.from_str(content.decode())
+    texts = ["a <|endoftext|> b", "plain one", "<|endoftext|>", None, "x<|endoftext|><|endoftext|>y\n<|endoftext", "|> no token across texts", "", "日本<|endoftext|>é "]
+    want, at = [], 0
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = idfiles.read(spark, idfiles.write(d, str(tmp_path / "ids"), content)).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc"))
+    assert sorted(map(tuple, got.collect())) == want
+    assert bpe.file_codec(content).encode(*tk.text_bytes(pa.array(texts[:1])))[0].tolist() == [64, 220, 50256, 275]
+
+
 # -------------------------------------------------------------- fingerprints
 
 def test_fingerprints(spark, docs):
