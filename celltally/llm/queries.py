@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from celltally.llm import bpe, chat, idfiles, jaccard, mixing, parsing, pii, repeats, resample, rules
+from celltally.llm import bpe, chat, idfiles, jaccard, language, mixing, parsing, pii, repair, repeats, resample, rules, whiten
 from celltally.llm.common import table
 
 
@@ -58,6 +58,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_jaccard": op1_jaccard,
     "op2_quality_resampling": op2_quality_resampling,
@@ -69,4 +81,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_repeats": op9_repeats,
     "op10_chat_format": op10_chat_format,
+    "op11_repair": op11_repair,
+    "op12_language": op12_language,
+    "op13_whitening": op13_whitening,
 }
