@@ -21,7 +21,7 @@ the repaired text in order, reads a conversation in one task, as a stream.
 from __future__ import annotations
 
 import hashlib
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ from celltally.llm.common import land, ship
 
 #: Rows of a block, at least.
 LEAST_BLOCK = 16
+#: Conversations of a batch of results.
+OUT_ROWS = 500
 REROLE_COST, DELETE_COST, INSERT_COST, TRUNCATED_COST = 2, 3, 2, 1
 INF = np.int64(1) << 60
 #: States: nothing yet, after a system, a user, an assistant turn. Symbols: s, u, a, any other initial.
@@ -199,35 +201,45 @@ def binaries(rows: np.ndarray) -> pa.Array:
 def checkpoints(batches):
     """Least costs to the end at every block's end, from the last block backwards."""
     for batch in batches:
+        convs, blocks, ends, costs = [], [], [], []
         for conv, found in zip(batch.column("conv").to_pylist(), batch.column("found").to_pylist(), strict=True):
-            vector, ends = CLOSING, []
+            vector = CLOSING
             for b in reversed(found):
                 ends.append(vector.tobytes())
                 vector = np.minimum((np.frombuffer(b["transfer"], np.int64).reshape(4, 4) + vector).min(1), INF)
-            yield pa.RecordBatch.from_arrays([pa.array([conv] * len(ends), pa.string()), pa.array([b["block"] for b in reversed(found)], pa.int64()),
-                                              pa.array(ends, pa.binary()), pa.array([int(vector[START])] * len(ends), pa.int64())], names=["conv", "block", "ends", "cost"])
+            convs += [conv] * len(found)
+            blocks += [b["block"] for b in reversed(found)]
+            costs += [int(vector[START])] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(convs, pa.string()), pa.array(blocks, pa.int64()), pa.array(ends, pa.binary()), pa.array(costs, pa.int64())],
+                                         names=["conv", "block", "ends", "cost"])
 
 
 def entries(batches):
     """The state every block is entered in, from the first block on."""
     for batch in batches:
+        convs, blocks, out = [], [], []
         for conv, found in zip(batch.column("conv").to_pylist(), batch.column("found").to_pylist(), strict=True):
-            state, out = START, []
+            state = START
             for b in found:
                 out.append(state)
                 state = b["exits"][state]
-            yield pa.RecordBatch.from_arrays([pa.array([conv] * len(out), pa.string()), pa.array([b["block"] for b in found], pa.int64()),
-                                              pa.array(out, pa.int32())], names=["conv", "block", "entry"])
+            convs += [conv] * len(found)
+            blocks += [b["block"] for b in found]
+        yield pa.RecordBatch.from_arrays([pa.array(convs, pa.string()), pa.array(blocks, pa.int64()), pa.array(out, pa.int32())], names=["conv", "block", "entry"])
 
 
 def chosen(batches):
     """One row per row of a block: its edits in the state that the block is entered in."""
     for batch in batches:
-        for conv, first, entry, codes in zip(*(batch.column(c).to_pylist() for c in ("conv", "first", "entry", "codes")), strict=True):
-            one = np.frombuffer(codes, np.uint8).reshape(4, -1)[entry].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array([conv] * len(one), pa.string()), pa.array(first + np.arange(len(one))),
-                                              pa.array(one // 16, pa.int32()), pa.array(one // 4 % 4, pa.int32()), pa.array(one % 4, pa.int32())],
-                                             names=["conv", "pos", "state", "inserted", "edit"])
+        if not batch.num_rows:
+            continue
+        convs, first, entry, codes = (batch.column(c).to_pylist() for c in ("conv", "first", "entry", "codes"))
+        n = np.array([len(c) // 4 for c in codes])
+        ours = np.frombuffer(b"".join(c[e * k:(e + 1) * k] for c, e, k in zip(codes, entry, n, strict=True)), np.uint8).astype(np.int32)
+        place = np.arange(len(ours)) + np.repeat(np.array(first) - (np.cumsum(n) - n), n)
+        conv = pa.array(convs, pa.string()).take(pa.array(np.repeat(np.arange(len(n)), n)))
+        yield pa.RecordBatch.from_arrays([conv, pa.array(place), pa.array(ours // 16), pa.array(ours // 4 % 4), pa.array(ours % 4)],
+                                         names=["conv", "pos", "state", "inserted", "edit"])
 
 
 def planned(rows: DataFrame, least_block: int = LEAST_BLOCK) -> DataFrame:
@@ -305,30 +317,34 @@ def repaired(plan: DataFrame) -> DataFrame:
 DIGEST = "conv string, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
 
 
+def digest_of(conv: str, rows) -> list:
+    counts, illegal, n_turns, low, high, last, initial = [0] * 4, 0, 0, None, None, None, None
+    audit, digest, begun, cost = [], hashlib.sha256(), False, 0
+    for row in rows:
+        cost = row["cost"]
+        counts[row["fault"]] += row["n"] if row["fault"] == BLANK else 1
+        counts[DUPLICATE] += 0 if row["fault"] == BLANK else row["n"] - 1
+        now = row["role"][:1]
+        illegal += row["n"] - 1 + (initial is not None and initial + now not in ("su", "ua", "au"))
+        initial = now
+        if row["turn"] is not None:
+            low, high, n_turns = row["turn"] if low is None else low, row["turn"], n_turns + (row["turn"] != last)
+            last = row["turn"]
+        for letter, role, text in turns_of(row):
+            audit.append(letter)
+            if role is not None:
+                digest.update((("\n" if begun else "") + f"{role}:{text}").encode())
+                begun = True
+    gaps = 0 if low is None else high - low + 1 - n_turns
+    return [conv, gaps, counts[BLANK], counts[DUPLICATE], counts[TRUNCATED], illegal, cost, "".join(audit), digest.hexdigest()]
+
+
 def digests(batches):
     names = [f.split()[0] for f in DIGEST.split(", ")]
     types = [pa.string()] + [pa.int64()] * 6 + [pa.string()] * 2
-    for conv, rows in groupby(rows_in_order(batches), key=lambda r: r["conv"]):
-        counts, illegal, n_turns, low, high, last, initial = [0] * 4, 0, 0, None, None, None, None
-        audit, digest, begun, cost = [], hashlib.sha256(), False, 0
-        for row in rows:
-            cost = row["cost"]
-            counts[row["fault"]] += row["n"] if row["fault"] == BLANK else 1
-            counts[DUPLICATE] += 0 if row["fault"] == BLANK else row["n"] - 1
-            now = row["role"][:1]
-            illegal += row["n"] - 1 + (initial is not None and initial + now not in ("su", "ua", "au"))
-            initial = now
-            if row["turn"] is not None:
-                low, high, n_turns = row["turn"] if low is None else low, row["turn"], n_turns + (row["turn"] != last)
-                last = row["turn"]
-            for letter, role, text in turns_of(row):
-                audit.append(letter)
-                if role is not None:
-                    digest.update((("\n" if begun else "") + f"{role}:{text}").encode())
-                    begun = True
-        gaps = 0 if low is None else high - low + 1 - n_turns
-        values = [conv, gaps, counts[BLANK], counts[DUPLICATE], counts[TRUNCATED], illegal, cost, "".join(audit), digest.hexdigest()]
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
+    found = (digest_of(conv, rows) for conv, rows in groupby(rows_in_order(batches), key=lambda r: r["conv"]))
+    while some := list(islice(found, OUT_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*some, strict=True), types, strict=True)], names=names)
 
 
 def report(rows: DataFrame, least_block: int = LEAST_BLOCK) -> DataFrame:
