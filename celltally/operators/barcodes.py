@@ -144,16 +144,18 @@ def check_pairs(pairs: DataFrame) -> DataFrame:
 
 def checked_pairs(pairs: DataFrame) -> DataFrame:
     """``pairs`` whose scan stops at the first pair that breaks the input rules
-    and names it; the test rides along with whatever reads the pairs."""
+    and names it; the test rides along with whatever reads the pairs. Records
+    without a mate (the longer file's end) are not tested."""
     rules = [
         (F.col("r1_name") != F.col("r2_name"), "names differ"),
         (F.substr("r1_plus", F.lit(1), F.lit(1)) != F.substr("r2_plus", F.lit(1), F.lit(1)), "plus lines differ"),
         ((F.length("r1_qual") != F.length("r1_seq")) | (F.length("r2_qual") != F.length("r2_seq")), "a quality is not as long as its sequence"),
     ]
+    mated = F.col("r1_name").isNotNull() & F.col("r2_name").isNotNull()
     where = F.concat(F.lit("sample "), F.col("sample"), F.lit(", record "), F.col("rec_no").cast("string"), F.lit(" ("), F.col("r1_name"), F.lit("): "))
     keep = F.lit(True)
     for broken, what in rules:
-        keep = F.when(broken, F.raise_error(F.concat(where, F.lit(what))).cast("boolean")).otherwise(keep)
+        keep = F.when(mated & broken, F.raise_error(F.concat(where, F.lit(what))).cast("boolean")).otherwise(keep)
     return pairs.filter(keep)
 
 

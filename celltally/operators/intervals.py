@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from celltally.functions.cigar import alignment_blocks, strand_of
-from celltally.operators.common import DEFAULT_BROADCAST_BYTES, bins, broadcast_if_small, first_bin, land
+from celltally.operators.common import DEFAULT_BROADCAST_BYTES, bins, broadcast_if_small, land, table_bytes
+from celltally.operators.sweep import sweep_join
 
 # overlap join: bin widths are DEFAULT_BIN * BIN_STEP ** level; a feature lies in
 # the lowest level that is as wide as it is long
@@ -75,8 +76,8 @@ def overlap_join(
     most; a block probes the levels that have features. Neither side explodes,
     whether exons of a hundred bases or introns of a megabase. A pair counts in
     the first bin both touch. The feature side is broadcast when it has at most
-    ``broadcast_max_bytes``; otherwise both sides are shuffled on
-    (chrom, strand, level, bin).
+    ``broadcast_max_bytes``; beyond, both sides are dealt by ranges of the genome
+    (``sweep.sweep_join``). With None the planner chooses for the binned form.
     """
     has_label = "label" in features.columns
     widths = [bin_size * BIN_STEP ** i for i in range(BIN_LEVELS)]
@@ -96,8 +97,12 @@ def overlap_join(
     last = F.greatest(F.col("f_end"), F.col("f_start") + 1) - 1
     f = land(f.withColumn("f_bin", F.explode(F.sequence(
         F.floor(F.col("f_start") / F.col("f_width")).cast("long"), F.floor(last / F.col("f_width")).cast("long")))), "features")
+    if broadcast_max_bytes and table_bytes(f) > broadcast_max_bytes:
+        return sweep_join(blocks, features)
     present = sorted(r.f_level for r in f.select("f_level").distinct().collect())  # BIN_LEVELS numbers at most
-    f = broadcast_if_small(f, broadcast_max_bytes)
+    if broadcast_max_bytes:
+        f = F.broadcast(f)
+
     def at(level):
         return F.transform(bins("start", "end", widths[level]), lambda x: F.struct(F.lit(level).alias("level"), x.alias("bin")))
 

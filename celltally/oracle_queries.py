@@ -62,6 +62,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT r1.rec_no, '@' || r1.name AS r1_name, r1.seq AS r1_seq, r1.plus AS r1_plus, r1.qual AS r1_qual,
   '@' || r2.name AS r2_name, r2.seq AS r2_seq, r2.plus AS r2_plus, r2.qual AS r2_qual
 FROM fx_r1 r1 JOIN fx_r2 r2 USING (rec_no)""", ["fx_r1", "fx_r2"])
+    q["fastq_members"] = q["fastq_pairs"]
     q["gtf_scan"] = with_views(
         """SELECT seqname, source, feature, start_ AS start, end_ AS "end", '.' AS score, strand, '.' AS frame,
   attribute || CASE WHEN start_ % 2 = 1 THEN ' ' ELSE '' END AS attribute
@@ -92,6 +93,17 @@ FROM (SELECT DISTINCT substr(seq, 7, 6) AS cbc FROM fx_r1) o JOIN fx_whitelist w
   ON length(o.cbc) = length(w.cbc)
 WHERE (CASE WHEN length(o.cbc) = length(w.cbc) THEN hamming(o.cbc, w.cbc) ELSE 99 END) <= 2
 GROUP BY o.cbc HAVING count(DISTINCT w.cell) = 1""", ["fx_r1", "fx_whitelist"])
+    for hd in (2, 3):
+        q[f"barcode_index_hd{hd}"] = with_views(
+            f"""SELECT o.cbc, min(w.cell) AS cell
+FROM (SELECT DISTINCT substr(seq, 7, 6) AS cbc FROM fx_r1) o JOIN fx_whitelist w ON length(o.cbc) = length(w.cbc)
+WHERE (CASE WHEN length(o.cbc) = length(w.cbc) THEN hamming(o.cbc, w.cbc) ELSE 99 END) <= {hd}
+GROUP BY o.cbc HAVING count(DISTINCT w.cell) = 1""", ["fx_r1", "fx_whitelist"])
+    # the cell's six bases come first in the barcode of a read that is called UMI first elsewhere
+    q["barcode_read_r2"] = with_views(
+        f"""SELECT r1.sample, r1.rec_no, r2.name || ':' || substr(r1.seq, 1, 12) || ':' || substr(r1.seq, 7, 6) || ':' || substr(r1.seq, 1, 6)
+    || ':' || {_pad('d.cell')} AS name, r2.seq AS seq, r2.plus AS plus, r2.qual AS qual
+FROM fx_r1 r1 JOIN fx_r2 r2 USING (sample, rec_no) JOIN {_dict_sql(1)} d ON d.seq = substr(r1.seq, 1, 6)""", ["fx_r1", "fx_r2", "fx_whitelist"])
     q["barcode_assign"] = with_views(
         f"SELECT p.sample, p.rec_no, p.cbc, d.cell FROM {_pairs_sql()} p JOIN {_dict_sql(0)} d ON d.seq = p.cbc",
         ["fx_r1", "fx_r2", "fx_whitelist"])
@@ -127,6 +139,7 @@ FROM {src} i JOIN ox_genes g USING (gene_id) WHERE i.s < i.e GROUP BY g.chr, i.s
 
     q["align_blocks"] = with_views('SELECT sample, chrom, start, "end", qname, mapq, strand FROM ox_blocks', ["ox_blocks"])
     q["overlap_exon"] = with_views(f"SELECT {ROW_COLS} FROM ox_overlaps WHERE label = 'exon'", ["ox_overlaps"])
+    q["overlap_sweep"] = with_views(f"SELECT {OVERLAP_COLS} FROM ox_overlaps", ["ox_overlaps"])
     q["overlap_intron"] = with_views(f"SELECT {ROW_COLS} FROM ox_overlaps WHERE label = 'intron'", ["ox_overlaps"])
     q["exon_only"] = with_views(f"SELECT {ROW_COLS} FROM ox_clean WHERE label = 'exon'", ["ox_clean"], mode="two")
     q["intron_only"] = with_views(f"SELECT {ROW_COLS} FROM ox_clean WHERE label = 'intron'", ["ox_clean"], mode="two")

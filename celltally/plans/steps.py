@@ -20,6 +20,7 @@ from celltally.operators import barcodes as bc
 from celltally.operators import counts as cnt
 from celltally.operators import intervals as iv
 from celltally.operators.common import DEFAULT_BROADCAST_BYTES, land
+from celltally.operators.nearest import observed_dictionary
 
 
 @dataclass
@@ -44,9 +45,14 @@ class BarcodeParams:
     hd: int = 0
 
 
+#: From this distance on, barcodes that reads hold are looked up in the whitelist
+#: by an index, in place of writing out all strings near a whitelist entry.
+INDEX_HD = 2
+
+
 @dataclass
 class Barcoded:
-    dictionary: DataFrame
+    dictionary: DataFrame  # from INDEX_HD on: of the observed barcodes only
     assigned: DataFrame  # every pair, cell null when unmatched
     records: DataFrame  # matched reads as FASTQ records
     stats: DataFrame
@@ -55,8 +61,8 @@ class Barcoded:
 def barcode(pairs: DataFrame, whitelist: DataFrame, params: BarcodeParams | None = None,
             broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> Barcoded:
     p = params or BarcodeParams()
-    dictionary = bc.barcode_dictionary(whitelist, p.hd)
     reads = bc.split_reads(pairs, p.bc_read, p.bio_read, p.len_cbc, p.len_umi, p.umi_first)
+    dictionary = bc.barcode_dictionary(whitelist, p.hd) if p.hd < INDEX_HD else observed_dictionary(reads, whitelist, p.hd)
     assigned = bc.assign_cells(reads, dictionary, how="left", broadcast_max_bytes=broadcast_max_bytes)
     return Barcoded(dictionary, assigned, bc.barcoded_records(assigned), bc.read_stats(assigned))
 

@@ -19,14 +19,17 @@ from celltally.operators import annotation as ann
 from celltally.operators import barcodes as bc
 from celltally.operators import counts as cnt
 from celltally.operators import intervals as iv
+from celltally.operators.nearest import observed_dictionary
+from celltally.operators.sweep import sweep_join
 from celltally.plans import steps
-from celltally.session import scratch_path
+from celltally.session import file_system, scratch_path
 from celltally.sinks import files as sinks
 from celltally.sources import fastq as fq
 from celltally.sources import text as txt
 
 LEN_CBC, LEN_UMI, UMI_FIRST = 6, 6, True  # run defaults of the original tool
 FIXTURE_FASTQ_CHUNK = 20_000
+SWEEP_ROWS = 50_000  # blocks of a slot, so that the fixture has several
 CELLS = [f"{i + 1:03d}" for i in range(fx.N_CELLS)]  # cell columns of the fixture's matrices
 ROUND = 6  # decimals reported for transcript estimates
 
@@ -94,6 +97,32 @@ def fastq_pairs(spark, d):
     return p.select("rec_no", "r1_name", "r1_seq", "r1_plus", "r1_qual", "r2_name", "r2_seq", "r2_plus", "r2_qual")
 
 
+def joined_files(spark, folder: str, path: str) -> str:
+    """The chunk files of a folder one after another in one gzip file."""
+    fs, out = file_system(spark, path)
+    stream = fs.create(out)
+    for chunk in sorted(fq.listed(spark, folder), key=lambda c: int(c.rsplit("=", 1)[1]) if "chunk=" in c else -1):
+        for f in (f for f in fq.listed(spark, chunk) if "/part-" in f):
+            part = fs.open(spark._jvm.org.apache.hadoop.fs.Path(f))
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, stream, 1 << 16, False)
+            part.close()
+    stream.close()
+    return path
+
+
+@query
+def fastq_members(spark, d):
+    """A pair of files of many gzip members each, whose members hold different records."""
+    base, files = scratch_path(spark, "fastq-members"), {}
+    n = fx.table(spark, d, "lineitem").count()
+    for r, df, members in (("R1", fx.fx_r1(spark, d), 20), ("R2", fx.fx_r2(spark, d), 7)):
+        rec = df.select("rec_no", F.concat(F.lit("@"), "name", F.lit(" 1:N:0:1")).alias("name"), "seq", "plus", "qual")
+        sinks.write_fastq_chunks(rec, f"{base}/S1_{r}", -(-n // members))
+        files[r.lower()] = joined_files(spark, f"{base}/S1_{r}", f"{base}/S1_{r}.fq.gz")
+    p = fq.read_fastq_pairs(spark, [{"sample": "S1", **files}], split_bytes=1)
+    return p.select("rec_no", "r1_name", "r1_seq", "r1_plus", "r1_qual", "r2_name", "r2_seq", "r2_plus", "r2_qual")
+
+
 @query
 def gtf_scan(spark, d):
     path = scratch_path(spark, "gtf")
@@ -154,6 +183,28 @@ def barcode_nearest_hd2(spark, d):
     return bc.assign_cells(observed, bc.barcode_dictionary(fx.fx_whitelist(spark, d), 2)).select("cbc", "cell")
 
 
+def _indexed(hd: int) -> Query:
+    def run(spark, d):
+        _, _, cbc = split_barcode("seq", LEN_CBC, LEN_UMI, UMI_FIRST)
+        found = observed_dictionary(fx.fx_r1(spark, d).select(cbc.alias("cbc")), fx.fx_whitelist(spark, d), hd)
+        return found.select(F.col("seq").alias("cbc"), "cell")
+
+    run.__name__ = f"barcode_index_hd{hd}"
+    return run
+
+
+for _hd in (2, 3):
+    query(_indexed(_hd))
+
+
+@query
+def barcode_read_r2(spark, d):
+    """The barcode is on R2, the cell before the UMI, and R1 is the biological read."""
+    p = pairs(spark, d).select("sample", "rec_no", *[F.col(f"r{3 - i}_{c}").alias(f"r{i}_{c}") for i in (1, 2) for c in ("name", "seq", "plus", "qual")])
+    b = steps.barcode(p, fx.fx_whitelist(spark, d), steps.BarcodeParams("R2", "R1", LEN_CBC, LEN_UMI, umi_first=False, hd=1))
+    return b.records
+
+
 @query
 def barcode_assign(spark, d):
     b = barcoded(spark, d)
@@ -225,6 +276,14 @@ def overlap_intron(spark, d):
     return counted(spark, d).overlaps.filter(F.col("label") == "intron").drop("label")
 
 
+@query
+def overlap_sweep(spark, d):
+    """Exons and introns at once, both sides dealt by ranges of the genome."""
+    a = annotation(spark, d)
+    unique = iv.align_blocks(fx.fx_aligned(spark, d)).filter(F.col("mapq") == iv.UNIQUE_MAPQ)
+    return sweep_join(unique, iv.label_features(a.exons, a.introns), SWEEP_ROWS).dropDuplicates(iv.OVERLAP_COLS)
+
+
 @query
 def exon_only(spark, d):
     return counted(spark, d, "two").clean.filter(F.col("label") == "exon").drop("label")

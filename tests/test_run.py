@@ -164,3 +164,11 @@ def test_no_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Spark())
+
+
+def test_a_record_beyond_the_shorter_file_is_not_tested(spark, case):
+    d, aln = case
+    r1, r2 = fastq(READS["S3"])
+    gz(f"{d}/fq/S3_R1.fq.gz", r1 + "@tail\nACGT\n-\nII\n")
+    gz(f"{d}/fq/S3_R2.fq.gz", r2)
+    assert counted(start(spark, d, aln)) == WANT
