@@ -88,12 +88,13 @@ def gaps_between(islands: DataFrame) -> DataFrame:
     )
 
 
-def pool_features(df: DataFrame) -> DataFrame:
-    """Identical (chr, start, end, strand) rows -> one row; names sorted and
-    joined with ``-`` (repeated names kept)."""
-    return df.groupBy("chr", "start", "end", "strand").agg(
-        F.array_join(F.array_sort(F.collect_list("gene_fullname")), "-").alias("gene_fullname")
-    )
+def pool_features(df: DataFrame, *keys: str, counted: bool = False) -> DataFrame:
+    """Identical (chr, start, end, strand) rows (of equal ``keys``) -> one row;
+    names sorted and joined with ``-`` (repeated names kept); ``counted`` adds
+    how many there are."""
+    n = [F.count(F.lit(1)).alias("n_genes")] if counted else []
+    names = F.array_join(F.array_sort(F.collect_list("gene_fullname")), "-").alias("gene_fullname")
+    return df.groupBy(*keys, "chr", "start", "end", "strand").agg(names, *n)
 
 
 def exon_intron_tables(gtf: DataFrame, pooled: bool = True) -> tuple[DataFrame, DataFrame]:

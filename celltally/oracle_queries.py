@@ -54,6 +54,17 @@ def _matrix_sql(measure: str) -> str:
     return with_views(f"SELECT sample, gene,\n  {cols}\nFROM {src} t {where} GROUP BY sample, gene", ["ox_counts"])
 
 
+def _measure_rows() -> str:
+    """Entries of all nine matrices; estimates in millionths."""
+    out = []
+    for part in ("unspliced", "spliced", "total"):
+        axis = f" WHERE reads_{part} > 0" if part != "total" else ""
+        out += [f"SELECT sample, gene, cell, 'reads_{part}' AS measure, reads_{part} AS v FROM ox_counts{axis}",
+                f"SELECT sample, gene, cell, 'umis_{part}' AS measure, umis_{part} AS v FROM ox_counts",
+                f"SELECT sample, gene, cell, 'transcripts_{part}' AS measure, CAST(round({_tx(f'umis_{part}')} * 1000000) AS BIGINT) AS v FROM ox_counts"]
+    return "\n  UNION ALL ".join(out)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["manifest_scan"] = with_views("SELECT sample, raw_fq_dir, cbc_file FROM fx_manifest", ["fx_manifest"])
@@ -76,6 +87,9 @@ FROM fx_gtf WHERE NOT (feature = 'gene' AND start_ % 3000 = 1)""", ["fx_gtf"])
     length(r1.qual) <> length(r1.seq) OR length(r2.qual) <> length(r2.seq) AS bad_length
   FROM fx_r1 r1 JOIN fx_r2_bad r2 USING (sample, rec_no)) t WHERE bad_name OR bad_plus OR bad_length""",
         ["fx_r1", "fx_r2_bad"])
+    q["sam_scan"] = with_views("SELECT sample, qname, flag, rname, pos, mapq, cigar FROM fx_aligned", ["fx_aligned"])
+    q["contigs_scan"] = with_views(
+        "SELECT rname AS contig, row_number() OVER (ORDER BY rname DESC) AS place FROM (SELECT DISTINCT rname FROM fx_aligned) t", ["fx_aligned"])
     q["contig_filter"] = with_views(
         f"SELECT {OVERLAP_COLS} FROM ox_clean WHERE chrom IN (SELECT contig FROM fx_contigs)", ["ox_clean", "fx_contigs"])
 
@@ -157,6 +171,7 @@ FROM {src} i JOIN ox_genes g USING (gene_id) WHERE i.s < i.e GROUP BY g.chr, i.s
         "SELECT sample, cell, gene, reads_unspliced, reads_spliced, reads_total FROM ox_counts", ["ox_counts"])
     q["counts_umis"] = with_views(
         "SELECT sample, cell, gene, umis_unspliced, umis_spliced, umis_total FROM ox_counts", ["ox_counts"])
+    q["counts_bucketed"] = q["counts_umis"]
     q["counts_transcripts"] = with_views(
         f"""SELECT sample, cell, gene, {_tx('umis_unspliced')} AS transcripts_unspliced,
   {_tx('umis_spliced')} AS transcripts_spliced, {_tx('umis_total')} AS transcripts_total FROM ox_counts""",
@@ -184,7 +199,8 @@ FROM ox_clean GROUP BY label, sample, gene_fullname""", ["ox_clean"], mode="two"
         f"""SELECT p.sample, p.r2_name || ':' || p.bcseq || ':' || p.umi || ':' || p.cbc || ':' || {_pad('d.cell')} AS name,
   p.r2_seq AS seq, substr(p.r2_plus, 1, 1) AS plus, p.r2_qual AS qual
 FROM {_pairs_sql()} p JOIN {_dict_sql(0)} d ON d.seq = p.cbc""", ["fx_r1", "fx_r2", "fx_whitelist"], mode="two")
-    q["sink_alignments"] = with_views('SELECT sample, chrom, start, "end", qname, mapq, strand FROM ox_blocks', ["ox_blocks"])
+    q["sink_genes"] = f"SELECT *, true AS in_order FROM ({q['gene_table']}) t"
+    q["sink_alignments"] = with_views('SELECT sample, chrom, start, "end", qname, mapq, strand, true AS in_order FROM ox_blocks', ["ox_blocks"])
     q["sink_matrices"] = with_views(
         """SELECT sample, measure, line, row_number() OVER (PARTITION BY sample, measure ORDER BY gene NULLS FIRST) AS place FROM (
   SELECT sample, measure, NULL AS gene, 'gene' || chr(9) || string_agg(DISTINCT cell, chr(9) ORDER BY cell) AS line FROM m GROUP BY sample, measure
@@ -193,9 +209,7 @@ FROM {_pairs_sql()} p JOIN {_dict_sql(0)} d ON d.seq = p.cbc""", ["fx_r1", "fx_r
   FROM (SELECT DISTINCT sample, measure, gene FROM m) g JOIN (SELECT DISTINCT sample, measure, cell FROM m) c USING (sample, measure)
   LEFT JOIN m USING (sample, measure, gene, cell) GROUP BY g.sample, g.measure, g.gene) t""", ["ox_counts"]).replace(
         "\nSELECT sample, measure, line, row", """,
-m AS (SELECT sample, gene, cell, 'umis_total' AS measure, umis_total AS v FROM ox_counts
-  UNION ALL SELECT sample, gene, cell, 'reads_spliced' AS measure, reads_spliced AS v FROM ox_counts WHERE reads_spliced > 0
-  UNION ALL SELECT sample, gene, cell, 'reads_unspliced' AS measure, reads_unspliced AS v FROM ox_counts WHERE reads_unspliced > 0)
+m AS (""" + _measure_rows() + """)
 SELECT sample, measure, line, row""", 1)
 
     for fam in ("reads", "umis", "transcripts"):

@@ -91,9 +91,10 @@ def barcode_reads(spark: SparkSession, manifest_path: str, out: str, params: ste
     return spark.read.schema(stats.schema).json(f"{out}/read_stats")
 
 
-def write_counts(spark: SparkSession, clean: DataFrame, out: str, umi_length: int) -> DataFrame:
-    """Counts, matrices and summaries of cleaned overlap rows."""
-    sinks.write_table(cnt.gene_cell_counts(cnt.molecules(clean), umi_length), f"{out}/counts")
+def write_counts(spark: SparkSession, clean: DataFrame, out: str, umi_length: int, molecules: DataFrame | None = None) -> DataFrame:
+    """Counts, matrices and summaries of cleaned overlap rows (and of their
+    molecules, where they are at hand)."""
+    sinks.write_table(cnt.gene_cell_counts(molecules or cnt.molecules(clean), umi_length), f"{out}/counts")
     counts = spark.read.parquet(f"{out}/counts")
     sinks.write_matrices(cnt.matrix_lines(counts), f"{out}/matrices")
     sinks.write_table(cnt.overlap_summary(clean), f"{out}/summary", "tsv")
@@ -130,9 +131,11 @@ def run(spark: SparkSession, manifest_path: str, gtf_path: str | None, alignment
         sinks.write_features(ann.introns, introns)
 
     res = steps.count(alignments, txt.read_features(spark, exons), txt.read_features(spark, introns), contigs=contigs, umi_length=p.len_umi)
-    sinks.write_overlaps(res.clean, f"{out}/overlaps")
+    table = res.table()
+    sinks.write_overlaps(table.clean, f"{out}/overlaps")
     clean = txt.read_overlap_table(spark, f"{out}/overlaps")
-    counts = write_counts(spark, clean, out, p.len_umi)
+    counts = write_counts(spark, clean, out, p.len_umi, table.molecules)
+    table.drop()
     qc = stats.select("sample", "n_reads", "n_matched", "frac", "n_unpaired").join(cnt.overlap_summary(clean), "sample", "full")
     sinks.write_table(qc, f"{out}/qc", "tsv")
     drop_scratch(spark, since)

@@ -21,6 +21,7 @@ from celltally.operators import counts as cnt
 from celltally.operators import intervals as iv
 from celltally.operators.common import DEFAULT_BROADCAST_BYTES, land
 from celltally.operators.nearest import observed_dictionary
+from celltally.plans.layout import ROWS_PER_BUCKET, IntervalTable
 
 
 @dataclass
@@ -96,6 +97,11 @@ class Counted:
         blocked = iv.blocked_intervals(rows.select(*iv.INTERVAL_KEYS).distinct(), self._bin)
         return cnt.molecules(iv.drop_blocked(rows, blocked))
 
+    def table(self, n_buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> IntervalTable:
+        """The overlap rows written once, bucketed by interval, for a run that
+        needs the rows and the counts."""
+        return IntervalTable(self._raw, self.blocks, n_buckets, rows_per_bucket, self._bin, self._dedup)
+
     @cached_property
     def counts(self) -> DataFrame:
         return cnt.gene_cell_counts(self.molecules, self._umi_length)

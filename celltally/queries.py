@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from celltally import fixtures as fx
 from celltally.functions.barcodes import parse_name, parse_tag_name, split_barcode
@@ -29,6 +28,7 @@ from celltally.sources import text as txt
 
 LEN_CBC, LEN_UMI, UMI_FIRST = 6, 6, True  # run defaults of the original tool
 FIXTURE_FASTQ_CHUNK = 20_000
+TABLE_ROWS = 2_000  # blocks of a stretch in one bucket, so that the fixture has salted ones
 SWEEP_ROWS = 50_000  # blocks of a slot, so that the fixture has several
 CELLS = [f"{i + 1:03d}" for i in range(fx.N_CELLS)]  # cell columns of the fixture's matrices
 ROUND = 6  # decimals reported for transcript estimates
@@ -142,6 +142,29 @@ def check_pairs(spark, d):
     return bc.check_pairs(p)
 
 
+def sam_file(spark, d) -> str:
+    """The fixture's alignments as SAM text with a header."""
+    a = fx.fx_aligned(spark, d)
+    tab, text = F.lit("\t"), lambda c: F.col(c).cast("string")
+    body = a.select(F.lit(10**6).alias("at"), F.concat_ws("\t", "qname", text("flag"), "rname", text("pos"), text("mapq"), "cigar", F.lit("*"), F.lit("0")).alias("line"))
+    names = a.groupBy().agg(F.reverse(F.array_sort(F.collect_set("rname"))).alias("c")).select(F.posexplode("c").alias("at", "c"))
+    head = names.select((F.col("at") + 1).alias("at"), F.concat(F.lit("@SQ"), tab, F.lit("SN:"), "c", tab, F.lit("LN:100000000")).alias("line"))
+    first = spark.createDataFrame([(0, "@HD\tVN:1.6\tSO:unsorted"), (1000, "@PG\tID:x\tCL:map SN:none")], "at int, line string")
+    path = scratch_path(spark, "sam")
+    first.unionByName(head).unionByName(body).orderBy("at").select("line").write.text(path)
+    return path
+
+
+@query
+def sam_scan(spark, d):
+    return txt.read_sam(spark, sam_file(spark, d), "S1")
+
+
+@query
+def contigs_scan(spark, d):
+    return txt.read_contigs(spark, sam_file(spark, d))
+
+
 @query
 def contig_filter(spark, d):
     a = annotation(spark, d)
@@ -253,10 +276,7 @@ def intron_table(spark, d):
 def feature_pool(spark, d):
     exons, introns = ann.exon_intron_tables(gtf_rows(spark, d), pooled=False)
     both = exons.withColumn("kind", F.lit("exon")).unionByName(introns.withColumn("kind", F.lit("intron")))
-    return both.groupBy("kind", "chr", "start", "end", "strand").agg(
-        F.array_join(F.array_sort(F.collect_list("gene_fullname")), "-").alias("gene_fullname"),
-        F.count(F.lit(1)).alias("n_genes"),
-    )
+    return ann.pool_features(both, "kind", counted=True)
 
 
 # --------------------------------------------------------------- intervals
@@ -339,6 +359,14 @@ def counts_transcripts(spark, d):
     return _measures(spark, d, "transcripts")
 
 
+@query
+def counts_bucketed(spark, d):
+    """UMI counts from overlap rows bucketed by interval, as a run makes them."""
+    a = annotation(spark, d)
+    rows = steps.count(fx.fx_aligned(spark, d), a.exons, a.introns).table(rows_per_bucket=TABLE_ROWS)
+    return cnt.gene_cell_counts(rows.molecules).select("sample", "cell", "gene", *cnt.MEASURES["umis"])
+
+
 @query
 def gene_rowcounts(spark, d):
     return cnt.gene_rowcounts(counted(spark, d).clean)
@@ -359,21 +387,11 @@ def qc_summary(spark, d):
 # ------------------------------------------------------------------- sinks
 # Each writes its files and reads them back; ``place`` is a row's place in them.
 
-def in_file_order(lines: DataFrame, *keys: str) -> DataFrame:
-    """``place`` of each text line (from 1) by file name and position, per key."""
-    at = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
-    return lines.select("*", F.row_number().over(Window.partitionBy(*keys).orderBy(at)).cast("long").alias("place"))
-
-
 @query
 def sink_features(spark, d):
     path = scratch_path(spark, "sink-exons")
     sinks.write_features(annotation(spark, d).exons, path)
-    assert txt.read_features(spark, path).columns == ["chr", "start", "end", "strand", "gene_fullname"]
-    t = in_file_order(spark.read.text(path).withColumn("chr", F.split_part("value", F.lit("\t"), F.lit(1))), "chr")
-    part = lambda i: F.split_part("value", F.lit("\t"), F.lit(i))
-    return t.select("chr", part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), part(4).alias("strand"),
-                    part(5).alias("gene_fullname"), "place")
+    return txt.numbered(txt.read_features(spark, path), "chr")
 
 
 @query
@@ -387,7 +405,7 @@ def sink_overlaps(spark, d):
 def sink_gene_counts(spark, d):
     path = scratch_path(spark, "sink-gene-counts")
     sinks.write_gene_counts(cnt.gene_rowcounts(counted(spark, d, "two").clean), path)
-    t = in_file_order(spark.read.text(path), "label")
+    t = txt.numbered(spark.read.text(path), "label")
     part = lambda i: F.split_part("value", F.lit("\t"), F.lit(i))
     return t.select("label", part(1).alias("sample"), part(2).alias("gene"), part(3).cast("long").alias("n"), "place")
 
@@ -401,19 +419,33 @@ def sink_fastq(spark, d):
     return back.select(F.regexp_extract("file", "sample=([^/]+)", 1).alias("sample"), "name", "seq", "plus", "qual")
 
 
+@query
+def sink_genes(spark, d):
+    path = scratch_path(spark, "sink-genes")
+    genes = annotation(spark, d).genes
+    sinks.write_genes(genes, path)
+    back = spark.read.schema(genes.schema).option("sep", "\t").option("header", True).csv(path)
+    return txt.ordered(back, "seqname", "start")
+
+
 @query
 def sink_alignments(spark, d):
     path = scratch_path(spark, "sink-alignments")
     sinks.write_alignments(iv.align_blocks(fx.fx_aligned(spark, d)), path)
-    return spark.read.parquet(path).select("sample", "chrom", "start", "end", "qname", "mapq", "strand")
+    rows = spark.read.parquet(path)
+    return txt.ordered(rows, "sample", "chrom", "start", "end").select("sample", "chrom", "start", "end", "qname", "mapq", "strand", "in_order")
 
 
 @query
 def sink_matrices(spark, d):
+    """All nine matrices; estimates are given in millionths."""
     path = scratch_path(spark, "sink-matrices")
-    sinks.write_matrices(cnt.matrix_lines(counted(spark, d).counts, ["umis_total", "reads_spliced", "reads_unspliced"]), path)
-    t = in_file_order(spark.read.schema("value string, sample string, measure string").text(path), "sample", "measure")
-    return t.select("sample", "measure", F.col("value").alias("line"), "place")
+    sinks.write_matrices(cnt.matrix_lines(counted(spark, d).counts), path)
+    t = txt.numbered(spark.read.schema("value string, sample string, measure string").text(path), "sample", "measure")
+    cut = F.split("value", "\t")
+    millionths = F.transform(F.slice(cut, F.lit(2), F.size(cut)), lambda v: F.round(v.cast("double") * 1_000_000).cast("long").cast("string"))
+    line = F.when(F.startswith("measure", F.lit("transcripts")) & (F.col("place") > 1), F.array_join(F.concat(F.array(cut[0]), millionths), "\t")).otherwise(F.col("value"))
+    return t.select("sample", "measure", line.alias("line"), "place")
 
 
 # ---------------------------------------------------------------- matrices

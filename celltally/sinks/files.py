@@ -67,11 +67,13 @@ def write_overlaps(clean: DataFrame, path: str) -> None:
 
 def write_matrices(lines: DataFrame, path: str) -> None:
     """Matrix lines (see ``operators.counts.matrix_lines``) -> text folders
-    ``sample=<id>/measure=<name>``, one file each: the header, then the genes in
-    order. A matrix is one task's work; all matrices are written side by side."""
+    ``sample=<id>/measure=<name>``: part files that, one after another, are the
+    header and then the genes in order. A large matrix is several tasks' work,
+    each a range of its genes; ``text.read_matrix`` reads one back."""
+    gene = F.col("gene").asc_nulls_first()
     (
-        lines.repartition("sample", "measure")
-        .sortWithinPartitions("sample", "measure", F.col("gene").asc_nulls_first())
+        lines.repartitionByRange("sample", "measure", gene)
+        .sortWithinPartitions("sample", "measure", gene)
         .select("sample", "measure", F.col("line").alias("value"))
         .write.mode("overwrite").partitionBy("sample", "measure").text(path)
     )

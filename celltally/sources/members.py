@@ -42,10 +42,10 @@ def open_raw(path: str, start: int = 0):
 class Lines:
     """The lines of a file from byte ``start`` on, as Arrow arrays. With
     ``partial`` the first one begins before ``start`` and is left out;
-    ``skip`` further lines are too."""
+    ``skip`` further lines are too. ``piece`` bytes are read at a time."""
 
-    def __init__(self, path: str, start: int = 0, partial: bool = False, skip: int = 0):
-        self.raw = open_raw(path, start)
+    def __init__(self, path: str, start: int = 0, partial: bool = False, skip: int = 0, piece: int = PIECE):
+        self.raw, self.piece = open_raw(path, start), piece
         self.blocks = self._blocks(gzip.GzipFile(fileobj=self.raw) if path.endswith(".gz") else self.raw)
         self.held, self.n_held = [], 0
         for left in ([1] if partial else []) + [skip]:
@@ -53,11 +53,10 @@ class Lines:
                 got = len(self.take(min(left, 1 << 20)))
                 left = left - got if got else 0
 
-    @staticmethod
-    def _blocks(text):
-        """Whole lines in blocks of some megabytes."""
+    def _blocks(self, text):
+        """Whole lines in blocks of about a piece."""
         rest = []
-        while piece := text.read(PIECE):
+        while piece := text.read(self.piece):
             cut = piece.rfind(b"\n") + 1
             if not cut:
                 rest.append(piece)

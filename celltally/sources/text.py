@@ -4,10 +4,16 @@ mark is dropped by Spark's csv and text readers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import sys
+
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from celltally.session import file_system
+from celltally.sources import members
 
 MANIFEST_COLUMNS = ("sample", "raw_fq_dir", "cbc_file")
 GTF_COLUMNS = ["seqname", "source", "feature", "start", "end", "score", "strand", "frame", "attribute"]
@@ -80,11 +86,86 @@ def read_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataF
     return df.select(F.lit(sample).alias("sample"), "*") if sample is not None else df
 
 
+HEAD_BYTES = 64 << 10  # bytes read at a time from the head of a SAM file
+
+
+def _contigs(batches):
+    """(contig, place) of the files' ``@SQ`` lines; a file is read up to the
+    first line that is no header line."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            lines, names, more = members.Lines(path, piece=HEAD_BYTES), [], True
+            while more and (some := lines.take(1000).to_pylist()):
+                for line in some:
+                    more = line.startswith(b"@")
+                    if not more:
+                        break
+                    found = re.search(rb"\tSN:([^\t\r\n]+)", line) if line.startswith(b"@SQ") else None
+                    names += [found.group(1).decode()] if found else []
+            lines.close()
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(range(1, len(names) + 1), pa.int64())], names=["contig", "place"])
+
+
 def read_contigs(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
-    """Contig names of the ``@SQ`` header lines of a SAM file."""
-    t = spark.read.text(path).filter(F.col("value").startswith("@SQ"))
-    df = t.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("contig")).filter(F.col("contig") != "")
-    return df.select(F.lit(sample).alias("sample"), "contig") if sample is not None else df
+    """Contig names of the ``@SQ`` header lines of SAM files (plain or gzip; a
+    file, a folder or a pattern), with their ``place`` in the header. Only the
+    heads of the files are read, however long they are."""
+    cloudpickle.register_pickle_by_value(members)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    fs, jpath = file_system(spark, path)
+    found = [f for top in (fs.globStatus(jpath) or []) for f in (fs.listStatus(top.getPath()) if top.isDirectory() else [top])]
+    files = sorted(str(f.getPath().toString()) for f in found if f.isFile() and str(f.getPath().getName())[0] not in "._")
+    if not files:
+        raise FileNotFoundError(path)
+    listed = spark.createDataFrame([(i, f) for i, f in enumerate(files)], "i int, path string").repartitionById(len(files), "i")
+    df = listed.select("path").mapInArrow(_contigs, "contig string, place long")
+    return df.select(F.lit(sample).alias("sample"), "contig", "place") if sample is not None else df
+
+
+def file_place() -> Column:
+    """Where a row stands in its file: sorts by place within a file."""
+    return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
+
+
+def numbered(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` of files with ``place``, their number (from 1) in order of file
+    name and position, for each value of ``keys``. Rows are ranked inside their
+    split of a file; the rows of earlier splits are added from a table of splits."""
+    at = rows.select("*", F.col("_metadata.file_path").alias("_file"), file_place().alias("_at"))
+    split = [*keys, "_file", "_block"]
+    at = at.withColumn("_block", F.col("_at.block"))
+    earlier = Window.partitionBy(*keys).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    n = at.groupBy(*split).agg(F.count("*").alias("_n"))
+    before = n.select(*split, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*split).orderBy("_at"))
+    same = [c.eqNullSafe(before[k]) for k in split for c in [F.col(f"r.{k}")]]
+    joined = at.withColumn("_rank", rank).alias("r").join(before, same)
+    return joined.select("r.*", (F.col("_before") + F.col("_rank")).cast("long").alias("place")).drop("_file", "_at", "_block", "_rank")
+
+
+def ordered(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` of files with ``in_order``: whether a row's ``keys`` are not
+    less than those of the row before it, in order of file name and position
+    (nulls first). Compared inside files, and with the last row of the file before."""
+    key = F.struct(*[F.col(k) for k in keys])
+    at = rows.select("*", F.col("_metadata.file_path").alias("_file"), file_place().alias("_at"), key.alias("_key"))
+    last = at.groupBy("_file").agg(F.max_by("_key", "_at").alias("_last"))
+    before = last.select(F.col("_file").alias("_of"), F.lag("_last").over(Window.orderBy("_file")).alias("_earlier"))  # a row per file
+    prev = F.coalesce(F.lag("_key").over(Window.partitionBy("_file").orderBy("_at")), F.col("_earlier"))
+    out = at.join(before, F.col("_file") == F.col("_of")).withColumn("in_order", F.coalesce(F.col("_key") >= prev, F.lit(True)))
+    return out.drop("_file", "_of", "_at", "_key", "_earlier")
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """A matrix as ``sinks.files.write_matrices`` writes it: gene and a column
+    per cell, as strings. The header is the first line of the first part."""
+    lines = spark.read.text(path)
+    header = numbered(lines).where("place = 1").first().value
+    parts = F.split("value", "\t")
+    names = header.split("\t")
+    return lines.where(F.col("value") != header).select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

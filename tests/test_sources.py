@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from celltally.sinks import files as sinks
 from celltally.sources import fastq as fq
@@ -86,6 +87,60 @@ def test_sam_and_contigs(spark, tmp):
     assert [x.contig for x in txt.read_contigs(spark, p).collect()] == ["chr1", "chr2"]
 
 
+def test_contigs_read_heads_only(spark, tmp, monkeypatch):
+    head = "@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:c{i}\tLN:5\n" for i in (3, 1, 2)) + "@PG\tSN:none\n"
+    body = "q\t0\tc1\t1\t255\t5M\t*\t0\t0\tACGTA\tIIIII\n@SQ\tSN:late\tLN:1\n"
+    os.makedirs(os.path.join(tmp, "sams"))
+    write(os.path.join(tmp, "sams", "a.sam"), head + body * 50_000)
+    write(os.path.join(tmp, "sams", "b.sam.gz"), head, gz=True)
+    write(os.path.join(tmp, "sams", "_SUCCESS"), "")
+    write(os.path.join(tmp, "sams", "c.sam"), "")
+    for path, times in (("sams", 2), ("sams/a.sam", 1), ("sams/*.gz", 1), ("sams/c.sam", 0)):
+        got = sorted((r.place, r.contig) for r in txt.read_contigs(spark, os.path.join(tmp, path), "S").collect())
+        assert got == sorted([(1, "c3"), (2, "c1"), (3, "c2")] * times)
+    with pytest.raises(FileNotFoundError):
+        txt.read_contigs(spark, os.path.join(tmp, "none"))
+    from celltally.sources import members
+    lines = members.Lines(os.path.join(tmp, "sams", "a.sam"), piece=txt.HEAD_BYTES)
+    assert lines.take(5).to_pylist()[1] == b"@SQ\tSN:c3\tLN:5\n" and lines.raw.tell() <= 2 * txt.HEAD_BYTES
+
+
+def test_order_in_files_is_checked(spark, tmp):
+    rows = spark.range(3_000).select(F.when(F.col("id") < 5, None).otherwise(F.floor(F.col("id") / 7)).alias("k"), F.col("id").alias("v"))
+    good, bad, inside = (os.path.join(tmp, n) for n in ("good", "bad", "inside"))
+    rows.orderBy("k").repartitionByRange(4, "k").sortWithinPartitions("k").write.parquet(good)
+    assert txt.ordered(spark.read.parquet(good), "k").where("NOT in_order").count() == 0
+    rows.repartitionByRange(4, F.desc("k")).sortWithinPartitions("k").write.parquet(bad)  # each file sorted, the files not
+    assert 0 < txt.ordered(spark.read.parquet(bad), "k").where("NOT in_order").count() < 4
+    rows.orderBy(F.rand(1)).write.parquet(inside)
+    assert txt.ordered(spark.read.parquet(inside), "k").where("NOT in_order").count() > 100
+
+
+def test_places_over_files(spark, tmp):
+    path = os.path.join(tmp, "t")
+    spark.range(1_000).select(F.format_string("%05d", "id").alias("value")).repartitionByRange(5, "value").sortWithinPartitions("value").write.text(path)
+    got = txt.numbered(spark.read.text(path).withColumn("k", F.col("value").cast("int") % 3), "k").collect()
+    assert all(r.place == int(r.value) // 3 + 1 for r in got) and len(got) == 1_000
+
+
+def test_a_matrix_in_parts(spark, tmp):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        genes = spark.range(2_000).select(F.lit("S").alias("sample"), F.lit("m").alias("measure"), F.format_string("g%05d", "id").alias("gene"))
+        lines = genes.withColumn("line", F.concat("gene", F.lit("\t1\t2"))).unionByName(
+            spark.createDataFrame([("S", "m", None, "gene\ta\tb")], "sample string, measure string, gene string, line string"))
+        sinks.write_matrices(lines.repartition(3), os.path.join(tmp, "m"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folder = os.path.join(tmp, "m", "sample=S", "measure=m")
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    assert len(parts) > 3
+    text = "".join(open(os.path.join(folder, f)).read() for f in parts).splitlines()
+    assert text == ["gene\ta\tb"] + [f"g{i:05d}\t1\t2" for i in range(2_000)]
+    back = txt.read_matrix(spark, folder)
+    assert back.columns == ["gene", "a", "b"] and back.count() == 2_000
+
+
 def test_feature_and_matrix_sinks(spark, tmp):
     f = spark.createDataFrame([("c", 5, 9, "+", "g2"), ("c", 1, 3, "+", "g1")],
                               "chr string, start long, end long, strand string, gene_fullname string")
