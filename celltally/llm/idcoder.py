@@ -26,7 +26,7 @@ import numpy as np
 
 MAGIC = b"CMR1"
 BLOCK_IDS = 1 << 20
-LANES = 2048
+LANES = 4096
 #: Intervals are shares of 2 ** SCALE; order 0 deals in about 2 ** SCALE_0. An order
 #: above 0 weighs at most 1 - 2 ** -CAP, so order 0 keeps more than its own scale.
 SCALE, SCALE_0, CAP = 31, 21, 4
@@ -67,6 +67,10 @@ class Model:
         self.total = U(self.cum[-1])
         self.weight = np.minimum(self.right * (1 << 16) // self.seen, (1 << 16) - (1 << (16 - CAP))).astype(U)
 
+    def holder(self) -> np.ndarray:
+        """The id that each point of the order-0 scale belongs to."""
+        return np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.cum))
+
     def predict(self, one, two):
         """For order 2, then 1: predicted ids (-1: none) and their shares of the
         interval; then what each order-0 share is worth in the rest."""
@@ -197,17 +201,21 @@ def decode_block(blob: bytes) -> np.ndarray:
     low, size = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
     before = np.full((steps + 2, lanes), -1, np.int64)
     for a, b in rounds(steps):
+        holder = model.holder()
         for step in range(a, b):
             guess, share, unit = model.predict(before[step + 1], before[step])
             target = np.minimum((code - low) // (size >> U(SCALE)), U((1 << SCALE) - 1))
             upto = share[0] + share[1]
             rest = quotient(target - np.minimum(upto, target), unit)
-            rest = np.minimum(rest, model.total - U(1)).astype(np.uint32)
-            ids = np.searchsorted(model.cum, rest, "right") - 1
+            ids = holder[np.minimum(rest, model.total - U(1)).astype(np.int64)]
+            under = model.cum[ids]
+            begin, width = upto + under * unit, (model.cum[ids + 1] - under) * unit
             hit = np.flatnonzero(target < upto)
-            ids[hit] = np.where(target[hit] < share[0][hit], guess[0][hit], guess[1][hit])
+            first = target[hit] < share[0][hit]
+            ids[hit] = np.where(first, guess[0][hit], guess[1][hit])
+            begin[hit], width[hit] = np.where(first, U(0), share[0][hit]), np.where(first, share[0][hit], share[1][hit])
             before[step + 2] = ids
-            low, size = narrowed(low, size, *split(model, guess, share, unit, ids))
+            low, size = narrowed(low, size, begin, width)
             done = settle(low, size)
             if len(done):
                 low[done] <<= _TOP
