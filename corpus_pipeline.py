@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celltally.llm import bpe, jaccard, mixing, pii, resample
-from celltally.llm.common import col, fresh, land, named, table
+from celltally.llm.common import col, fresh, land, named, small, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,16 +23,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 80 %): the
     one with the smallest id. Of repeated rows of an id one stays; all rows
-    without an id stay."""
+    without an id stay.
+
+    The ids that go, or have several rows, are fewer than those that stay: texts
+    are joined with them only, and are not exchanged while they fit a broadcast.
+    """
     groups = jaccard.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    ident, n = fresh(docs, "kept_id"), fresh(docs, "n_rows")
-    kept = land(kept.select(F.col("doc_id").alias(ident), F.col("n").alias(n)), "pipeline-kept")
-    joined = docs.join(kept, col("doc_id") == F.col(ident))
-    out = joined.where(F.col(n) == 1)
-    if not kept.where(F.col(n) > 1).isEmpty():
-        out = out.unionByName(joined.where(F.col(n) > 1).dropDuplicates([named(docs, "doc_id")]))
-    return out.drop(ident, n).unionByName(docs.where(col("doc_id").isNull()))
+    ident, n, stays = fresh(docs, "dealt_id"), fresh(docs, "n_rows"), fresh(docs, "stays")
+    ids = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(ident)).agg(
+        F.count("*").alias(n), F.bool_or(F.col("doc_id") == F.col("component_id")).alias(stays))
+    dealt = land(ids.where((F.col(n) > 1) | ~F.col(stays)), "pipeline-dealt")
+    out = docs.join(small(dealt.select(ident), 16), col("doc_id") == F.col(ident), "left_anti")
+    several = dealt.where(F.col(stays)).select(ident)
+    if not several.isEmpty():
+        again = docs.join(small(several, 16), col("doc_id") == F.col(ident)).drop(ident)
+        out = out.unionByName(again.dropDuplicates([named(docs, "doc_id")]))
+    return out
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
