@@ -69,5 +69,5 @@ def test_query_equals_its_sql(spark, sf_small, key):
 
 
 def test_one_query_per_operator():
-    assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert os.path.basename(P.__file__) == "corpus_pipeline.py" and len(P.STAGES) == 5
