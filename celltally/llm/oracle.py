@@ -100,21 +100,22 @@ counts AS (
   FROM docs LEFT JOIN (SELECT doc_id, count(*) AS n, sum(length(word)) AS chars FROM word GROUP BY doc_id) w USING (doc_id)
   LEFT JOIN line USING (doc_id) LEFT JOIN covered USING (doc_id)),
 ratios AS (
-  SELECT *, CASE WHEN n_words > 0 THEN least(1000 * n_symbols // n_words, 5000) ELSE 0 END AS symbols,
-         CASE WHEN n_lines > 0 THEN least(1000 * n_dup_lines // n_lines, 5000) ELSE 0 END AS dup_lines,
-         CASE WHEN n_words > 0 THEN least(1000 * n_repeat_words // n_words, 5000) ELSE 0 END AS repeats,
-         CASE WHEN word_chars > 0 THEN least(1000 * n_upper // word_chars, 5000) ELSE 0 END AS upper_part,
-         CASE WHEN n_words > 0 THEN least(100 * word_chars // n_words, 5000) ELSE 0 END AS word_length FROM counts),
+  SELECT *, CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS symbols,
+         CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_lines,
+         CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeats,
+         CASE WHEN word_chars > 0 THEN 1000 * n_upper // word_chars ELSE 0 END AS upper_part,
+         CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS word_length FROM counts),
 long AS (
   SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'upper_part', 'word_length']) AS ratio,
          unnest([symbols, dup_lines, repeats, upper_part, word_length]) AS v FROM ratios),
-own AS (SELECT lang, source, ratio, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM long GROUP BY ALL),
-tongue AS (SELECT lang, ratio, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM long GROUP BY ALL),
-every AS (SELECT ratio, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3 FROM long GROUP BY ALL),
+bucket AS (SELECT *, CASE WHEN v < 1024 THEN v ELSE v - v % (CAST(1 AS BIGINT) << CAST(length(bin(v)) - 10 AS BIGINT)) END AS b FROM long),
+own AS (SELECT lang, source, ratio, count(*) AS n, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bucket GROUP BY ALL),
+tongue AS (SELECT lang, ratio, count(*) AS n, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bucket GROUP BY ALL),
+every AS (SELECT ratio, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bucket GROUP BY ALL),
 chosen AS (
   SELECT own.lang, own.source, own.ratio,
-         CASE WHEN own.n >= 200 THEN own.q1 WHEN tongue.n >= 200 THEN tongue.q1 ELSE every.q1 END AS q1,
-         CASE WHEN own.n >= 200 THEN own.q3 WHEN tongue.n >= 200 THEN tongue.q3 ELSE every.q3 END AS q3
+         (own.n * own.q1 + 20 * ((tongue.n * tongue.q1 + 20 * every.q1) // (tongue.n + 20))) // (own.n + 20) AS q1,
+         (own.n * own.q3 + 20 * ((tongue.n * tongue.q3 + 20 * every.q3) // (tongue.n + 20))) // (own.n + 20) AS q3
   FROM own JOIN tongue ON own.lang IS NOT DISTINCT FROM tongue.lang AND own.ratio = tongue.ratio JOIN every ON own.ratio = every.ratio),
 bounds AS (
   SELECT lang, source, ratio, q1 - greatest(4 * (q3 - q1), least_reach) AS low, q3 + greatest(4 * (q3 - q1), least_reach) AS high

@@ -3,8 +3,10 @@
 Counts per document come from one vectorised pass. Their ratios go into
 quantile sketches per (lang, source): bucket counts of integer ratios, which
 merge by adding, so any split of the rows gives the same sketch. Fences around
-the quartiles replace fixed cutoffs; small groups use the sketch of their
-language, or of all rows. Documents are then judged by a join with the fences.
+the quartiles replace fixed cutoffs. A group's quartiles are averaged with those
+of its language, which count as ``PRIOR`` rows whatever the group's size, and a
+language's likewise with those of all rows. Documents are then judged by a join
+with the fences.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from celltally.llm.common import col, land, ship
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 #: Ratio -> (numerator, factor, denominator, least distance of the fences from the quartiles).
-#: Ratios are whole numbers: factor * numerator div denominator, at most TOP.
+#: Ratios are whole numbers: factor * numerator div denominator.
 RATIOS = {
     "symbols": ("n_symbols", 1000, "n_words", 200),
     "dup_lines": ("n_dup_lines", 1000, "n_lines", 300),
@@ -30,11 +32,12 @@ RATIOS = {
     "upper": ("n_upper", 1000, "word_chars", 200),
     "word_length": ("word_chars", 100, "n_words", 300),
 }
-TOP = 5000
+#: Sketches keep so many leading bits of a ratio: smaller ones are exact, larger ones within 1/512.
+BITS = 10
 #: Fences lie this many quartile distances outside the quartiles.
 REACH = 4
-#: A group with fewer rows uses the sketch of its language; a language with fewer, that of all rows.
-LEAST_ROWS = 200
+#: Rows that the wider group's quartiles count as.
+PRIOR = 20
 FENCES_BROADCAST_BYTES = 8 << 20
 
 _SYMBOL = np.zeros(256, bool)
@@ -108,17 +111,22 @@ def counted(docs: DataFrame) -> DataFrame:
 def ratio(name: str):
     top, factor, bottom, _ = RATIOS[name]
     value = F.expr(f"(CAST({factor} AS BIGINT) * {top}) div {bottom}")
-    return F.when(F.col(bottom) > 0, F.least(value, F.lit(TOP))).otherwise(F.lit(0)).cast("long")
+    return F.when(F.col(bottom) > 0, value).otherwise(F.lit(0)).cast("long")
+
+
+def bucket(value):
+    """The ratio with all but its ``BITS`` leading bits cleared."""
+    return F.expr(f"CASE WHEN {value} < {1 << BITS} THEN {value} ELSE {value} - {value} % shiftleft(1L, length(bin({value})) - {BITS}) END")
 
 
 def sketches(counts: DataFrame) -> DataFrame:
     """(lang, source, ratio, bucket, n): one mergeable sketch per group and ratio.
 
-    At most ``TOP`` + 1 buckets each; partial sums before the shuffle keep a
-    hot source to one row per bucket and task.
+    At most 2 ** ``BITS`` buckets and half as many for each further doubling;
+    partial sums before the shuffle keep a hot source to one row per bucket and task.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("ratio"), ratio(r).alias("bucket")) for r in RATIOS])).alias("p")
-    return (counts.select("lang", "source", pairs).groupBy("lang", "source", "p.ratio", "p.bucket")
+    return (counts.select("lang", "source", pairs).select("lang", "source", "p.ratio", bucket("p.bucket").alias("bucket")).groupBy("lang", "source", "ratio", "bucket")
             .agg(F.count("*").alias("n")))
 
 
@@ -139,10 +147,10 @@ def fences(sketch: DataFrame) -> DataFrame:
     every = quartiles([]).alias("every")
     joined = (own.join(lang, F.col("own.lang").eqNullSafe(F.col("lang_only.lang")) & (F.col("own.ratio") == F.col("lang_only.ratio")))
               .join(every, F.col("own.ratio") == F.col("every.ratio")))
-    pick = lambda q: (F.when(F.col("own.rows") >= LEAST_ROWS, F.col(f"own.{q}"))
-                      .when(F.col("lang_only.rows") >= LEAST_ROWS, F.col(f"lang_only.{q}")).otherwise(F.col(f"every.{q}")))
+    shrunk = lambda mine, q, wider: F.expr(f"({mine}.rows * {mine}.{q} + {PRIOR} * {wider}) div ({mine}.rows + {PRIOR})")
+    joined = joined.select("*", *[shrunk("lang_only", q, f"every.{q}").alias(f"lang_{q}") for q in ("q1", "q3")])
     chosen = joined.select(F.col("own.lang").alias("lang"), F.col("own.source").alias("source"), F.col("own.ratio").alias("ratio"),
-                           pick("q1").alias("q1"), pick("q3").alias("q3"))
+                           shrunk("own", "q1", "lang_q1").alias("q1"), shrunk("own", "q3", "lang_q3").alias("q3"))
     out = []
     for name, (_, _, _, least) in RATIOS.items():
         reach = F.greatest(REACH * (F.col("q3") - F.col("q1")), F.lit(least))

@@ -303,6 +303,40 @@ def test_rules_adapt_to_their_group(spark):
         rules.fences(rules.sketches(rules.counted(d))), "source", "symbols_high", "upper_low")
 
 
+def brute_bounds(groups, ratio):
+    """(low, high) of a ratio for each group of (lang, source) -> values."""
+    def quartiles(values):
+        values = sorted(v if v < 1024 else v - v % (1 << (v.bit_length() - 10)) for v in values)
+        return len(values), values[-(-len(values) // 4) - 1], values[-(-3 * len(values) // 4) - 1]
+
+    every, out = quartiles([v for g in groups.values() for v in g]), {}
+    for (lang, source), values in groups.items():
+        n, *own = quartiles(values)
+        m, *tongue = quartiles([v for k, g in groups.items() if k[0] == lang for v in g])
+        q1, q3 = ((n * a + 20 * ((m * b + 20 * c) // (m + 20))) // (n + 20) for a, b, c in zip(own, tongue, every[1:]))
+        reach = max(4 * (q3 - q1), rules.RATIOS[ratio][3])
+        out[lang, source] = (q1 - reach, q3 + reach)
+    return out
+
+
+def test_fences_of_any_size_and_ratio(spark):
+    """One formula for groups of 1, 199 and 201 rows; ratios beyond 5000 have fences too."""
+    rnd = random.Random(8)
+    text = lambda n: " ".join("#" * n + "word" for _ in range(60))
+    data, groups = [], {}
+    for lang, source, n, most in (("en", "a", 199, 2), ("en", "b", 201, 2), ("en", "c", 1, 30), ("de", "d", 40, 30), (None, None, 3, 1)):
+        for _ in range(n):
+            k = rnd.randint(0, most)
+            data.append((len(data), text(k), lang, source))
+            groups.setdefault((lang, source), []).append(1000 * k)
+    data.append((len(data), text(500), "de", "d"))
+    groups["de", "d"].append(500_000)
+    d = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    counts = rules.counted(d)
+    assert {(r.lang, r.source): (r.symbols_low, r.symbols_high) for r in rules.fences(rules.sketches(counts)).collect()} == brute_bounds(groups, "symbols")
+    assert not {r.doc_id: r.kept for r in rules.report(d).collect()}[len(data) - 1]
+
+
 # ---------------------------------------------------------------------- PII
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
