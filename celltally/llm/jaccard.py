@@ -13,12 +13,16 @@ round pairs the groups of a shingle with the most ordinary of them (fewest
 shingles of its own); the second takes
 the candidates whose documents are still in different components. Both expand
 groups to members and verify each pair on its whole texts, so no link between
-components is lost.
+components is lost. All links inside a component are counted on request: its
+classes are cut into bands of size and blocks, and a task compares two blocks
+as matrices. No row per pair is made; the arithmetic grows with the square of
+the different sets of a component that are near in size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +31,17 @@ from pyspark.sql import functions as F
 
 from celltally.llm import slabs
 from celltally.llm import textkit as tk
-from celltally.llm.common import land
+from celltally.llm.common import land, small
 from celltally.llm.links import components
 
 #: Near-duplicate defaults of the library: five words, 80 %.
 WORDS, PERCENT = 5, 80
 #: Members verified against one text by one task at a time.
 SALT_MEMBERS = 256
+#: Classes of a component, and bytes of their texts, in a block whose links are counted.
+BLOCK_MEMBERS, BLOCK_BYTES = 512, 2 << 20
+#: Cells of a matrix of shingles by classes that are held at a time.
+CELLS = 1 << 21
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,26 +195,139 @@ def linked(tab: pa.Table, k: int, percent: int):
                                       tab.column("id").combine_chunks().filter(pa.array(hit)).cast(pa.int64())], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, slab_bytes: int = slabs.SLAB_BYTES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): one row per input row.
+TASK = ("root", "lo", "p", "hi", "q")
 
-    ``component_id`` is the smallest doc_id reachable by links. ``n_links``
-    counts the links that were verified for the row's class (its own copies not
-    counted, and links inside a component that were not needed left out).
-    Null or empty texts have no shingles and no links; repeated rows and equal
-    texts are one class; rows of one doc_id count as one document; a row
-    without doc_id takes its class's component (null if it has none); other
-    columns are not read; an empty table gives an empty result.
+
+def link_counts(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, n_links): the weights of the members of each one's component that
+    link with it, added up. ``members``: id, root (its component), n (set size),
+    weight, text; a landed table, one row per different set.
+
+    A component of more than a block is cut into bands of size: sets that link
+    are in one band or in neighbouring ones. A band is dealt into blocks by a
+    hash of the id, and a task gets two blocks.
+    """
+    width = max(math.log(100 / percent) * 1.0001, 1e-9)
+    members = members.withColumn("band", F.floor(F.log("n") / width))
+    parts = land(members.groupBy("root", "band").agg(F.count("*").alias("c"), F.sum(F.octet_length("text")).alias("b")), "jaccard-bands")
+    many = parts.groupBy("root").agg(F.sum("c").alias("c"), F.sum("b").alias("b")).where((F.col("c") > BLOCK_MEMBERS) | (F.col("b") > BLOCK_BYTES))
+    blocks = parts.join(many.select("root"), "root", "left_semi").select(
+        "root", "band", F.greatest(F.ceil(F.col("c") / BLOCK_MEMBERS), F.ceil(F.col("b") / BLOCK_BYTES)).alias("blocks"))
+    above = blocks.select("root", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = blocks.select("root", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    blocks = blocks.join(above, ["root", "band"], "left").join(below, ["root", "band"], "left")
+    blocks = land(blocks, "jaccard-blocks")
+
+    dealt = members.join(small(blocks, 40), ["root", "band"], "left")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))))
+    band, own, zero = F.col("band"), F.col("own"), F.lit(0).cast("long")
+
+    def pairs_of(blocks, task):
+        return F.when(blocks.isNull(), F.array().cast("array<struct<lo: bigint, p: bigint, hi: bigint, q: bigint, first: boolean>>")).otherwise(
+            F.transform(F.sequence(zero, blocks - 1), lambda other: F.struct(*[c.alias(x) for c, x in zip(task(other), ("lo", "p", "hi", "q", "first"), strict=True)])))
+
+    alone = F.array(F.struct(zero.alias("lo"), zero.alias("p"), zero.alias("hi"), zero.alias("q"), F.lit(True).alias("first")))
+    tasks = F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(
+        pairs_of(F.col("blocks"), lambda o: (band, F.least(own, o), band, F.greatest(own, o), own <= o)),
+        pairs_of(F.col("above"), lambda o: (band, own, band + 1, o, F.lit(True))),
+        pairs_of(F.col("below"), lambda o: (band - 1, o, band, own, F.lit(False)))))
+    rows = dealt.select("id", "root", "weight", "text", F.explode(tasks).alias("t")).select("root", "t.*", "id", "weight", "text")
+    rows = rows.repartition(*TASK).sortWithinPartitions(*TASK)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            tab = pa.Table.from_batches([batch])
+            tab = tab if held is None else pa.concat_tables([held, tab])
+            cuts = task_cuts(tab)
+            held = tab.slice(cuts[-2]) if tab.num_rows else tab  # the last task may go on
+            yield from counted(tab, cuts[:-1], k, percent)
+        if held is not None and held.num_rows:
+            yield from counted(held, np.array([0, held.num_rows]), k, percent)
+
+    return rows.mapInArrow(run, "id long, n_links long").groupBy("id").agg(F.sum("n_links").alias("n_links"))
+
+
+def task_cuts(tab: pa.Table) -> np.ndarray:
+    """Where the tasks of sorted rows begin, and the end."""
+    change = np.zeros(max(tab.num_rows - 1, 0), bool)
+    for c in TASK:
+        x = tab.column(c).to_numpy()
+        change |= x[1:] != x[:-1]
+    return np.concatenate([[0], np.flatnonzero(change) + 1, [tab.num_rows]])
+
+
+def counted(tab: pa.Table, cuts: np.ndarray, k: int, percent: int):
+    """(id, n_links) of whole tasks, texts of about ``tk.SLICE_BYTES`` hashed at a time."""
+    at = 0
+    upto = np.concatenate([[0], np.cumsum(pa.compute.binary_length(tab.column("text")).to_numpy())])[cuts]
+    while at < len(cuts) - 1:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + tk.SLICE_BYTES, "right")) - 1)
+        part = tab.slice(cuts[at], cuts[end] - cuts[at]).combine_chunks()
+        h, offs = shingle_sets(*tk.text_bytes(part.column("text")), k)
+        first, weight = part.column("first").to_numpy(), part.column("weight").to_numpy()
+        same = (part.column("lo").to_numpy() == part.column("hi").to_numpy()) & (part.column("p").to_numpy() == part.column("q").to_numpy())
+        found = np.zeros(part.num_rows, np.int64)
+        for a, b in zip(cuts[at:end] - cuts[at], cuts[at + 1:end + 1] - cuts[at], strict=True):
+            found[a:b] = block_links(h[offs[a]:offs[b]], offs[a:b + 1] - offs[a], first[a:b], same[a], weight[a:b], percent)
+        yield pa.RecordBatch.from_arrays([part.column("id").combine_chunks().cast(pa.int64()), pa.array(found)], names=["id", "n_links"])
+        at = end
+    tk.release()
+
+
+def block_links(h: np.ndarray, offs: np.ndarray, first: np.ndarray, same: bool, weight: np.ndarray, percent: int) -> np.ndarray:
+    """Per set the weight of those it links with: all others of one block, or those of the other block."""
+    n = np.diff(offs)
+    if len(n) < 2:
+        return np.zeros(len(n), np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(h, kind="stable")
+    h, row = h[order], row[order]
+    key = np.concatenate([[0], np.cumsum(h[1:] != h[:-1])])
+    shared = np.bincount(key)[key] > 1
+    key, row = np.unique(key[shared], return_inverse=True)[1], row[shared]
+    left = np.arange(len(n)) if same else np.flatnonzero(first)
+    right = left if same else np.flatnonzero(~first)
+    common = np.zeros((len(left), len(right)))
+    step = max(1, CELLS // len(n))
+    for begin in range(0, int(key[-1]) + 1 if len(key) else 0, step):
+        a, b = np.searchsorted(key, [begin, begin + step])
+        has = np.zeros((step, len(n)))
+        has[key[a:b] - begin, row[a:b]] = 1
+        common += has[:, left].T @ has[:, right]
+    hit = 100 * common >= percent * (n[left][:, None] + n[right][None, :] - common)
+    if same:
+        np.fill_diagonal(hit, False)
+    out = np.zeros(len(n), np.int64)
+    out[left] = hit @ weight[right]
+    if not same:
+        out[right] = hit.T @ weight[left]
+    return out
+
+
+def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, slab_bytes: int = slabs.SLAB_BYTES, count_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id): one row per input row.
+
+    ``component_id`` is the smallest doc_id reachable by links. With
+    ``count_links`` also ``n_links``: how many other rows link with the row,
+    copies included. Null or empty texts have no shingles and no links; repeated
+    rows and equal texts are one class, every other row being a link; rows of
+    one doc_id are one document, so its different texts are in one component,
+    but are a link only if they are near; a row without doc_id links like any
+    other and takes its component's smallest doc_id (null if there is none);
+    other columns are not read; an empty table gives an empty result.
     """
-    base, n = slabs.deal(docs, slab_bytes)
+    base, n = slabs.deal(docs, slab_bytes, by_range=False)
     asked = base.groupBy("slab").applyInArrow(lambda t: ask_counts(t, n, k), slabs.ROWS)
     counts = asked.groupBy("shard").applyInArrow(answer_counts, slabs.ROWS)
     members = land(base.groupBy("slab").cogroup(counts.groupBy("slab"))
                    .applyInArrow(lambda key, t, a: prefixes(key, t, a, n, k, percent), PREFIXES), "jaccard-members")
 
-    classes = land(members.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id")), "jaccard-classes")
-    reps = members.where("size(prefix) > 0 AND doc_id IS NOT NULL").join(classes, "digest").where("doc_id = id")
-    reps = land(reps.select("id", F.col("n_shingles").alias("n"), F.col("n_common").alias("m"), "prefix_key", "prefix", "text").dropDuplicates(["id"]), "jaccard-classes")
+    classes = members.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
+    classes = land(classes.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
+    reps = members.where("size(prefix) > 0").join(classes, "digest").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    reps = reps.select("id", F.col("n_shingles").alias("n"), F.col("n_common").alias("m"), "n_rows", "prefix_key", "prefix", "text")
+    reps = land(reps.dropDuplicates(["id"]), "jaccard-classes")
     texts = reps.select("id", "text")
 
     groups = reps.groupBy("prefix_key").agg(F.min(F.struct("id", "n", "m", "prefix")).alias("g"))
@@ -247,11 +368,19 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, sla
     rest = land(rest, "jaccard-pairs")
     more = land(verify(rest, texts, k, percent), "jaccard-links")
 
-    every = links.unionByName(more)
-    root = components(every)
-    degree = every.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    told = (classes.join(root, "id", "left").join(degree, "id", "left")
-            .select("digest", F.coalesce("root", "id").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    told = land(told, "jaccard-roots")
-    return (members.select("doc_id", "n_shingles", "digest").join(told, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    # an id with several sets is one document
+    owned = members.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    several = land(owned.groupBy("doc_id").agg(F.min("digest").alias("one"), F.max("digest").alias("other")).where("one <> other").select("doc_id"), "jaccard-several")
+    several = land(owned.join(small(several, 16), "doc_id").select("doc_id", "digest").distinct().join(classes.select("digest", "id"), "digest").select("doc_id", "id"), "jaccard-several")
+    joined = several.join(several.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").select("a", F.col("id").alias("b"))
+
+    root = land(components(links.unionByName(more).unionByName(joined)), "jaccard-roots")
+    root = root.unionByName(root.select(F.col("root").alias("id"), "root").distinct())
+    least = root.join(classes.select("id", "least"), "id").groupBy("root").agg(F.min("least").alias("component"))
+    told = classes.join(root.join(least, "root"), "id", "left").select("digest", "id", "n_rows", F.coalesce("component", "least").alias("component"))
+    if count_links:
+        near = land(root.join(reps.select("id", "n", F.col("n_rows").alias("weight"), "text"), "id"), "jaccard-near")
+        told = told.join(link_counts(near, k, percent), "id", "left").withColumn("n_links", F.col("n_rows") - 1 + F.coalesce("n_links", F.lit(0)))
+    told = land(told.drop("id", "n_rows"), "jaccard-roots")
+    out = [F.coalesce("component", "doc_id").alias("component_id")] + ([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else [])
+    return members.select("doc_id", "n_shingles", "digest").join(told, "digest", "left").select("doc_id", "n_shingles", *out)

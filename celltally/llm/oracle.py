@@ -75,7 +75,9 @@ link AS (SELECT a, b FROM common WHERE 100 * k >= 85 * (n1 + n2 - k)),
 both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT both_ways.b, reach.root FROM reach JOIN both_ways ON reach.id = both_ways.a
           WHERE reach.root < both_ways.b)
-SELECT sized.doc_id, CAST(n AS BIGINT) AS n_shingles, min(root) AS component_id FROM sized JOIN reach ON sized.doc_id = reach.id GROUP BY 1, 2
+SELECT sized.doc_id, CAST(n AS BIGINT) AS n_shingles, min(root) AS component_id,
+       (SELECT count(*) FROM both_ways WHERE both_ways.a = sized.doc_id) AS n_links
+FROM sized JOIN reach ON sized.doc_id = reach.id GROUP BY 1, 2
 """
 
 OP7_QUALITY_RULES = rf"""

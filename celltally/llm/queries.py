@@ -11,8 +11,7 @@ from celltally.llm.common import table
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id")
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85, count_links=True)
 
 
 def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Asking all texts about hashes without moving a row per hash.
 
-Documents are dealt into slabs: ranges of ``doc_id`` with about
-``slab_bytes`` of text each. A slab's task hashes its texts and sends every
+Documents are dealt into slabs of about ``slab_bytes`` of text each, by ranges
+of ``doc_id`` where order matters, else by hash. A slab's task hashes its texts and sends every
 shard (a share of the hash space) one sorted array of its distinct keys. A
 shard's task sees the arrays of all slabs for its share, and answers each slab
 with a small value per key, in the order of the keys. The slab's task then
@@ -25,11 +25,20 @@ from celltally.llm.common import col, ship
 SLAB_BYTES = 6 << 20
 
 
-def deal(docs: DataFrame, slab_bytes: int = SLAB_BYTES) -> tuple[DataFrame, int]:
+#: Sampled ids per slab that the bounds are taken from.
+SAMPLES = 64
+
+
+def deal(docs: DataFrame, slab_bytes: int = SLAB_BYTES, by_range: bool = True) -> tuple[DataFrame, int]:
     """(doc_id, text, slab) and the number of slabs.
 
-    The bounds are approximate quantiles of ``doc_id``: one number per slab
-    reaches the driver. A null ``doc_id`` is taken as smaller than any other.
+    By range, a slab is a range of ``doc_id``; a null ``doc_id`` is taken as
+    smaller than any other. The bounds are approximate quantiles of ids sampled
+    in proportion to the bytes of their texts (about ``SAMPLES`` a slab, by a
+    hash of the id), so long texts in a row make short ranges; one number per
+    slab reaches the driver. Rows of one id, or without id, stay in one slab.
+    Otherwise rows are dealt by a hash of id and text; nothing reaches the
+    driver but the total of bytes.
     """
     ship(docs.sparkSession)
     base = docs.select(col("doc_id").cast("long").alias("doc_id"), col("text").cast("string").alias("text"))
@@ -37,12 +46,20 @@ def deal(docs: DataFrame, slab_bytes: int = SLAB_BYTES) -> tuple[DataFrame, int]
     n = max(1, math.ceil(n_bytes / slab_bytes))
     if n == 1:
         return base.withColumn("slab", F.lit(0)), 1
-    found = base.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] or []
+    if not by_range:
+        return base.withColumn("slab", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")), n
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
+    draw = F.pmod(F.xxhash64("doc_id", size), F.lit(1 << 20)) / (1 << 20)
+    copies = F.floor(size * (SAMPLES / slab_bytes) + draw).cast("int")
+    ids = base.select(F.coalesce("doc_id", F.lit(np.iinfo(np.int64).min)).alias("id"), copies.alias("copies")).where("copies > 0")
+    ids = ids.select("id", F.explode(F.sequence(F.lit(1), "copies")))
+    found = ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] or []
+    # a bound is the last id of its slab: an id with many texts ends its range
     bounds = np.unique(np.array(found, np.int64))
 
     @F.arrow_udf("int")
     def slab_of(doc_id: pa.Array) -> pa.Array:
-        at = np.searchsorted(bounds, doc_id.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), "right")
+        at = np.searchsorted(bounds, doc_id.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), "left")
         return pa.array(at.astype(np.int32))
 
     return base.withColumn("slab", slab_of("doc_id")), n

@@ -11,7 +11,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from celltally.llm import bpe, chat, idcoder, idfiles, jaccard, mixing, parsing, pii, repeats, resample, rules
+from celltally.llm import bpe, chat, idcoder, idfiles, jaccard, mixing, parsing, pii, repeats, resample, rules, slabs
 from celltally.llm import textkit as tk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,7 +70,7 @@ def shingles(t, k):
 
 def brute_components(data, k, percent):
     sets = [shingles(r[1], k) for r in data]
-    root = list(range(len(data)))
+    root, n_links = list(range(len(data))), [0] * len(data)
 
     def find(i):
         while root[i] != i:
@@ -81,19 +81,63 @@ def brute_components(data, k, percent):
         for j in range(i):
             inter = len(sets[i] & sets[j])
             same_id = data[i][0] is not None and data[i][0] == data[j][0]
-            if same_id or sets[i] and sets[j] and 100 * inter >= percent * (len(sets[i]) + len(sets[j]) - inter):
+            link = sets[i] and sets[j] and 100 * inter >= percent * (len(sets[i]) + len(sets[j]) - inter)
+            if link:
+                n_links[i] += 1
+                n_links[j] += 1
+            if same_id or link:
                 root[find(i)] = find(j)
     least = {}
     for i, r in enumerate(data):
         if r[0] is not None:
             least[find(i)] = min(least.get(find(i), r[0]), r[0])
-    return sorted(((r[0], len(sets[i]), least.get(find(i))) for i, r in enumerate(data)), key=repr)
+    return sorted(((r[0], len(sets[i]), least.get(find(i)), n_links[i]) for i, r in enumerate(data)), key=repr)
+
+
+COLUMNS = ("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @pytest.mark.parametrize("k, percent, slab_bytes", [(4, 85, 8 << 20), (4, 85, 20_000), (5, 80, 8 << 20), (1, 50, 8 << 20)])
 def test_near_duplicates(docs, k, percent, slab_bytes):
-    got = by_row(jaccard.near_duplicates(docs, k, percent, slab_bytes), "doc_id", "n_shingles", "component_id")
-    assert got == brute_components(ROWS, k, percent)
+    got = jaccard.near_duplicates(docs, k, percent, slab_bytes, count_links=True)
+    assert by_row(got, *COLUMNS) == brute_components(ROWS, k, percent)
+
+
+def test_near_duplicates_without_ids_and_with_several_texts_of_an_id(spark):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    near = lambda w, i: " ".join([*w[:i], "new", *w[i + 1:]])
+    data = [(None, " ".join(a)), (None, " ".join(a)), (7, near(a, 3)), (9, near(b, 5)), (7, " ".join(b)), (None, near(b, 9)),
+            (None, "alone " + " ".join(f"c{i}" for i in range(30))), (3, near(a, 50)), (12, "d e f g h i j"), (12, "k l m n o p q")]
+    got = jaccard.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 2, 85, count_links=True)
+    assert by_row(got, *COLUMNS) == brute_components(data, 2, 85)
+
+
+@pytest.mark.parametrize("members, size", [(512, 2 << 20), (16, 2 << 20), (512, 3_000)])
+def test_all_links_of_a_group(spark, monkeypatch, members, size):
+    """Components in one block and in many, of sets of very different sizes."""
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", members)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", size)
+    rnd, data = random.Random(8), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(220):
+        w = base[: 40 + 4 * (i % 21)]
+        for _ in range(rnd.randint(0, 2)):
+            w[rnd.randrange(len(w))] = f"z{i % 90}"
+        data.append((i, " ".join(w)))
+    got = jaccard.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 1, 85, count_links=True)
+    assert by_row(got, *COLUMNS) == brute_components(data, 1, 85)
+
+
+def test_slabs_hold_like_amounts_of_text(spark):
+    data = [(i, "short") for i in range(2_000)] + [(10_000 + i, "x" * 40_000) for i in range(100)]
+    d = spark.createDataFrame(data, "doc_id long, text string")
+    base, n = slabs.deal(d, 400_000)
+    got = base.groupBy("slab").agg(F.sum(F.octet_length("text")).alias("b"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).orderBy("slab").collect()
+    assert max(r.b for r in got) <= 2 * 400_000 and n >= len(got) > 5
+    assert all(a.hi < b.lo for a, b in zip(got, got[1:], strict=False))
+    nulls = spark.createDataFrame([(None, f"text {i} " + "x" * 400) for i in range(2_000)] + [(i, "y" * 400) for i in range(1_000)], "doc_id long, text string")
+    dealt, _ = slabs.deal(nulls, 100_000, by_range=False)
+    assert max(r["s"] for r in dealt.groupBy("slab").agg(F.sum(F.octet_length("text")).alias("s")).collect()) <= 2 * 100_000
 
 
 def test_near_duplicates_of_many_variants(spark):
@@ -106,7 +150,7 @@ def test_near_duplicates_of_many_variants(spark):
             w[rnd.randrange(40)] = rnd.choice(["p", "q", f"z{i}"])
         data.append((i, " ".join(w)))
     d = spark.createDataFrame(data, "doc_id long, text string")
-    got = by_row(jaccard.near_duplicates(d, 2, 85), "doc_id", "n_shingles", "component_id")
+    got = by_row(jaccard.near_duplicates(d, 2, 85, count_links=True), *COLUMNS)
     assert got == brute_components(data, 2, 85)
 
 
