@@ -289,8 +289,9 @@ def block_links(h: np.ndarray, offs: np.ndarray, first: np.ndarray, same: bool,
     left = np.arange(len(n)) if same else np.flatnonzero(first)
     right = left if same else np.flatnonzero(~first)
     common = np.zeros((len(left), len(right)))
-    step = max(1, CELLS // len(n))
-    for begin in range(0, int(key[-1]) + 1 if len(key) else 0, step):
+    n_keys = int(key[-1]) + 1 if len(key) else 0
+    step = max(1, min(n_keys, CELLS // len(n)))
+    for begin in range(0, n_keys, step):
         a, b = np.searchsorted(key, [begin, begin + step])
         has = np.zeros((step, len(n)))
         has[key[a:b] - begin, row[a:b]] = 1
