@@ -35,8 +35,8 @@ WORD = r"\p{L}[\p{L}'-]{2,}"
 #: A disclosing term: P(entity | term), share of the entity's information (minus log2 of
 #: P(entity)) that it gives away, and different texts behind it, at least.
 POSTERIOR, SHARE, CONTEXTS = 0.5, 0.8, 3
-#: Texts are variants of one if half of their word pairs agree, as far as so many of the least hashes tell.
-SKETCH = 32
+#: Texts are variants if more than half of their word pairs agree, as far as so many least hashes tell.
+SKETCH = 64
 TERMS_BROADCAST_BYTES = 8 << 20
 _BLOCK = 256
 
@@ -146,7 +146,8 @@ def contexts(found: DataFrame) -> DataFrame:
     begin = F.greatest(F.col("s.start") - CONTEXT_CHARS, F.lit(0))
     left = F.substring("text", begin + 1, F.col("s.start") - begin)
     left = F.when(begin > 0, F.regexp_replace(left, r"^[^\x20\x09-\x0D]*+", "")).otherwise(left)
-    right = F.regexp_replace(F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT_CHARS)), r"[^\x20\x09-\x0D]*$", "")
+    right = F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT_CHARS))
+    right = F.when(F.col("s.end") + CONTEXT_CHARS < F.length("text"), F.regexp_replace(right, r"[^\x20\x09-\x0D]*+$", "")).otherwise(right)
     near = folded(F.concat_ws(" ", left, right))
     terms = F.array_distinct(F.regexp_extract_all(near, F.lit(WORD), F.lit(0)))
     return entities(found).select("entity", "md5", F.explode(terms).alias("term")).distinct()
@@ -164,31 +165,47 @@ def candidates(found: DataFrame) -> DataFrame:
 
 
 def sketch(text: Column) -> Column:
-    """The least ``SKETCH`` hashes of the text's pairs of neighbouring words."""
+    """For each of ``SKETCH`` hash functions the least hash of the text's pairs of neighbouring words."""
     words = F.split(folded(text), r"[\x20\x09-\x0D]+", -1)
-    return _let(words, lambda ws: F.slice(F.array_sort(F.array_distinct(
-        F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1))))), 1, SKETCH))
+    pairs = _let(words, lambda ws: F.array_distinct(F.transform(ws, lambda w, i: F.hash(w, F.get(ws, i + 1)))))
+    least = lambda hs, i: F.array_min(F.transform(hs, lambda h: F.hash(h, F.lit(i))))
+    return _let(pairs, lambda hs: F.array(*[least(hs, i) for i in range(SKETCH)]))
 
 
-def alike(a: Column, b: Column) -> Column:
-    """Half or more of the least hashes of both sketches are in each of them."""
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    return _let(least, lambda xs: 2 * F.size(F.array_intersect(F.array_intersect(xs, a), b)) >= F.size(xs))
+def apart(a: Column, b: Column) -> Column:
+    """The places where two sketches differ: about ``SKETCH`` times the share of
+    word pairs that only one of the texts has. Keeps the triangle inequality."""
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda d: d))
 
 
 def evidenced(pairs: DataFrame, found: DataFrame, small) -> DataFrame:
     """The (term, entity) of ``pairs`` that stand together in ``CONTEXTS`` texts
-    of which none is a variant of another. One text of each pair is taken at a
-    time and its variants leave; pairs that still have texts at the end stay."""
+    of which none is a variant of another.
+
+    The texts are taken farthest first: the one farthest from any text, then
+    each time the one whose nearest of those taken is farthest. The text that
+    the search sets out from is not among them, so a text that resembles all
+    others hides none of them. Texts that share no word pair are
+    always found, whatever other texts there are: the least distance of those
+    taken is at least half of the largest possible.
+    """
     held = land(contexts(found).join(small(pairs, 64), ["term", "entity"]), "pii-evidence")
     texts = found.select("text", F.md5("text").alias("md5")).join(held.select("md5").distinct(), "md5", "left_semi")
     texts = texts.select("md5", sketch(F.col("text")).alias("sketch")).dropDuplicates(["md5"])
     rest = land(held.join(texts, "md5").select("term", "entity", "md5", "sketch"), "pii-evidence")
-    for _ in range(CONTEXTS - 1):
-        one = rest.groupBy("term", "entity").agg(F.min(F.struct("md5", "sketch")).alias("one"))
-        one = land(one.select("term", "entity", F.col("one.sketch").alias("one")), "pii-evidence")
-        rest = rest.join(small(one, 64 + 8 * SKETCH), ["term", "entity"]).where(~alike(F.col("sketch"), F.col("one"))).drop("one")
-    return rest.select("term", "entity").distinct()
+    taken = rest.groupBy("term", "entity").agg(F.array(F.min_by("sketch", "md5")).alias("taken"))
+    for n in range(CONTEXTS + 1):
+        taken = land(taken, "pii-evidence")
+        if n == CONTEXTS:
+            break
+        nearest = F.array_min(F.transform("taken", lambda t: apart(F.col("sketch"), t)))
+        far = rest.join(small(taken, 64 + 4 * SKETCH * CONTEXTS), ["term", "entity"]).groupBy("term", "entity").agg(
+            F.max_by(F.struct("taken", "sketch"), F.struct(nearest, "md5")).alias("far"))
+        before = F.col("far.taken") if n else F.array().cast("array<array<int>>")
+        taken = far.select("term", "entity", F.concat(before, F.array("far.sketch")).alias("taken"))
+    least = F.array_min(F.flatten(F.transform("taken", lambda a, i: F.transform(
+        F.slice("taken", i + 2, CONTEXTS), lambda b: apart(a, b)))))
+    return taken.where(2 * least >= SKETCH).select("term", "entity")
 
 
 def words_in(texts: DataFrame) -> DataFrame:

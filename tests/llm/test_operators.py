@@ -1,6 +1,7 @@
 """Operators on awkward rows, against plain Python."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -9,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import public_tokenizers
+import regex
 from pyspark.sql import functions as F
 
 from celltally.llm import bpe, chat, idcoder, idfiles, jaccard, mixing, parsing, pii, repeats, resample, rules, slabs
@@ -401,6 +403,8 @@ def brute_spans(t):
     return ",".join(f"{k}:{m.start()}:{m.end()}" for k, p in PATTERNS.items() for m in re.finditer(p, t or "") if valid(k, m.group()))
 
 
+TERM_WORD = regex.compile(r"\p{L}[\p{L}'-]{2,}")
+
 PII = ["a@b.c%x@d.e", "é日本 x@y.zz 1.2.3.4.5.6.7.8 300.1.1.1 +1 (377) 555-0271 4952935900253052 4952-9359 0025 3052", "1 " * 2000, "a@b" + ".c" * 3000,
        "x" * 5000, "9" * 3000, "+1 2 3 4 5 6 7 8 9 ()--", "0000001.2.3.255", None, "", "1.2.3.4 " * 700]
 
@@ -508,6 +512,72 @@ def test_variants_hide_no_evidence(spark):
     assert all("[TERM] [EMAIL]" in clean[i] for i in (9, 90, *range(300, 340)))
 
 
+@pytest.mark.parametrize("hub", [None, min, max])
+def test_a_text_like_all_others_hides_no_evidence(spark, hub):
+    _, text = prose(8)
+    data = [text(60) for _ in range(300)]
+    common = f"{text(30)} Quellmann q@ex.org {text(28)}"
+    for i in (3, 30, 130):  # no variants of each other
+        data[i] = f"{common} {text(58)}"
+    if hub:  # a variant of all three, its md5 the least or the greatest
+        data[7] = hub((f"{common} {w}" for w in text(50).split()), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    clean = sanitised(spark, data)
+    assert all("[TERM] [EMAIL]" in clean[i] for i in (3, 30, 130, *([7] if hub else [])))
+
+
+def brute_terms(texts):
+    """Disclosing terms by the rule's own words, over all triples of texts."""
+    distinct = sorted({t or "" for t in texts})
+    near, holds = {}, {}
+    for t in distinct:
+        for w in set(TERM_WORD.findall(t.lower())):
+            holds.setdefault(w, set()).add(t)
+        for kind, p in PATTERNS.items():
+            for m in re.finditer(p, t):
+                if valid(kind, m.group()):
+                    a, b = max(m.start() - 48, 0), m.end() + 48
+                    left = re.sub(r"^[^\x20\x09-\x0D]*", "", t[a:m.start()]) if a else t[:m.start()]
+                    right = re.sub(r"[^\x20\x09-\x0D]*$", "", t[m.end():b]) if b < len(t) else t[m.end():]
+                    raw = m.group().lower()
+                    entity = kind, re.sub("[^0-9]", "", raw) if kind in ("card", "phone") else raw
+                    holds.setdefault(entity, set()).add(t)
+                    for w in TERM_WORD.findall(f"{left} {right}".lower()):
+                        near.setdefault((w, entity), set()).add(t)
+    pairs = {t: {*zip(w := t.lower().split(), [*w[1:], None])} for t in distinct}
+    other = lambda a, b: 2 * len(pairs[a] & pairs[b]) <= len(pairs[a] | pairs[b])
+    out = set()
+    for (w, entity), both in near.items():
+        post, own = len(both) / len(holds[w]), math.log2(len(distinct) / len(holds[entity]))
+        if len(both) >= 3 and post >= 0.5 and own > 0 and own + math.log2(post) >= 0.8 * own and any(
+                other(a, b) and other(a, c) and other(b, c) for a, b, c in itertools.combinations(sorted(both), 3)):
+            out.add(w)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_terms_against_brute_force(spark, seed):
+    rnd, text = prose(seed + 20)
+    data = []
+    for p in range(24):  # people with a name, an identifier, and differing habits
+        who = f"p{p}@ex.org" if p % 3 else f"+49 30 55501{p:02d}"
+        by = [f"{text(12)} Name{chr(97 + p)}son {who} {text(rnd.randint(0, 12))}" for _ in range(rnd.randint(1, 5))]
+        elsewhere = [f"{text(20)} Name{chr(97 + p)}son {text(9)}" for _ in range(rnd.randint(0, 6))]
+        again = [t + f" {text(1)}" for t in by[:1] for _ in range(rnd.randint(0, 4))]  # variants
+        data += by + elsewhere + again + by[:rnd.randint(0, 1)]
+    data += [None, "", *[text(20) for _ in range(60)]]
+    rnd.shuffle(data)
+    terms = brute_terms(data)
+    assert 3 <= len(terms) < 24
+    want = []
+    for i, t in enumerate(data):
+        base = [tuple(map(int, s.split(":")[1:])) for s in brute_spans(t).split(",") if s]
+        found = [(m.start(), m.end()) for m in TERM_WORD.finditer((t or "").lower()) if m.group() in terms]
+        found = [f"term:{a}:{b}" for a, b in found if not any(x < b and a < y for x, y in base)]
+        want.append((i, ",".join([*filter(None, [brute_spans(t)]), *found])))
+    d = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    assert by_row(pii.report(d), "doc_id", "spans") == sorted(want, key=repr)
+
+
 # ------------------------------------------------------------------ repeats
 
 def brute_repeats(data, width):
