@@ -52,6 +52,24 @@ def widen(gtf: DataFrame, keys: list[str]) -> DataFrame:
     return df.select("*", *[attribute_from_text("attribute", k).alias(k) for k in keys])
 
 
+def widen_all(gtf: DataFrame) -> DataFrame:
+    """One column per attribute key that any row carries (by code point), ``-``
+    where a row lacks it, in place of the ``attribute`` text.
+
+    Two passes: the first gathers the distinct keys, one per column of the
+    result, which is all that reaches the driver; the second parses each text
+    once. A key named like a GTF column replaces it, a key ``attribute`` gives
+    no column. Keys that differ in case alone need ``spark.sql.caseSensitive``
+    to be told apart by name. A table without attributes only loses the text.
+    """
+    keys = sorted(r.key for r in attribute_keys(gtf).collect() if r.key != "attribute")
+    base = [c for c in gtf.columns if c not in ("attribute", "attrs", *keys)]
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    attrs = F.col("attrs") if "attrs" in gtf.columns else parse_attributes("attribute")
+    parsed = gtf.select(F.struct(*[quoted(c).alias(c) for c in base]).alias("row"), attrs.alias("attrs"))
+    return parsed.select(*[F.col("row").getField(c).alias(c) for c in base], *[attribute_value("attrs", k).alias(k) for k in keys])
+
+
 def gene_attributes(gtf: DataFrame) -> DataFrame:
     """GTF rows with gene_id, gene_name (``-`` -> ``.``), gene_biotype
     (camel-cased when it holds ``_``) and gene_fullname."""

@@ -252,6 +252,11 @@ def gtf_attributes(spark, d):
     return w.select("seqname", "feature", "start", "end", "strand", "gene_id", "gene_name", "gene_biotype", "tag")
 
 
+@query
+def gtf_wide(spark, d):
+    return ann.widen_all(gtf_rows(spark, d))
+
+
 @query
 def gtf_keys(spark, d):
     return ann.attribute_keys(gtf_rows(spark, d))
