@@ -98,8 +98,9 @@ class _FastqReader(DataSourceReader):
     def partitions(self):
         return [_Part(it) for it in self.items]
 
-    def read(self, partition: _Part):
-        yield from records(partition.task)
+    def read(self, partition: _Part | None):
+        if partition is not None:  # without tasks Spark asks for one partition of nothing
+            yield from records(partition.task)
 
 
 class FastqSource(DataSource):
@@ -137,10 +138,7 @@ def register(spark: SparkSession) -> None:
     workers need no installed copy of the package."""
     import sys
 
-    from pyspark import cloudpickle
-
-    for module in (sys.modules[__name__], members):
-        cloudpickle.register_pickle_by_value(module)
+    members.pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastqSource)
     spark.dataSource.register(FastqPairSource)
 

@@ -26,6 +26,16 @@ MAGIC = b"\x1f\x8b\x08"
 MEMBERS = "path string, start long, stop long, n_lines long, filled boolean, open boolean"
 
 
+def pickle_by_value(*modules) -> None:
+    """Have ``modules``, this one and those it uses pickled by value."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    for module in (*modules, *(sys.modules[m] for m in (__name__, land.__module__, file_system.__module__))):
+        cloudpickle.register_pickle_by_value(module)
+
+
 def open_raw(path: str, start: int = 0):
     """A seekable file, given as path or URI, at byte ``start``."""
     from pyarrow import fs

@@ -7,7 +7,6 @@ from __future__ import annotations
 import re
 import sys
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -112,8 +111,7 @@ def read_contigs(spark: SparkSession, path: str, sample: str | None = None) -> D
     """Contig names of the ``@SQ`` header lines of SAM files (plain or gzip; a
     file, a folder or a pattern), with their ``place`` in the header. Only the
     heads of the files are read, however long they are."""
-    cloudpickle.register_pickle_by_value(members)
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    members.pickle_by_value(sys.modules[__name__])
     fs, jpath = file_system(spark, path)
     found = [f for top in (fs.globStatus(jpath) or []) for f in (fs.listStatus(top.getPath()) if top.isDirectory() else [top])]
     files = sorted(str(f.getPath().toString()) for f in found if f.isFile() and str(f.getPath().getName())[0] not in "._")

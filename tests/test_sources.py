@@ -53,6 +53,15 @@ def test_fastq_pairs_zip_and_tokens(spark, tmp):
     assert single.count() == 5
 
 
+def test_no_fastq_files_are_no_reads(spark, tmp):
+    assert fq.read_fastq(spark, []).collect() == [] == fq.read_fastq_pairs(spark, []).collect()
+    none = spark.createDataFrame([], "sample string, name string, seq string, plus string, qual string")
+    sinks.write_fastq(none, os.path.join(tmp, "none"))
+    files = [f for folder in fq.listed(spark, os.path.join(tmp, "none")) for f in fq.listed(spark, folder) if "/part-" in f]
+    assert fq.read_fastq(spark, files).columns == ["sample", "file", "rec_no", "name", "seq", "plus", "qual"]
+    assert fq.read_fastq(spark, files).collect() == []
+
+
 def test_fastq_chunk_round_trip(spark, tmp):
     recs = spark.createDataFrame([(i, f"@n{i}", "ACGT", "+", "IIII") for i in range(25)],
                                  "rec_no long, name string, seq string, plus string, qual string")
