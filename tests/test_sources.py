@@ -179,3 +179,27 @@ def test_overlap_table_round_trip(spark, tmp):
         part.write.option("sep", "\t").csv(os.path.join(tmp, label))
     back = txt.read_overlaps(spark, os.path.join(tmp, "intron"), os.path.join(tmp, "exon"), "007")
     assert sorted(tuple(r) for r in back.select(*df.columns).collect()) == rows
+
+
+def test_sam_fixture_is_many_files(spark):
+    """No file of the fixture holds all alignments, and the header is in order in the first one."""
+    from celltally.queries import sam_file
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = sam_file(spark, "/root/testdata/sf0.01")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("f"), F.col("value").startswith("@").alias("head"))
+    heads = [(r.f, r.value.split("\t")[0]) for r in lines.where("head").collect()]
+    assert len({f for f, _ in heads}) == 1 and [h for _, h in heads] == ["@HD", *["@SQ"] * 5, "@PG"]
+    per_file = lines.where("NOT head").groupBy("f").count().collect()
+    assert len(per_file) > 1 and min(r.f for r in per_file) > heads[0][0]
+    assert max(r["count"] for r in per_file) < 0.9 * sum(r["count"] for r in per_file)
+
+
+def test_fixture_rows_move_only_to_be_numbered(spark, sf_small):
+    from celltally import fixtures as fx
+
+    names = fx.fx_aligned(spark, sf_small).select("rname", "pos")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in names and "Window [row_number" not in names
