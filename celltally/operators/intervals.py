@@ -79,6 +79,14 @@ def overlap_join(
     ``broadcast_max_bytes``; beyond, both sides are dealt by ranges of the genome
     (``sweep.sweep_join``). With None the planner chooses for the binned form.
     """
+    f = land(binned_features(features, bin_size), "features")
+    if broadcast_max_bytes and table_bytes(f) > broadcast_max_bytes:
+        return sweep_join(blocks, features)
+    return binned_join(blocks, f, bin_size, bool(broadcast_max_bytes))
+
+
+def binned_features(features: DataFrame, bin_size: int = DEFAULT_BIN) -> DataFrame:
+    """A feature's copies, one per bin it touches in its level."""
     has_label = "label" in features.columns
     widths = [bin_size * BIN_STEP ** i for i in range(BIN_LEVELS)]
     length = F.col("f_end") - F.col("f_start")
@@ -95,12 +103,15 @@ def overlap_join(
         (F.col("label") if has_label else F.lit(None).cast("string")).alias("label"),
     ).withColumn("f_level", level).withColumn("f_width", width)
     last = F.greatest(F.col("f_end"), F.col("f_start") + 1) - 1
-    f = land(f.withColumn("f_bin", F.explode(F.sequence(
-        F.floor(F.col("f_start") / F.col("f_width")).cast("long"), F.floor(last / F.col("f_width")).cast("long")))), "features")
-    if broadcast_max_bytes and table_bytes(f) > broadcast_max_bytes:
-        return sweep_join(blocks, features)
+    return f.withColumn("f_bin", F.explode(F.sequence(
+        F.floor(F.col("f_start") / F.col("f_width")).cast("long"), F.floor(last / F.col("f_width")).cast("long"))))
+
+
+def binned_join(blocks: DataFrame, f: DataFrame, bin_size: int = DEFAULT_BIN, broadcast: bool = True) -> DataFrame:
+    """:func:`overlap_join` with :func:`binned_features`."""
+    widths = [bin_size * BIN_STEP ** i for i in range(BIN_LEVELS)]
     present = sorted(r.f_level for r in f.select("f_level").distinct().collect())  # BIN_LEVELS numbers at most
-    if broadcast_max_bytes:
+    if broadcast:
         f = F.broadcast(f)
 
     def at(level):
@@ -168,8 +179,8 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = ANTI_BIN,
     first, second = labels
     iv = intervals.select(*INTERVAL_KEYS)
     binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size)))
-    # both roles are generated before the window's exchange on
-    # (sample, chrom, bin), so that single exchange serves the window
+    # the window's only exchange, before each interval becomes two rows
+    binned = binned.repartition("sample", "chrom", "bin")
     roles = binned.select(
         *INTERVAL_KEYS, "bin",
         F.inline(F.array(

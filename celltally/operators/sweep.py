@@ -1,12 +1,17 @@
 """Overlap join of two large sides by ranges of the genome.
 
-Blocks are counted in bins of their start; consecutive bins make up slots of
+Blocks are counted in the bins they touch; consecutive bins make up slots of
 about ``rows_per_slot`` blocks, and a bin with more than that is several slots,
 its blocks dealt by read. A feature is copied to every slot with blocks that
 may reach it, over the borders of ranges too. A slot is one task: it holds its
 features sorted by start, in classes of length, and its blocks stream past them.
 So both sides cross the network once, no locus is one task's work, and a task
 holds the features of its range only.
+
+Rows without repeats, or without blocked intervals, need no further exchange of
+rows: a block then goes to every bin it touches and gives there the rows that
+start in the bin. Equal rows have one read and one start, so they meet in one
+task, and so do they and the blocked interval of that start.
 """
 
 from __future__ import annotations
@@ -15,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from celltally.operators.common import bins as touched_bins
 from celltally.operators.common import broadcast_if_small, land
 
 #: Blocks of a slot, about.
-ROWS_PER_SLOT = 2_000_000
+ROWS_PER_SLOT = 500_000
 #: Bins of the longest contig, at most; least width of a bin.
 BINS, LEAST_BIN = 65_536, 256
 #: Candidate pairs verified at a time in a task.
@@ -33,7 +39,8 @@ def slots_of_bins(blocks: DataFrame, width: int, rows_per_slot: int) -> DataFram
     """(chrom, strand, bin, slot, splits): the first slot of each bin with
     blocks and over how many its blocks are dealt. The tables' rows are bins,
     at most ``BINS`` a contig and strand, not blocks."""
-    counted = land(blocks.groupBy("chrom", "strand", F.floor(F.col("start") / width).alias("bin")).agg(F.count("*").alias("n")), "sweep-bins")
+    touched = blocks.select("chrom", "strand", F.explode(touched_bins("start", "end", width)).alias("bin"))
+    counted = land(touched.groupBy("chrom", "strand", "bin").agg(F.count("*").alias("n")), "sweep-bins")
     order = Window.orderBy("chrom", "strand", "bin")
     hot = F.col("n") > rows_per_slot
     upto = lambda c: F.coalesce(F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -45,30 +52,72 @@ def slots_of_bins(blocks: DataFrame, width: int, rows_per_slot: int) -> DataFram
     return opens.select("chrom", "strand", "bin", (last - F.col("splits")).cast("int").alias("slot"), F.col("splits").cast("int").alias("splits"))
 
 
-def dealt(blocks: DataFrame, features: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
-    """Blocks (kind 1) and copies of features (kind 0), one slot to a partition,
-    features of a contig and strand before its blocks."""
-    far, longest = blocks.agg(F.max("start"), F.max(F.col("end") - F.col("start"))).first()
-    width = max(LEAST_BIN, -(-((far or 0) + 1) // BINS))
-    bins = land(slots_of_bins(blocks, width, rows_per_slot), "sweep-slots")
-    n_slots = bins.agg(F.max(F.col("slot") + F.col("splits"))).first()[0] or 1
-    lookup = broadcast_if_small(bins)
-    on = ["chrom", "strand", "bin"]
-    text = F.lit(None).cast("string")
-    left = blocks.withColumn("bin", F.floor(F.col("start") / width)).join(lookup, on).select(
-        (F.col("slot") + F.pmod(F.xxhash64("qname", "start"), "splits")).cast("int").alias("slot"), F.lit(1).alias("kind"),
-        "sample", "chrom", "start", "end", "qname", "strand", text.alias("label"), text.alias("gene_fullname"))
-    label = F.col("label") if "label" in features.columns else text
-    right = features.select(F.col("chr").alias("chrom"), "start", "end", "strand", label.alias("label"), "gene_fullname")
-    right = right.withColumn("copy", F.monotonically_increasing_id())
-    first, last = F.floor((F.col("start") - (longest or 0)) / width), F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / width)
-    right = right.withColumn("bin", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.greatest(last, F.lit(0))))).join(lookup, on)
-    # a feature meets a slot once, however many of the slot's bins it touches
-    right = right.drop("bin").distinct().withColumn("slot", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("splits") - 1)))
-    right = right.select(F.col("slot").cast("int").alias("slot"), F.lit(0).alias("kind"), text.alias("sample"), "chrom", "start", "end", text.alias("qname"),
-                         "strand", "label", "gene_fullname")
-    both = left.unionByName(right)
-    return both.repartitionById(n_slots, "slot").sortWithinPartitions("chrom", "strand", "kind", "start")
+class Sweep:
+    """The join of ``blocks`` and ``features`` (see ``intervals.overlap_join``).
+
+    Slots are made once, from the blocks' places, which are written for it.
+    Rows with a null contig, strand or place overlap nothing.
+    """
+
+    def __init__(self, blocks: DataFrame, features: DataFrame, rows_per_slot: int | None = None):
+        known = lambda df, c: df.where(f"{c} IS NOT NULL AND strand IS NOT NULL AND start IS NOT NULL AND `end` IS NOT NULL")
+        self.blocks, self.features = known(blocks, "chrom"), known(features, "chr")
+        self.places = land(self.blocks.select("sample", "chrom", "strand", "start", "end"), "sweep-places")
+        far, longest = self.places.agg(F.max("start"), F.max(F.col("end") - F.col("start"))).first()
+        self.longest = longest or 0
+        self.width = max(LEAST_BIN, -(-((far or 0) + 1) // BINS))
+        slots = land(slots_of_bins(self.places, self.width, rows_per_slot or ROWS_PER_SLOT), "sweep-slots")
+        self.n_slots = slots.agg(F.max(F.col("slot") + F.col("splits"))).first()[0] or 1
+        self.lookup = broadcast_if_small(slots)
+
+    def _row(self, df: DataFrame, kind: int, slot) -> DataFrame:
+        """A row of a slot; columns that ``df`` lacks are null."""
+        cols = [(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in
+                (x.split() for x in f"{RESULT}, bin long".split(", "))]
+        return df.select(slot.cast("int").alias("slot"), F.lit(kind).alias("kind"), *cols)
+
+    def _everywhere(self, df: DataFrame, kind: int) -> DataFrame:
+        """``df`` (with slot and splits) in all slots of its bins."""
+        return self._row(df.withColumn("slot", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("splits") - 1))).drop("bin"), kind, F.col("slot"))
+
+    def dealt(self, blocks: DataFrame | None = None, touched: bool = False, blocked: DataFrame | None = None) -> DataFrame:
+        """Blocks (kind 1), copies of features (kind 0) and of blocked intervals
+        (kind -1), one slot to a partition, a contig and strand's blocks last.
+        With ``touched`` a block is in the slots of all bins it touches, else of
+        the one it starts in."""
+        on = ["chrom", "strand", "bin"]
+        blocks = self.blocks if blocks is None else blocks
+        bin_ = F.explode(touched_bins("start", "end", self.width)) if touched else F.floor(F.col("start") / self.width)
+        read = F.xxhash64("qname") if touched else F.xxhash64("qname", "start")
+        both = self._row(blocks.withColumn("bin", bin_).join(self.lookup, on), 1, F.col("slot") + F.pmod(read, "splits"))
+        right = self.features.withColumnRenamed("chr", "chrom").withColumn("copy", F.monotonically_increasing_id())
+        first = F.floor((F.col("start") - (0 if touched else self.longest)) / self.width)
+        last = F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / self.width)
+        right = right.withColumn("bin", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.greatest(last, F.lit(0))))).join(self.lookup, on)
+        # a feature meets a slot once, however many of the slot's bins it touches
+        both = both.unionByName(self._everywhere(right.drop("bin").distinct(), 0))
+        if blocked is not None:
+            at = blocked.withColumn("bin", F.floor(F.col("start") / self.width))
+            both = both.unionByName(self._everywhere(at.join(self.lookup, ["chrom", "bin"]), -1))
+        return both.repartitionById(self.n_slots, "slot").sortWithinPartitions("chrom", "strand", "kind", "start")
+
+    def rows(self, distinct: bool = False, blocked: DataFrame | None = None) -> DataFrame:
+        """Overlap rows; ``distinct``: equal ones once; ``blocked``: without those
+        whose (sample, label, chrom, start, end) is among its rows."""
+        touched = distinct or blocked is not None
+        return _swept(self.dealt(touched=touched, blocked=blocked), distinct, self.width if touched else None)
+
+    def intervals(self) -> DataFrame:
+        """(sample, label, chrom, start, end) of all overlap rows, from the places
+        alone; most repeats are left out."""
+        places = self.places.withColumn("qname", F.lit(None).cast("string"))
+        nameless = Sweep.__new__(Sweep)
+        nameless.__dict__.update(self.__dict__, features=self.features.drop("gene_fullname"))
+        return _swept(nameless.dealt(places), True, None).select("sample", "label", "chrom", "start", "end")
+
+
+def dealt(blocks: DataFrame, features: DataFrame, rows_per_slot: int | None = None) -> DataFrame:
+    return Sweep(blocks, features, rows_per_slot).dealt()
 
 
 def _index(table):
@@ -106,12 +155,25 @@ def _met(index, start, end):
         begin = stop
 
 
-def _sweep(batches):
+def _unblocked(rows, blocked, starts):
+    """``rows`` whose interval is not among the blocked ones, sorted by start."""
+    import numpy as np
+
+    at = rows.column("start").to_numpy()
+    lo, hi = np.searchsorted(starts, at.min(), "left"), np.searchsorted(starts, at.max(), "right")
+    keys = ["sample", "label", "start", "end"]
+    return rows.join(blocked.slice(lo, hi - lo), keys, join_type="left anti", use_threads=False) if hi > lo else rows
+
+
+def _sweep(batches, distinct=False, width=None):
+    """Overlap rows of a slot. With ``width`` a block gives the rows that start
+    in its bin. With ``distinct``, rows are held until no later block can repeat them."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    place, held, index = None, [], None
+    names = [c.split()[0] for c in RESULT.split(", ")]
+    place, held, index, blocked, starts, kept = None, [], None, [], None, None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         keys = list(zip(*(table.column(c).to_pylist() for c in ("chrom", "strand", "kind")), strict=True))
@@ -122,32 +184,53 @@ def _sweep(batches):
             chrom, strand, kind = keys[a]
             part = table.slice(a, b - a)
             if (chrom, strand) != place:
-                place, held, index = (chrom, strand), [], None
-            if kind == 0:
-                held.append(part)
+                if kept is not None:
+                    yield from kept.combine_chunks().to_batches()
+                place, held, index, blocked, starts, kept = (chrom, strand), [], None, [], None, None
+            if kind < 1:
+                (held if kind == 0 else blocked).append(part)
                 continue
             if not held:
                 continue
             if index is None:
                 held = [pa.concat_tables(held).combine_chunks()]
                 index = _index(held[0])
+                if blocked:
+                    blocked = pa.concat_tables(blocked).select(["sample", "label", "start", "end"]).combine_chunks()
+                    starts = blocked.column("start").to_numpy()
             part = part.combine_chunks()
-            for block, feature in _met(index, part.column("start").to_numpy(), part.column("end").to_numpy()):
-                if len(block):
-                    x, f = part.take(pa.array(block)), held[0].take(pa.array(feature.astype(np.int64)))
-                    out = {"sample": x.column("sample"), "label": f.column("label"), "chrom": x.column("chrom"),
-                           "start": pc.max_element_wise(x.column("start"), f.column("start")), "end": pc.min_element_wise(x.column("end"), f.column("end")),
-                           "qname": x.column("qname"), "strand": x.column("strand"), "gene_fullname": f.column("gene_fullname")}
-                    yield from pa.table(out).combine_chunks().to_batches()
-
-
-def sweep_join(blocks: DataFrame, features: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
-    """Same rows as ``intervals.overlap_join``. Rows with a null contig, strand
-    or place overlap nothing; blocks are read twice, once to be counted."""
+            start = part.column("start").to_numpy()
+            for block, feature in _met(index, start, part.column("end").to_numpy()):
+                if not len(block):
+                    continue
+                x, f = part.take(pa.array(block)), held[0].take(pa.array(feature.astype(np.int64)))
+                out = {"sample": x.column("sample"), "label": f.column("label"), "chrom": x.column("chrom"),
+                       "start": pc.max_element_wise(x.column("start"), f.column("start")), "end": pc.min_element_wise(x.column("end"), f.column("end")),
+                       "qname": x.column("qname"), "strand": x.column("strand"), "gene_fullname": f.column("gene_fullname")}
+                out = pa.table(out)
+                if width:
+                    out = out.filter(pa.array(out.column("start").to_numpy() // width == x.column("bin").to_numpy()))
+                if starts is not None and len(out):
+                    out = _unblocked(out, blocked, starts)
+                if distinct:
+                    out = pa.concat_tables([out.select(names), *([] if kept is None else [kept])]).group_by(names, use_threads=False).aggregate([]).select(names)
+                    done = pc.less(out.column("start"), int(start[block.max()]))
+                    out, kept = out.filter(done), out.filter(pc.invert(done))
+                yield from out.select(names).combine_chunks().to_batches()
+    if kept is not None:
+        yield from kept.combine_chunks().to_batches()
+
+
+def _swept(slots: DataFrame, distinct: bool, width: int | None) -> DataFrame:
     import sys
+    from functools import partial
 
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    places = lambda df, c: df.where(f"{c} IS NOT NULL AND strand IS NOT NULL AND start IS NOT NULL AND `end` IS NOT NULL")
-    return dealt(places(blocks, "chrom"), places(features, "chr"), rows_per_slot).mapInArrow(_sweep, RESULT)
+    return slots.mapInArrow(partial(_sweep, distinct=distinct, width=width), RESULT)
+
+
+def sweep_join(blocks: DataFrame, features: DataFrame, rows_per_slot: int | None = None) -> DataFrame:
+    """Same rows as ``intervals.overlap_join``; blocks are read twice, once for their places."""
+    return Sweep(blocks, features, rows_per_slot).rows()

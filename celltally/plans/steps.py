@@ -19,8 +19,9 @@ from celltally.operators import annotation as ann
 from celltally.operators import barcodes as bc
 from celltally.operators import counts as cnt
 from celltally.operators import intervals as iv
-from celltally.operators.common import DEFAULT_BROADCAST_BYTES, land
+from celltally.operators.common import DEFAULT_BROADCAST_BYTES, land, table_bytes
 from celltally.operators.nearest import observed_dictionary
+from celltally.operators.sweep import Sweep
 from celltally.plans.layout import ROWS_PER_BUCKET, IntervalTable
 
 
@@ -107,6 +108,39 @@ class Counted:
         return cnt.gene_cell_counts(self.molecules, self._umi_length)
 
 
+class SweptCounted(Counted):
+    """The same where both sides of the overlap join are large. Repeats and
+    blocked intervals are left out where the rows are made (``sweep.Sweep``):
+    the verdict comes first, from the blocks' places alone, and rows with read
+    names are exchanged once, as blocks."""
+
+    def __init__(self, blocks: DataFrame, unique: DataFrame, features: DataFrame, umi_length: int, anti_bin_size: int, dedup: bool):
+        self.blocks = blocks
+        self._unique, self._features = unique, features
+        self._umi_length, self._bin, self._dedup = umi_length, anti_bin_size, dedup
+
+    @cached_property
+    def _sweep(self) -> Sweep:
+        return Sweep(self._unique, self._features)
+
+    @cached_property
+    def _raw(self) -> DataFrame:
+        return self._sweep.rows()
+
+    @cached_property
+    def overlaps(self) -> DataFrame:
+        return self._sweep.rows(distinct=self._dedup)
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        blocked = land(iv.blocked_intervals(self._sweep.intervals(), self._bin).distinct(), "blocked")
+        return self._sweep.rows(distinct=self._dedup, blocked=blocked)
+
+    @cached_property
+    def molecules(self) -> DataFrame:
+        return cnt.molecules(self.clean)
+
+
 def count(alignments: DataFrame, exons: DataFrame, introns: DataFrame, contigs: DataFrame | None = None,
           umi_length: int = cnt.DEFAULT_UMI_LENGTH, bin_size: int = iv.DEFAULT_BIN,
           anti_bin_size: int = iv.ANTI_BIN, dedup: bool = True,
@@ -120,6 +154,9 @@ def count(alignments: DataFrame, exons: DataFrame, introns: DataFrame, contigs:
         alignments = iv.contig_filter(alignments, contigs, broadcast_max_bytes, column="rname")
     blocks = iv.align_blocks(alignments)
     unique = blocks.filter(F.col("mapq") == iv.UNIQUE_MAPQ)
-    features = iv.label_features(exons=exons, introns=introns)
-    raw = iv.overlap_join(unique, features, bin_size, broadcast_max_bytes)
+    features = land(iv.label_features(exons=exons, introns=introns), "features")
+    binned = iv.binned_features(features, bin_size)
+    if broadcast_max_bytes and table_bytes(binned) > broadcast_max_bytes:
+        return SweptCounted(blocks, unique, features, umi_length, anti_bin_size, dedup)
+    raw = iv.binned_join(unique, binned, bin_size, bool(broadcast_max_bytes))
     return Counted(blocks, raw, umi_length, anti_bin_size, dedup)

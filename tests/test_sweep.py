@@ -72,3 +72,37 @@ def test_empty_sides(spark):
     rnd = random.Random(4)
     assert sweep.sweep_join(none_b, spark.createDataFrame(features(rnd), FEATURES)).count() == 0
     assert sweep.sweep_join(spark.createDataFrame(blocks(rnd), BLOCKS), none_f).count() == 0
+
+
+def test_repeats_and_blocked_rows_are_left_out_in_slots(spark):
+    """Reads with several blocks over one feature give equal rows from blocks of different bins."""
+    rnd = random.Random(5)
+    b = [r for r in blocks(rnd) if r[2] is not None] * 2
+    b += [(s, c, start + d, end + d + 300, q, x) for s, c, start, end, q, x in b[:900] if c and end is not None for d in (1, 150, 400)]
+    b, f = spark.createDataFrame(b, BLOCKS).repartition(4), spark.createDataFrame(features(rnd), FEATURES).repartition(3)
+    raw = theta.overlap_join(b, f)
+    want = iv.clean_overlaps(raw, 1_000)
+    assert want["clean"].count() < want["overlaps"].count() < 0.9 * raw.count()
+    for rows_per_slot in (150, 1_000_000):
+        s = sweep.Sweep(b, f, rows_per_slot)
+        assert rows(s.rows(distinct=True)) == rows(want["overlaps"])
+        keys = iv.INTERVAL_KEYS
+        assert sorted({tuple(r) for r in s.intervals().collect()}, key=repr) == sorted({tuple(r) for r in raw.select(*keys).collect()}, key=repr)
+        blocked = iv.blocked_intervals(s.intervals(), 1_000).distinct()
+        assert rows(s.rows(distinct=True, blocked=blocked)) == rows(want["clean"])
+        assert rows(s.rows(blocked=blocked)) == rows(iv.drop_blocked(raw, blocked))
+
+
+def test_counts_of_two_large_sides(spark, sf_small):
+    """Above the broadcast limit the results are those below it, and rows with read names are exchanged once."""
+    from celltally import fixtures as fx
+    from celltally import queries as q
+    from celltally.plans import steps
+
+    a, aligned = q.annotation(spark, sf_small), fx.fx_aligned(spark, sf_small, "two")
+    small, large = (steps.count(aligned, a.exons, a.introns, broadcast_max_bytes=n) for n in (64 << 20, 1))
+    assert rows(large.overlaps) == rows(small.overlaps) and rows(large.clean) == rows(small.clean)
+    as_rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert as_rows(large.molecules) == as_rows(small.molecules) and as_rows(large.counts) == as_rows(small.counts)
+    plan = large.clean._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [sample" not in plan and "LeftAnti" not in plan
