@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from celltally.operators.common import land
+
 FASTQ_CHUNK = 1_000_000  # records per chunk folder of a written FASTQ set
 
 
@@ -93,7 +95,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def write_gene_counts(gene_rows: DataFrame, path: str, labels: tuple[str, ...] = ("intron", "exon")) -> None:
     """Per-gene row counts -> ``label=<label>`` folders of TSV (sample, gene, n),
     sorted over all files of a folder by sample, then largest first. One write
-    per label: a partitioned write would sort again by its folders only."""
+    per label: a partitioned write would sort again by its folders only. The
+    counts, a row per gene, are written first, not made again for each label."""
+    gene_rows = land(gene_rows, "gene-rows")
     for label in labels:
         (
             gene_rows.where(F.col("label") == label).select("sample", "gene", "n")

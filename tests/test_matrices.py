@@ -42,3 +42,18 @@ def test_gene_counts_are_sorted_in_files(spark, tmp_path):
         folder = tmp_path / "g" / f"label={label}"
         n = [int(line.split("\t")[2]) for f in sorted(folder.glob("part-*")) for line in f.read_text().splitlines()]
         assert len(n) == 10_000 and n == sorted(n, reverse=True)
+
+
+def test_gene_counts_are_made_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(2_000).select(F.lit("S").alias("sample"), F.when(F.col("id") % 2 == 0, "exon").otherwise("intron").alias("label"), F.concat(F.lit("g"), "id").alias("gene"), F.col("id").alias("n"))
+    sinks.write_gene_counts(rows.mapInArrow(count, rows.schema), str(tmp_path / "g"))
+    assert made.value == 2_000 == spark.read.text(str(tmp_path / "g")).count()
