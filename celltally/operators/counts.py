@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from celltally.functions.barcodes import parse_name
 from celltally.functions.counting import gene_key, umi_to_transcripts
-from celltally.operators.common import land
+from celltally.operators.common import broadcast_if_small, land
 
 DEFAULT_UMI_LENGTH = 6
 MEASURES = {
@@ -137,25 +137,37 @@ def matrix_lines(counts: DataFrame, measures: list[str] | None = None) -> DataFr
     samples in one grouped pass; the header line has a null gene.
 
     A line holds the gene and, tab-separated, one value per cell of the
-    matrix, in string order of the cells. Entries sit in order of their cell's
-    number, and the zeros between two of them are filled in by repetition, so
-    any number of cells works and the work follows the entries.
+    matrix, in string order of the cells. The cells get their numbers from a
+    small table; a gene's entries, all measures side by side, are exchanged
+    once and sit in order of their cell's number. The zeros between two of them
+    are filled in by repetition, so any number of cells works and the work
+    follows the entries.
     """
     names = measures or [m for fam in MEASURES.values() for m in fam]
-    split_reads = ("reads_unspliced", "reads_spliced")
-    entry = F.array(*[
-        F.struct(F.lit(m).alias("measure"), F.col(m).cast("string").alias("value"),
-                 ((F.col(m) > 0) if m in split_reads else F.lit(True)).alias("on_axis")) for m in names])
-    cells = counts.select("sample", "cell", "gene", F.inline(entry)).where("on_axis").drop("on_axis")
-    place = F.row_number().over(Window.partitionBy("sample", "measure").orderBy("cell")) - 1
-    axis = cells.select("sample", "measure", "cell").distinct().withColumn("at", place)
-    width = axis.groupBy("sample", "measure").agg(F.count(F.lit(1)).alias("n_cells"))
-    header = axis.groupBy("sample", "measure").agg(F.array_sort(F.collect_list("cell")).alias("c")).select(
+    own = [m for m in ("reads_unspliced", "reads_spliced") if m in names]  # matrices with their own axes
+    counts = land(counts.select("sample", "cell", "gene", *names), "matrix-counts")
+    on = counts.where("cell IS NOT NULL").groupBy("sample", "cell").agg(F.count(F.lit(1)).alias("n"), *[F.max((F.col(m) > 0).cast("int")).alias(f"on_{m}") for m in own])
+    upto = Window.partitionBy("sample").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    at = [(F.count(F.lit(1)).over(upto) - 1).cast("int").alias("at"),
+          *[F.when(F.col(f"on_{m}") > 0, F.sum(f"on_{m}").over(upto) - 1).cast("int").alias(f"at_{m}") for m in own]]
+    axis = land(on.select("sample", "cell", *at), "matrix-cells")
+    place = {m: f"at_{m}" if m in own else "at" for m in names}
+    held = {m: f"e_{m}" if m in own else "e" for m in names}
+    entry = F.struct(*axis.columns[2:], *names)
+    genes = counts.join(broadcast_if_small(axis), ["sample", "cell"]).groupBy("sample", "gene").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    width = axis.groupBy("sample").agg(*[F.count(c).cast("int").alias(f"n_{c}") for c in axis.columns[2:]])
+    above = lambda m: lambda x: x[m] > 0
+    genes = genes.join(broadcast_if_small(width), "sample").select("*", *[F.filter("e", above(m)).alias(held[m]) for m in own])
+
+    def line(m):
+        e, p, zero = F.col(held[m]), place[m], F.lit("\t0.0" if m.startswith("transcripts") else "\t0")
+        before = lambda i: F.when(i > 0, e[i - 1][p]).otherwise(F.lit(-1))
+        values = F.transform(e, lambda x, i: F.concat(F.repeat(zero, x[p] - before(i) - 1), F.lit("\t"), x[m].cast("string")))
+        tail = F.repeat(zero, F.col(f"n_{p}") - 1 - F.try_element_at(e, F.lit(-1))[p])
+        return F.struct(F.lit(m).alias("measure"), (F.size(e) > 0).alias("on_axis"), F.concat(F.col("gene"), F.array_join(values, ""), tail).alias("line"))
+
+    rows = genes.select("sample", "gene", F.inline(F.array(*[line(m) for m in names]))).where("on_axis").select("sample", "measure", "gene", "line")
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.when(F.col(place[m]).isNotNull(), F.col("cell")).alias("cell")) for m in names])
+    header = axis.select("sample", F.inline(cells)).where("cell IS NOT NULL").groupBy("sample", "measure").agg(F.array_sort(F.collect_list("cell")).alias("c")).select(
         "sample", "measure", F.lit(None).cast("string").alias("gene"), F.concat_ws("\t", F.lit("gene"), F.array_join("c", "\t")).alias("line"))
-    rows = (cells.join(axis, ["sample", "measure", "cell"]).groupBy("sample", "measure", "gene")
-            .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("e")).join(width, ["sample", "measure"]))
-    zero = F.when(F.col("measure").startswith("transcripts"), F.lit("\t0.0")).otherwise(F.lit("\t0"))
-    before = lambda i: F.when(i > 0, F.col("e")[i - 1]["at"]).otherwise(F.lit(-1))
-    values = F.transform("e", lambda x, i: F.concat(F.repeat(zero, x["at"] - before(i) - 1), F.lit("\t"), x["value"]))
-    tail = F.repeat(zero, F.col("n_cells").cast("int") - 1 - F.element_at("e", -1)["at"])
-    return header.unionByName(rows.select("sample", "measure", "gene", F.concat(F.col("gene"), F.array_join(values, ""), tail).alias("line")))
+    return header.unionByName(rows)

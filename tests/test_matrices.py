@@ -57,3 +57,15 @@ def test_gene_counts_are_made_once(spark, tmp_path):
     rows = spark.range(2_000).select(F.lit("S").alias("sample"), F.when(F.col("id") % 2 == 0, "exon").otherwise("intron").alias("label"), F.concat(F.lit("g"), "id").alias("gene"), F.col("id").alias("n"))
     sinks.write_gene_counts(rows.mapInArrow(count, rows.schema), str(tmp_path / "g"))
     assert made.value == 2_000 == spark.read.text(str(tmp_path / "g")).count()
+
+
+def test_entries_are_exchanged_once_for_all_measures(spark):
+    t = long_table(spark, [("S", f"c{i % 7}", f"g{i}", i % 2, i % 3) for i in range(100)])
+    names = [m for f in ("reads", "umis") for m in cnt.MEASURES[f]]
+    lines = cnt.matrix_lines(t, names)
+    plan = lines.where("gene IS NOT NULL")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("gene" in line for line in exchanges) == 1 and not any("cell" in line for line in exchanges)
+    assert lines.where("measure = 'reads_unspliced' AND gene = 'g2'").count() == 0  # it has no such read
+    one = lines.where("measure = 'umis_total' AND gene = 'g5'").first().line
+    assert one == "g5\t0\t0\t0\t0\t0\t3\t0"
