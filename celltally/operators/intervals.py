@@ -161,8 +161,8 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: s
 
 
 def blocked_intervals(intervals: DataFrame, bin_size: int = ANTI_BIN,
-                      labels: tuple[str, str] = ("intron", "exon")) -> DataFrame:
-    """(sample, label, chrom, start, end) that overlap at least one interval
+                      labels: tuple[str, str] = ("intron", "exon"), carry: tuple[str, ...] = ()) -> DataFrame:
+    """(sample, label, chrom, start, end[, ``carry``]) that overlap at least one interval
     of the other label in the same sample and chrom (any strand, any gene,
     any read); an interval may repeat (once per bin it is blocked in).
 
@@ -177,12 +177,13 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = ANTI_BIN,
     distinct intervals touching it, however many reads pile up there.
     """
     first, second = labels
-    iv = intervals.select(*INTERVAL_KEYS)
+    keys = [*INTERVAL_KEYS, *carry]
+    iv = intervals.select(*keys)
     binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size)))
     # the window's only exchange, before each interval becomes two rows
     binned = binned.repartition("sample", "chrom", "bin")
     roles = binned.select(
-        *INTERVAL_KEYS, "bin",
+        *keys, "bin",
         F.inline(F.array(
             F.struct(F.col("start").alias("key"), F.lit(1).alias("src")),
             F.struct(F.col("end").alias("key"), F.lit(0).alias("src")),
@@ -194,14 +195,14 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = ANTI_BIN,
         return F.max(F.when((F.col("src") == 1) & (F.col("label") == label), F.col("end"))).over(w)
 
     verdict = roles.select(
-        *INTERVAL_KEYS, "src",
+        *keys, "src",
         F.when(F.col("label") == first, source_max(second))
         .when(F.col("label") == second, source_max(first)).alias("other_max_end"),
     )
     hit = verdict.filter((F.col("src") == 0) & (F.col("other_max_end") > F.col("start")))
     # an interval spanning several bins may appear more than once; the result
     # only feeds semi/anti joins, where repeats change nothing
-    return hit.select(*INTERVAL_KEYS)
+    return hit.select(*keys)
 
 
 def clean_overlaps(overlaps: DataFrame, bin_size: int = ANTI_BIN, dedup: bool = True) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ The rows are exchanged once, by interval and salt, and written as a table
 bucketed and sorted that way. Repeated rows, the distinct intervals, and the
 anti-join with the blocked ones then need no further exchange of rows: Spark
 reads the buckets as they lie. What still moves is one row per distinct
-interval (for the verdict) and per molecule and bucket (for the counts).
+interval (for the verdict) and per molecule and interval (for the counts).
 
 Where a sample has more blocks in a stretch of the genome than a bucket should
 hold, the salt deals the reads there over several buckets; elsewhere it is 0.
@@ -17,6 +17,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from celltally.functions.barcodes import parse_name
+from celltally.functions.counting import gene_key
 from celltally.operators import counts as cnt
 from celltally.operators import intervals as iv
 from celltally.operators.common import bins, broadcast_if_small, land
@@ -52,11 +54,10 @@ class IntervalTable:
         salted = salted.repartition(n, *KEYS)
         if dedup:
             salted = salted.dropDuplicates([*iv.OVERLAP_COLS, "salt"])
-        salted.write.format("parquet").bucketBy(n, *KEYS).sortBy(*KEYS).option("path", scratch_path(self.spark, "intervals")).saveAsTable(self.name)
+        salted.write.format("parquet").option("compression", "zstd").bucketBy(n, *KEYS).sortBy(*KEYS).option("path", scratch_path(self.spark, "intervals")).saveAsTable(self.name)
         self.rows = self.spark.table(self.name)
         pieces = land(self.rows.select(*KEYS).distinct(), "interval-pieces")
-        blocked = iv.blocked_intervals(pieces.select(*iv.INTERVAL_KEYS).distinct(), anti_bin_size).distinct()
-        self.blocked = land(pieces.join(blocked, iv.INTERVAL_KEYS, "left_semi"), "blocked-pieces")
+        self.blocked = land(iv.blocked_intervals(pieces, anti_bin_size, carry=("salt",)).distinct(), "blocked-pieces")
 
     @property
     def clean(self) -> DataFrame:
@@ -64,7 +65,12 @@ class IntervalTable:
 
     @property
     def molecules(self) -> DataFrame:
-        return cnt.molecules(self.clean)
+        """Copies of a molecule on one interval are counted where they lie; what
+        is left moves once, to its cell and gene, for the counts too."""
+        umi, cell = parse_name("qname")
+        rows = self.rows.join(self.blocked, KEYS, "left_anti").select(*KEYS, cell.alias("cell"), gene_key("gene_fullname", "chrom").alias("gene"), umi.alias("umi"))
+        lying = rows.groupBy(*KEYS, "cell", "gene", "umi").agg(F.count(F.lit(1)).alias("n"))
+        return cnt.molecules(lying.select("sample", "label", "cell", "gene", "umi", "n").repartition("sample", "cell", "gene"))
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")

@@ -63,7 +63,7 @@ def write_overlaps(clean: DataFrame, path: str) -> None:
     (
         clean.repartitionByRange("sample", "label", "chrom", "start")
         .sortWithinPartitions("sample", "label", "chrom", "start", "end")
-        .write.mode("overwrite").partitionBy("sample", "label").parquet(path)
+        .write.mode("overwrite").option("compression", "zstd").partitionBy("sample", "label").parquet(path)
     )
 
 

@@ -65,3 +65,14 @@ def test_rows_are_exchanged_once(spark, case):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "SelectedBucketsCount: 16 out of 16" in plan and plan.count("Exchange") == 1
     assert "Exchange" not in distinct
+
+
+def test_molecules_and_counts_move_once(spark, case):
+    _, table = case
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cnt.gene_cell_counts(table.molecules)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange") == 2  # the blocked pieces, and the molecules to their cell and gene
