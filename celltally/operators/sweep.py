@@ -26,7 +26,7 @@ from celltally.operators.common import broadcast_if_small, land
 #: Blocks of a slot, about.
 ROWS_PER_SLOT = 500_000
 #: Bins of the longest contig, at most; least width of a bin.
-BINS, LEAST_BIN = 65_536, 256
+BINS, LEAST_BIN = 16_384, 2_048
 #: Candidate pairs verified at a time in a task.
 PAIRS = 1 << 20
 #: A feature's class: how often its length can be divided by this.
