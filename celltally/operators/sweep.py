@@ -12,10 +12,15 @@ Rows without repeats, or without blocked intervals, need no further exchange of
 rows: a block then goes to every bin it touches and gives there the rows that
 start in the bin. Equal rows have one read and one start, so they meet in one
 task, and so do they and the blocked interval of that start.
+
+A row takes to its slot what the caller asks for: the read's name, other columns
+that stand for the read, or none; counts of rows leave the slot in place of rows.
 """
 
 from __future__ import annotations
 
+import copy
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,13 +37,18 @@ PAIRS = 1 << 20
 #: A feature's class: how often its length can be divided by this.
 CLASS_STEP = 8
 
-RESULT = "sample string, label string, chrom string, start long, end long, qname string, strand string, gene_fullname string"
+#: Rows whose copies are counted at a time in a task.
+HELD = 1 << 18
+
+INTERVAL = "sample string, label string, chrom string, start long, end long"
+READ, GENE = "qname string", "gene_fullname string"
 
 
 def slots_of_bins(blocks: DataFrame, width: int, rows_per_slot: int) -> DataFrame:
-    """(chrom, strand, bin, slot, splits): the first slot of each bin with
-    blocks and over how many its blocks are dealt. The tables' rows are bins,
-    at most ``BINS`` a contig and strand, not blocks."""
+    """(chrom, strand, bin, slot, splits, before): the first slot of each bin with
+    blocks, over how many its blocks are dealt, and the bin of the same contig and
+    strand that comes before it in the slot. The tables' rows are bins, at most
+    ``BINS`` a contig and strand, not blocks."""
     touched = blocks.select("chrom", "strand", F.explode(touched_bins("start", "end", width)).alias("bin"))
     counted = land(touched.groupBy("chrom", "strand", "bin").agg(F.count("*").alias("n")), "sweep-bins")
     order = Window.orderBy("chrom", "strand", "bin")
@@ -49,7 +59,9 @@ def slots_of_bins(blocks: DataFrame, width: int, rows_per_slot: int) -> DataFram
     groups = groups.select("*", group.alias("group"), F.when(F.col("hot"), F.ceil(F.col("n") / rows_per_slot)).otherwise(1).alias("splits"))
     opens = groups.select("*", (~F.col("group").eqNullSafe(F.lag("group").over(order))).cast("long").alias("opens"))
     last = F.sum(F.col("opens") * F.col("splits")).over(order)
-    return opens.select("chrom", "strand", "bin", (last - F.col("splits")).cast("int").alias("slot"), F.col("splits").cast("int").alias("splits"))
+    follows = (F.col("opens") == 0) & (F.lag("chrom").over(order) == F.col("chrom")) & (F.lag("strand").over(order) == F.col("strand"))
+    return opens.select("chrom", "strand", "bin", (last - F.col("splits")).cast("int").alias("slot"), F.col("splits").cast("int").alias("splits"),
+                        F.when(follows, F.lag("bin").over(order)).alias("before"))
 
 
 class Sweep:
@@ -69,51 +81,69 @@ class Sweep:
         slots = land(slots_of_bins(self.places, self.width, rows_per_slot or ROWS_PER_SLOT), "sweep-slots")
         self.n_slots = slots.agg(F.max(F.col("slot") + F.col("splits"))).first()[0] or 1
         self.lookup = broadcast_if_small(slots)
+        self.read, self.gene = READ, GENE
+
+    def carrying(self, blocks: DataFrame, read: str, gene: bool = True) -> Sweep:
+        """The same join in the same slots for ``blocks`` with the columns ``read``
+        (DDL, may be empty) in place of the read's name; rows are equal if these are."""
+        out = copy.copy(self)
+        out.blocks, out.read, out.gene = blocks, read, GENE if gene else ""
+        return out
 
-    def _row(self, df: DataFrame, kind: int, slot) -> DataFrame:
+    @property
+    def result(self) -> str:
+        return ", ".join(x for x in (INTERVAL, self.read, "strand string", self.gene) if x)
+
+    def _row(self, df: DataFrame, kind: int, slot, touched: bool) -> DataFrame:
         """A row of a slot; columns that ``df`` lacks are null."""
         cols = [(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in
-                (x.split() for x in f"{RESULT}, bin long".split(", "))]
+                (x.split() for x in (self.result + ", step int" * touched).split(", "))]
         return df.select(slot.cast("int").alias("slot"), F.lit(kind).alias("kind"), *cols)
 
-    def _everywhere(self, df: DataFrame, kind: int) -> DataFrame:
+    def _everywhere(self, df: DataFrame, kind: int, touched: bool) -> DataFrame:
         """``df`` (with slot and splits) in all slots of its bins."""
-        return self._row(df.withColumn("slot", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("splits") - 1))).drop("bin"), kind, F.col("slot"))
+        return self._row(df.withColumn("slot", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("splits") - 1))), kind, F.col("slot"), touched)
 
-    def dealt(self, blocks: DataFrame | None = None, touched: bool = False, blocked: DataFrame | None = None) -> DataFrame:
+    def dealt(self, touched: bool = False, blocked: DataFrame | None = None) -> DataFrame:
         """Blocks (kind 1), copies of features (kind 0) and of blocked intervals
         (kind -1), one slot to a partition, a contig and strand's blocks last.
         With ``touched`` a block is in the slots of all bins it touches, else of
         the one it starts in."""
         on = ["chrom", "strand", "bin"]
-        blocks = self.blocks if blocks is None else blocks
-        bin_ = F.explode(touched_bins("start", "end", self.width)) if touched else F.floor(F.col("start") / self.width)
-        read = F.xxhash64("qname") if touched else F.xxhash64("qname", "start")
-        both = self._row(blocks.withColumn("bin", bin_).join(self.lookup, on), 1, F.col("slot") + F.pmod(read, "splits"))
-        right = self.features.withColumnRenamed("chr", "chrom").withColumn("copy", F.monotonically_increasing_id())
+        left = self.blocks.withColumn("bin", F.floor(F.col("start") / self.width))
+        if touched:  # of the bin a block keeps how far it is from the first: mostly 0, so it takes no room
+            left = self.blocks.select("*", F.posexplode(touched_bins("start", "end", self.width)).alias("step", "bin"))
+        read = [x.split()[0] for x in self.read.split(", ") if x]
+        read = F.xxhash64(*read) if touched else F.xxhash64(*read, "start")
+        both = self._row(left.join(self.lookup, on), 1, F.col("slot") + F.pmod(read, "splits"), touched)
         first = F.floor((F.col("start") - (0 if touched else self.longest)) / self.width)
         last = F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / self.width)
-        right = right.withColumn("bin", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.greatest(last, F.lit(0))))).join(self.lookup, on)
-        # a feature meets a slot once, however many of the slot's bins it touches
-        both = both.unionByName(self._everywhere(right.drop("bin").distinct(), 0))
+        right = self.features.withColumnRenamed("chr", "chrom").withColumn("first_bin", F.greatest(first, F.lit(0)))
+        right = right.withColumn("bin", F.explode(F.sequence(F.col("first_bin"), F.greatest(last, F.lit(0))))).join(self.lookup, on)
+        # a feature meets a slot once, at the first of the slot's bins that it touches
+        both = both.unionByName(self._everywhere(right.where("before IS NULL OR before < first_bin"), 0, touched))
         if blocked is not None:
             at = blocked.withColumn("bin", F.floor(F.col("start") / self.width))
-            both = both.unionByName(self._everywhere(at.join(self.lookup, ["chrom", "bin"]), -1))
+            both = both.unionByName(self._everywhere(at.join(self.lookup, ["chrom", "bin"]), -1, touched))
         return both.repartitionById(self.n_slots, "slot").sortWithinPartitions("chrom", "strand", "kind", "start")
 
     def rows(self, distinct: bool = False, blocked: DataFrame | None = None) -> DataFrame:
         """Overlap rows; ``distinct``: equal ones once; ``blocked``: without those
         whose (sample, label, chrom, start, end) is among its rows."""
         touched = distinct or blocked is not None
-        return _swept(self.dealt(touched=touched, blocked=blocked), distinct, self.width if touched else None)
+        return _swept(self.dealt(touched, blocked), self.result, distinct, self.width if touched else None)
+
+    def tallies(self, by: list[str], distinct: bool = False, blocked: DataFrame | None = None) -> DataFrame:
+        """How many of ``rows`` there are for the columns ``by`` (``n``); counted in the
+        slots, so that a key comes once or a few times from each of its slots."""
+        touched = distinct or blocked is not None
+        return _swept(self.dealt(touched, blocked), self.result, distinct, self.width if touched else None, by)
 
     def intervals(self) -> DataFrame:
         """(sample, label, chrom, start, end) of all overlap rows, from the places
         alone; most repeats are left out."""
-        places = self.places.withColumn("qname", F.lit(None).cast("string"))
-        nameless = Sweep.__new__(Sweep)
-        nameless.__dict__.update(self.__dict__, features=self.features.drop("gene_fullname"))
-        return _swept(nameless.dealt(places), True, None).select("sample", "label", "chrom", "start", "end")
+        nameless = self.carrying(self.places, "", gene=False)
+        return _swept(nameless.dealt(), nameless.result, True, None).select("sample", "label", "chrom", "start", "end")
 
 
 def dealt(blocks: DataFrame, features: DataFrame, rows_per_slot: int | None = None) -> DataFrame:
@@ -165,14 +195,13 @@ def _unblocked(rows, blocked, starts):
     return rows.join(blocked.slice(lo, hi - lo), keys, join_type="left anti", use_threads=False) if hi > lo else rows
 
 
-def _sweep(batches, distinct=False, width=None):
-    """Overlap rows of a slot. With ``width`` a block gives the rows that start
-    in its bin. With ``distinct``, rows are held until no later block can repeat them."""
+def _sweep(batches, names, distinct=False, width=None):
+    """Overlap rows of a slot, columns ``names``. With ``width`` a block gives the rows that
+    start in its bin. With ``distinct``, rows are held until no later block can repeat them."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    names = [c.split()[0] for c in RESULT.split(", ")]
     place, held, index, blocked, starts, kept = None, [], None, [], None, None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -204,12 +233,11 @@ def _sweep(batches, distinct=False, width=None):
                 if not len(block):
                     continue
                 x, f = part.take(pa.array(block)), held[0].take(pa.array(feature.astype(np.int64)))
-                out = {"sample": x.column("sample"), "label": f.column("label"), "chrom": x.column("chrom"),
-                       "start": pc.max_element_wise(x.column("start"), f.column("start")), "end": pc.min_element_wise(x.column("end"), f.column("end")),
-                       "qname": x.column("qname"), "strand": x.column("strand"), "gene_fullname": f.column("gene_fullname")}
+                out = {c: (f if c in ("label", "gene_fullname") else x).column(c) for c in names}
+                out |= {"start": pc.max_element_wise(x.column("start"), f.column("start")), "end": pc.min_element_wise(x.column("end"), f.column("end"))}
                 out = pa.table(out)
                 if width:
-                    out = out.filter(pa.array(out.column("start").to_numpy() // width == x.column("bin").to_numpy()))
+                    out = out.filter(pa.array(out.column("start").to_numpy() // width == x.column("start").to_numpy() // width + x.column("step").to_numpy()))
                 if starts is not None and len(out):
                     out = _unblocked(out, blocked, starts)
                 if distinct:
@@ -221,14 +249,38 @@ def _sweep(batches, distinct=False, width=None):
         yield from kept.combine_chunks().to_batches()
 
 
-def _swept(slots: DataFrame, distinct: bool, width: int | None) -> DataFrame:
+def _tally(batches, by):
+    """How many rows there are of each ``by``, among ``HELD`` rows or so at a time."""
+    import pyarrow as pa
+
+    def counted(held):
+        t = pa.Table.from_batches(held).group_by(by, use_threads=False).aggregate([([], "count_all")])
+        return t.select([*by, "count_all"]).rename_columns([*by, "n"]).combine_chunks().to_batches()
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch.select(by))
+        n += len(batch)
+        if n >= HELD:
+            yield from counted(held)
+            held, n = [], 0
+    if held:
+        yield from counted(held)
+
+
+def _swept(slots: DataFrame, result: str, distinct: bool, width: int | None, by: list[str] | None = None) -> DataFrame:
     import sys
-    from functools import partial
 
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return slots.mapInArrow(partial(_sweep, distinct=distinct, width=width), RESULT)
+    columns = dict(c.split() for c in result.split(", "))
+
+    def made(batches):
+        rows = _sweep(batches, list(columns), distinct, width)
+        yield from _tally(rows, by) if by else rows
+
+    return slots.mapInArrow(made, ", ".join([*(f"{c} {columns[c]}" for c in by), "n long"]) if by else result)
 
 
 def sweep_join(blocks: DataFrame, features: DataFrame, rows_per_slot: int | None = None) -> DataFrame:

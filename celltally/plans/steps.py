@@ -15,6 +15,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from celltally.functions.barcodes import parse_name
+from celltally.functions.counting import gene_key
 from celltally.operators import annotation as ann
 from celltally.operators import barcodes as bc
 from celltally.operators import counts as cnt
@@ -112,7 +114,9 @@ class SweptCounted(Counted):
     """The same where both sides of the overlap join are large. Repeats and
     blocked intervals are left out where the rows are made (``sweep.Sweep``):
     the verdict comes first, from the blocks' places alone, and rows with read
-    names are exchanged once, as blocks."""
+    names are exchanged once, as blocks. For ``molecules`` and ``counts`` a block
+    takes its cell, its UMI and 128 bits of the name along, not the name; rows are
+    counted where they are made, and what is left is exchanged once for both."""
 
     def __init__(self, blocks: DataFrame, unique: DataFrame, features: DataFrame, umi_length: int, anti_bin_size: int, dedup: bool):
         self.blocks = blocks
@@ -131,14 +135,22 @@ class SweptCounted(Counted):
     def overlaps(self) -> DataFrame:
         return self._sweep.rows(distinct=self._dedup)
 
+    @cached_property
+    def _blocked(self) -> DataFrame:
+        return land(iv.blocked_intervals(self._sweep.intervals(), self._bin).distinct(), "blocked")
+
     @cached_property
     def clean(self) -> DataFrame:
-        blocked = land(iv.blocked_intervals(self._sweep.intervals(), self._bin).distinct(), "blocked")
-        return self._sweep.rows(distinct=self._dedup, blocked=blocked)
+        return self._sweep.rows(distinct=self._dedup, blocked=self._blocked)
 
     @cached_property
     def molecules(self) -> DataFrame:
-        return cnt.molecules(self.clean)
+        umi, cell = parse_name("qname")
+        reads = self._sweep.blocks.select("sample", "chrom", "strand", "start", "end", F.unhex(F.md5("qname")).alias("read"), cell.alias("cell"), umi.alias("umi"))
+        rows = self._sweep.carrying(reads, "read binary, cell string, umi string").tallies(
+            ["sample", "label", "chrom", "gene_fullname", "cell", "umi"], distinct=self._dedup, blocked=self._blocked)
+        rows = rows.select("sample", "label", "cell", gene_key("gene_fullname", "chrom").alias("gene"), "umi", "n")
+        return cnt.molecules(rows.repartition("sample", "cell", "gene"))
 
 
 def count(alignments: DataFrame, exons: DataFrame, introns: DataFrame, contigs: DataFrame | None = None,

@@ -106,3 +106,36 @@ def test_counts_of_two_large_sides(spark, sf_small):
     assert as_rows(large.molecules) == as_rows(small.molecules) and as_rows(large.counts) == as_rows(small.counts)
     plan = large.clean._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [sample" not in plan and "LeftAnti" not in plan
+
+
+NAMES = ["r:1:U1:C1:7", "r:2:U1:C1:7", "r:3:U1:C1:07", "r:4::C1:7", "U2:C1:7", "C1:7", "7", "", ":::", None]
+
+
+def test_counts_take_no_names_along_and_move_once(spark, monkeypatch):
+    """Reads of one cell and UMI at one place stay apart by name, repeats of a read do not; odd and absent names too."""
+    from celltally.plans import steps
+
+    rnd = random.Random(6)
+    aln = [(f"S{i % 2}", rnd.choice(["c1", "c2"]), rnd.choice([50_000, 50_003, rnd.randint(1, 200_000)]), 255, rnd.choice([0, 16]), rnd.choice(["50M", "20M300N30M"]), NAMES[i % len(NAMES)]) for i in range(1_500)]
+    aln = spark.createDataFrame(aln + aln[:400], "sample string, rname string, pos long, mapq int, flag int, cigar string, qname string").repartition(3)
+    f = spark.createDataFrame([r for r in features(rnd, 60) if r[0] and r[1] and r[3]], FEATURES)
+    exons, introns = (f.where(F.col("label") == x).drop("label") for x in ("exon", "intron"))
+    as_rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    monkeypatch.setattr(sweep, "HELD", 20)
+    monkeypatch.setattr(sweep, "ROWS_PER_SLOT", 300)
+    for dedup in (True, False):
+        small, large = (steps.count(aln, exons, introns, dedup=dedup, broadcast_max_bytes=n) for n in (64 << 20, 1))
+        want = as_rows(small.molecules)
+        assert any(n > 1 for r in want for n in r[4:]) and as_rows(large.molecules) == want
+        assert as_rows(large.counts) == as_rows(small.counts)
+    plan = large.counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("hashpartitioning(sample") == 1  # molecules and counts: one exchange
+    assert not any("qname" in x for x in plan.splitlines() if "MapInArrow" in x)
+
+
+def test_features_are_dealt_without_an_exchange_of_their_own(spark):
+    rnd = random.Random(7)
+    b, f = spark.createDataFrame(blocks(rnd), BLOCKS), spark.createDataFrame(features(rnd), FEATURES)
+    dealt = sweep.dealt(b, f.withColumn("gene_fullname", F.monotonically_increasing_id().cast("string")), 100)
+    assert "Aggregate" not in dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert dealt.where("kind = 0").groupBy("slot", "gene_fullname").count().where("count > 1").isEmpty()
