@@ -88,3 +88,17 @@ def test_hot_interval_and_hot_molecule(spark):
     # s-reads: their exon part [150,200) meets the intron part [201,250)? no
     # (200 <= 201); it meets the t-reads' intron interval [260,280)? no; so kept
     assert ("001", 1, 7, 3000, 200) in got
+
+
+def test_numbers_of_rows_that_differ_in_price_only(spark, tmp_path):
+    """The price orders rows that are alike in all that the views show: it need not be exchanged."""
+    from pyspark.sql.window import Window
+
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+    li = spark.range(4_000).select(*[(F.xxhash64("id", F.lit(k)) % 3 + 3).alias(k) for k in keys[1:]], F.col("id").alias("l_extendedprice"), (F.pmod(F.xxhash64("id"), F.lit(9)) * 700).alias("l_orderkey"))
+    li.write.parquet(f"{tmp_path}/lineitem.parquet")
+    li = fx.table(spark, str(tmp_path), "lineitem")
+    want = li.select(*keys, (F.row_number().over(Window.orderBy(*keys, "l_extendedprice")) - 1).alias("rec_no"))
+    got = fx.fx_rawid(spark, str(tmp_path)).select(*keys, "rec_no")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "l_extendedprice" not in got._jdf.queryExecution().executedPlan().toString()
