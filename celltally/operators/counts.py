@@ -38,18 +38,18 @@ def collapsed_rows(overlaps: DataFrame, dedup: bool = True) -> DataFrame:
     repeated rows removed, then copies of one molecule on one interval counted.
 
     One exchange on interval, cell and UMI serves both steps (a hot locus is
-    spread by cell and UMI); read names leave the plan here.
+    spread by cell and UMI); 128 bits of the read's name go through it, not the name.
     """
     keys = ["sample", "label", "chrom", "start", "end", "cell", "umi"]
     umi, cell = parse_name("qname")
-    t = overlaps.select(*[c for c in overlaps.columns if c not in ("cell", "umi")], cell.alias("cell"), umi.alias("umi"),
-                        gene_key("gene_fullname", "chrom").alias("gene"))
+    same = [F.unhex(F.md5("qname")).alias("read"), "strand"] if dedup else []
+    t = overlaps.select(*keys[:5], cell.alias("cell"), umi.alias("umi"), "gene_fullname", *same)
     # without sample and label: a literal among the keys would cost the two
     # aggregates their use of this exchange
     t = t.repartition("chrom", "start", "end", "cell", "umi")
     if dedup:
-        t = t.dropDuplicates([*keys, "gene", "qname", "strand", "gene_fullname"])
-    return t.groupBy(*keys, "gene").agg(F.count(F.lit(1)).alias("n"))
+        t = t.dropDuplicates()
+    return t.withColumn("gene", gene_key("gene_fullname", "chrom")).groupBy(*keys, "gene").agg(F.count(F.lit(1)).alias("n"))
 
 
 def molecules(clean: DataFrame) -> DataFrame:
