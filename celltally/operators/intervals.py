@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from celltally.functions.cigar import alignment_blocks, strand_of
-from celltally.operators.common import DEFAULT_BROADCAST_BYTES, bins, broadcast_if_small, land, table_bytes
+from celltally.operators.common import DEFAULT_BROADCAST_BYTES, bins, broadcast_if_small, first_bin, land, table_bytes
 from celltally.operators.sweep import sweep_join
 
 # overlap join: bin widths are DEFAULT_BIN * BIN_STEP ** level; a feature lies in
@@ -179,9 +179,13 @@ def blocked_intervals(intervals: DataFrame, bin_size: int = ANTI_BIN,
     first, second = labels
     keys = [*INTERVAL_KEYS, *carry]
     iv = intervals.select(*keys)
-    binned = iv.withColumn("bin", F.explode(bins("start", "end", bin_size)))
-    # the window's only exchange, before each interval becomes two rows
-    binned = binned.repartition("sample", "chrom", "bin")
+    binned = iv.select("*", F.posexplode(bins("start", "end", bin_size)).alias("_step", "_bin"))
+    # the window's only exchange, before each interval becomes two rows; what repeats moves in
+    # place of what does not: the length for the end, and how far the bin is from the first
+    moved = binned.select(*[c for c in keys if c != "end"], (F.col("end") - F.col("start")).alias("_length"), "_step")
+    bin_ = first_bin("start", bin_size) + F.col("_step")
+    moved = moved.repartition("sample", "chrom", bin_)
+    binned = moved.select("*", (F.col("start") + F.col("_length")).alias("end"), bin_.alias("bin"))
     roles = binned.select(
         *keys, "bin",
         F.inline(F.array(

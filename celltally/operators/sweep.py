@@ -15,6 +15,8 @@ task, and so do they and the blocked interval of that start.
 
 A row takes to its slot what the caller asks for: the read's name, other columns
 that stand for the read, or none; counts of rows leave the slot in place of rows.
+Rows move with their length in place of their end: lengths repeat, ends do not, so
+compression leaves little of them.
 """
 
 from __future__ import annotations
@@ -74,7 +76,9 @@ class Sweep:
     def __init__(self, blocks: DataFrame, features: DataFrame, rows_per_slot: int | None = None):
         known = lambda df, c: df.where(f"{c} IS NOT NULL AND strand IS NOT NULL AND start IS NOT NULL AND `end` IS NOT NULL")
         self.blocks, self.features = known(blocks, "chrom"), known(features, "chr")
-        self.places = land(self.blocks.select("sample", "chrom", "strand", "start", "end"), "sweep-places")
+        place = ["sample", "chrom", "strand", "start"]
+        places = land(self.blocks.select(*place, (F.col("end") - F.col("start")).alias("length")), "sweep-places")
+        self.places = places.select(*place, (F.col("start") + F.col("length")).alias("end"))
         far, longest = self.places.agg(F.max("start"), F.max(F.col("end") - F.col("start"))).first()
         self.longest = longest or 0
         self.width = max(LEAST_BIN, -(-((far or 0) + 1) // BINS))
@@ -95,9 +99,10 @@ class Sweep:
         return ", ".join(x for x in (INTERVAL, self.read, "strand string", self.gene) if x)
 
     def _row(self, df: DataFrame, kind: int, slot, touched: bool) -> DataFrame:
-        """A row of a slot; columns that ``df`` lacks are null."""
+        """A row of a slot, ``length`` in place of its end; columns that ``df`` lacks are null."""
+        df = df.withColumn("length", F.col("end") - F.col("start"))
         cols = [(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in
-                (x.split() for x in (self.result + ", step int" * touched).split(", "))]
+                (x.split() for x in (self.result.replace("end long", "length long") + ", step int" * touched).split(", "))]
         return df.select(slot.cast("int").alias("slot"), F.lit(kind).alias("kind"), *cols)
 
     def _everywhere(self, df: DataFrame, kind: int, touched: bool) -> DataFrame:
@@ -205,6 +210,7 @@ def _sweep(batches, names, distinct=False, width=None):
     place, held, index, blocked, starts, kept = None, [], None, [], None, None
     for batch in batches:
         table = pa.Table.from_batches([batch])
+        table = table.append_column("end", pc.add(table.column("start"), table.column("length")))
         keys = list(zip(*(table.column(c).to_pylist() for c in ("chrom", "strand", "kind")), strict=True))
         edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
         for a, b in zip(edges, edges[1:]):

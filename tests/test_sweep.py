@@ -139,3 +139,30 @@ def test_features_are_dealt_without_an_exchange_of_their_own(spark):
     dealt = sweep.dealt(b, f.withColumn("gene_fullname", F.monotonically_increasing_id().cast("string")), 100)
     assert "Aggregate" not in dealt._jdf.queryExecution().optimizedPlan().toString()
     assert dealt.where("kind = 0").groupBy("slot", "gene_fullname").count().where("count > 1").isEmpty()
+
+
+def test_lengths_move_in_place_of_ends(spark):
+    """Blocks, places and intervals cross the network with their length, which repeats from row to row, not their end."""
+    rnd = random.Random(8)
+    b, f = spark.createDataFrame(blocks(rnd), BLOCKS), spark.createDataFrame(features(rnd), FEATURES)
+    s = sweep.Sweep(b, f, 100)
+    for moved in (s.dealt(), s.dealt(touched=True), s.dealt(True, s.intervals())):
+        assert "length" in moved.columns and "end" not in moved.columns
+    places = lambda df: sorted(map(tuple, df.select("sample", "chrom", "strand", "start", "end").collect()), key=repr)
+    assert places(s.places) == places(s.blocks)
+    keys = iv.INTERVAL_KEYS
+    rows = spark.createDataFrame([(f"S{i % 2}", rnd.choice(["exon", "intron"]), rnd.choice(["c1", "c2"]), x, x + rnd.choice([0, 1, 60, 2_500, -3]), i % 3)
+                                  for i, x in enumerate(rnd.sample(range(-2_000, 90_000), 1_200))], "sample string, label string, chrom string, start long, end long, salt int")
+    hit = iv.blocked_intervals(rows, 1_000, carry=("salt",))
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 1 and "REPARTITION_BY_COL" in moved[0]  # the window takes the rows as they lie
+    below = plan.split("REPARTITION_BY_COL")[1].splitlines()[1]
+    assert "_length" in below and "AS end" not in below and "bin" not in below
+    other = rows.select(*[F.col(c).alias(f"o_{c}") for c in keys])
+    meets = "sample = o_sample AND chrom = o_chrom AND label != o_label AND start < o_end AND o_start < end"
+    want = rows.where("end > start").join(other.where("o_end > o_start"), F.expr(meets), "left_semi").select(*keys, "salt")
+    assert want.count() > 100
+    assert set(map(tuple, hit.where("end > start").collect())) >= set(map(tuple, want.collect()))
+    exact = lambda df: {tuple(r) for r in df.where("end > start").collect()}
+    assert exact(iv.blocked_intervals(rows.where("end > start"), 1_000, carry=("salt",))) == set(map(tuple, want.collect()))
