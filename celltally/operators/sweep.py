@@ -79,7 +79,7 @@ class Sweep:
         place = ["sample", "chrom", "strand", "start"]
         places = land(self.blocks.select(*place, (F.col("end") - F.col("start")).alias("length")), "sweep-places")
         self.places = places.select(*place, (F.col("start") + F.col("length")).alias("end"))
-        far, longest = self.places.agg(F.max("start"), F.max(F.col("end") - F.col("start"))).first()
+        far, longest, self.n_blocks = self.places.agg(F.max("start"), F.max(F.col("end") - F.col("start")), F.count("*")).first()
         self.longest = longest or 0
         self.width = max(LEAST_BIN, -(-((far or 0) + 1) // BINS))
         slots = land(slots_of_bins(self.places, self.width, rows_per_slot or ROWS_PER_SLOT), "sweep-slots")

@@ -57,7 +57,7 @@ class IntervalTable:
         salted.write.format("parquet").option("compression", "zstd").bucketBy(n, *KEYS).sortBy(*KEYS).option("path", scratch_path(self.spark, "intervals")).saveAsTable(self.name)
         self.rows = self.spark.table(self.name)
         pieces = land(self.rows.select(*KEYS).distinct(), "interval-pieces")
-        self.blocked = land(iv.blocked_intervals(pieces, anti_bin_size, carry=("salt",)).distinct(), "blocked-pieces")
+        self.blocked = land(iv.blocked_intervals(pieces, anti_bin_size, carry=("salt",), n=pieces.count()).distinct(), "blocked-pieces")
 
     @property
     def clean(self) -> DataFrame:

@@ -97,7 +97,7 @@ class Counted:
     @cached_property
     def molecules(self) -> DataFrame:
         rows = land(cnt.collapsed_rows(self._raw, self._dedup), "collapsed")
-        blocked = iv.blocked_intervals(rows.select(*iv.INTERVAL_KEYS).distinct(), self._bin)
+        blocked = iv.blocked_intervals(rows.select(*iv.INTERVAL_KEYS).distinct(), self._bin, n=rows.count())
         return cnt.molecules(iv.drop_blocked(rows, blocked))
 
     def table(self, n_buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> IntervalTable:
@@ -137,7 +137,7 @@ class SweptCounted(Counted):
 
     @cached_property
     def _blocked(self) -> DataFrame:
-        return land(iv.blocked_intervals(self._sweep.intervals(), self._bin).distinct(), "blocked")
+        return land(iv.blocked_intervals(self._sweep.intervals(), self._bin, n=self._sweep.n_blocks).distinct(), "blocked")
 
     @cached_property
     def clean(self) -> DataFrame:
